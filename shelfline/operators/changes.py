@@ -32,7 +32,8 @@ def changed_rows(changes: DataFrame, kind: str) -> DataFrame:
     return changes.where(conditions[kind]())
 
 
-_SENT_ORDER = (*nulls_highest("dt_sent"), F.col("id"))
+def _sent_order() -> tuple[Column, ...]:
+    return *nulls_highest("dt_sent"), F.col("id")
 
 
 def last_sent(stock_change: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def last_sent(stock_change: DataFrame) -> DataFrame:
     return (
         stock_change.where(F.col("change_status") == C.SENT)
         .groupBy("mod_id")
-        .agg(newest(values, _SENT_ORDER).alias("_row"))
+        .agg(newest(values, _sent_order()).alias("_row"))
         .select("mod_id", "_row.*")
         .select(*stock_change.columns)
     )
@@ -51,7 +52,7 @@ def _compared(candidates: DataFrame, stock_change: DataFrame) -> DataFrame:
     """``candidates`` with ``equal`` and the id of the last sent row they were compared with."""
     history = stock_change.groupBy("mod_id").agg(
         F.bool_or(F.col("change_status") == C.PENDING).alias("_pending"),
-        newest(["id", "time_delivery", "qnt"], _SENT_ORDER, F.col("change_status") == C.SENT).alias("_sent"),
+        newest(["id", "time_delivery", "qnt"], _sent_order(), F.col("change_status") == C.SENT).alias("_sent"),
     )
     sent = F.col("_sent")
     same = (F.col("qnt") == sent["qnt"]) & (F.col("time_delivery") == sent["time_delivery"])

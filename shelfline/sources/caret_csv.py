@@ -19,12 +19,21 @@ FORMAT = {
 }
 
 
+# Part files are read whole when records may span lines, so none gets larger than this.
+ROWS_PER_FILE = 1_000_000
+
+# Stands for NULL while reading, where empty text must stay empty; cannot occur in the data.
+NO_VALUE = "\u0000"
+
+
 def write_caret_csv(
     df: DataFrame, path: str, partition_by: tuple[str, ...] = (), single_file: bool = False, mode: str = "overwrite"
 ) -> None:
     """Write part files with a header each. ``single_file`` is for small exports only: it makes
     one task write everything."""
     writer = (df.coalesce(1) if single_file else df).write.mode(mode).options(**FORMAT)
+    if not single_file:
+        writer = writer.option("maxRecordsPerFile", ROWS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
@@ -32,5 +41,5 @@ def write_caret_csv(
 
 def read_caret_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read the files back: empty text is ``""``, nothing is NULL, records may span lines."""
-    options = FORMAT | {"emptyValue": "", "multiLine": "true"}
+    options = FORMAT | {"nullValue": NO_VALUE, "emptyValue": "", "multiLine": "true"}
     return spark.read.schema(schema).options(**options).csv(path)

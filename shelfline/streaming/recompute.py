@@ -14,7 +14,13 @@ from shelfline.operators import propagate
 from shelfline.streaming.sinks import start, write_batch
 
 # The columns of any changed row that decide which items it affects.
-ROW = T.StructType.fromDDL("ks BIGINT, invoice_no BIGINT, order_no BIGINT, released_at TIMESTAMP_NTZ")
+ROW = (
+    T.StructType()
+    .add("ks", T.LongType())
+    .add("invoice_no", T.LongType())
+    .add("order_no", T.LongType())
+    .add("released_at", T.TimestampNTZType())
+)
 
 
 def tagged(changes: DataFrame, kind: str) -> DataFrame:
