@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from shelfline.functions import constants as C
 from shelfline.functions.text import null_as_text
 from shelfline.operators.lookups import import_parameters
-from shelfline.plans.ordinals import SLICE_BITS, with_ordinal
+from shelfline.plans.ordinals import SLICE_BITS, number_rows, slice_starts, with_slice
 
 EXPORT_KEYS = ["exp_id", "mod_csv"]
 
@@ -72,12 +72,20 @@ def field_counts(export_field: DataFrame) -> DataFrame:
 
 def chunk_records(export_field: DataFrame, mode: int | None = None, slice_bits: int = SLICE_BITS) -> DataFrame:
     """Number the records of each export from 0: a record is as many rows, in ``csv_id`` order,
-    as the export has distinct fields. Exports without a named field have no records."""
+    as the export has distinct fields. Exports without a named field have no records.
+
+    An export may be most of the table, so rows are numbered in slices. One pass counts the rows
+    by slice and field name; record widths and slice starts both come from these counts.
+    """
     rows = export_field.where(F.col("exp_id").isNotNull() & F.col("mod_csv").isNotNull())
     if mode is not None:
         rows = rows.where(F.col("mod_csv") == mode)
-    widths = field_counts(rows).where(F.col("field_count") > 0)
-    numbered = with_ordinal(rows, EXPORT_KEYS, "csv_id", per_group=widths, bits=slice_bits)
+    rows = with_slice(rows, "csv_id", slice_bits)
+    # The test on the count keeps both uses of this aggregate alike, so that it is shuffled once.
+    names = rows.groupBy(*EXPORT_KEYS, "_slice", "bx_fld_name").agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
+    widths = field_counts(names).where(F.col("field_count") > 0)
+    starts = slice_starts(names.groupBy(*EXPORT_KEYS, "_slice").agg(F.sum("_n").alias("_n")), EXPORT_KEYS)
+    numbered = number_rows(rows, starts.join(widths, EXPORT_KEYS), EXPORT_KEYS, "csv_id")
     return numbered.withColumn("rec", F.expr("ordinal div field_count")).drop("ordinal", "field_count")
 
 

@@ -15,32 +15,21 @@ from pyspark.sql import functions as F
 SLICE_BITS = 16
 
 
-def _sliced(df: DataFrame, order: str, bits: int) -> DataFrame:
+def with_slice(df: DataFrame, order: str, bits: int = SLICE_BITS) -> DataFrame:
+    """Add ``_slice``, the stretch of the order column a row is in."""
     return df.withColumn("_slice", F.shiftright(F.col(order).cast("long"), bits))
 
 
-def with_ordinal(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    per_group: DataFrame | None = None,
-    bits: int = SLICE_BITS,
-) -> DataFrame:
-    """Add ``ordinal``, the 0-based position by ``order`` within ``keys``.
-
-    ``per_group`` (one row per ``keys``) is joined on the way: it rides on the slice counts, so
-    the large side is not shuffled for it.
-    """
-    rows = _sliced(df, order, bits)
+def slice_starts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """From rows per slice, ``counts(*keys, _slice, _n)``, the rows before it in the group:
+    ``*keys, _slice, _start``."""
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy(*keys, "_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    if per_group is not None:
-        starts = starts.join(per_group, list(keys))
+    return counts.select(*keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+
+
+def number_rows(rows: DataFrame, starts: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Add ``ordinal`` to sliced ``rows``; further columns of ``starts`` come along. The rows are
+    shuffled once, by slice; the starts are looked up where they then are."""
     inside = Window.partitionBy(*keys, "_slice").orderBy(order)
     return (
         rows.withColumn("_pos", F.row_number().over(inside))
@@ -50,6 +39,13 @@ def with_ordinal(
     )
 
 
+def with_ordinal(df: DataFrame, keys: Sequence[str], order: str, bits: int = SLICE_BITS) -> DataFrame:
+    """Add ``ordinal``, the 0-based position by ``order`` within ``keys``."""
+    rows = with_slice(df, order, bits)
+    counts = rows.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    return number_rows(rows, slice_starts(counts, keys), keys, order)
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -60,7 +56,7 @@ def with_previous(
 ) -> DataFrame:
     """Add struct ``alias``: the ``values`` of the row before by ``order`` within ``keys``,
     NULL for the first."""
-    rows = _sliced(df, order, bits)
+    rows = with_slice(df, order, bits)
     row = F.struct(*values)
     carried = rows.groupBy(*keys, "_slice").agg(F.max_by(row, F.col(order)).alias("_last"))
     carried = carried.withColumn(
@@ -79,7 +75,7 @@ def with_running_total(
     df: DataFrame, keys: Sequence[str], order: str, amount: Column, alias: str, bits: int = SLICE_BITS
 ) -> DataFrame:
     """Add ``alias``: the sum of ``amount`` over the rows up to and including this one."""
-    rows = _sliced(df, order, bits).withColumn("_amount", amount)
+    rows = with_slice(df, order, bits).withColumn("_amount", amount)
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         rows.groupBy(*keys, "_slice")

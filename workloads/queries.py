@@ -13,7 +13,7 @@ from shelfline.functions.text import format_payload
 from shelfline.operators import changes, delivery, export, lookups, migrate, outcomes, propagate, quality, reports, stock
 from shelfline.sources import caret_csv, folders, logs, notifications
 from shelfline.streaming import notify, recompute, sinks, stateful
-from workloads.views import Domain
+from workloads.views import Domain, domain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -32,7 +32,7 @@ def query(fn: Callable[[Domain], DataFrame]) -> Callable[[Domain], DataFrame]:
     """Register a function of the domain under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Domain(configure(spark), sf_dir))
+        return fn(domain(configure(spark), sf_dir))
 
     QUERIES[fn.__name__] = run
     return fn

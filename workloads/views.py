@@ -1,7 +1,7 @@
 """Domain views over the driver's tables.
 
-One SQL text per view, valid in Spark and in DuckDB; ``{table}`` names a base table or another
-view. Every view reads its whole base table: rows are chosen by attributes, never by key
+One SQL text per view, valid in Spark and in DuckDB; ``{table}`` names a base table, ``{*list}`` a
+short list that every base row is repeated for. Every view reads its whole base table: rows are chosen by attributes, never by key
 subsets. The Spark side turns a text into a DataFrame, the SQL side into a CTE.
 """
 
@@ -26,7 +26,7 @@ SELECT p.p_partkey AS dev_id, v.version_num, p.p_name || ' ' || CAST(p.p_partkey
        CASE WHEN p.p_partkey % 12 = 0 THEN NULL ELSE 674000 + p.p_partkey END AS ip_prop674,
        CASE WHEN p.p_partkey % 20 = 0 THEN NULL ELSE 675000 + p.p_partkey END AS ip_prop675,
        p.p_size % 2 = 0 AS mod_single
-FROM {part} p CROSS JOIN (SELECT 0 AS version_num UNION ALL SELECT 1 UNION ALL SELECT 2) v""",
+FROM {part} p {*versions}""",
     "modification": """
 SELECT LPAD(CAST(p.p_partkey AS VARCHAR(20)), 12, '0') AS mod_id, 4 * CAST(FLOOR(p.p_partkey / 4) AS BIGINT) AS dev_id, v.version_num,
        CASE WHEN p.p_partkey % 13 = 7 THEN NULL ELSE p.p_partkey END AS ks,
@@ -35,12 +35,11 @@ SELECT LPAD(CAST(p.p_partkey AS VARCHAR(20)), 12, '0') AS mod_id, 4 * CAST(FLOOR
        CASE WHEN p.p_partkey % 7 = 0 THEN NULL ELSE v.version_num * 10 END AS dm_valuta,
        CAST(p.p_size + v.version_num AS DECIMAL(18,4)) AS dm_kurs, CAST(p.p_size % 3 AS DECIMAL(18,4)) AS dm_koef,
        CAST(p.p_retailprice AS DECIMAL(18,2)) - v.version_num AS price_base, p.p_brand AS vendor_art_id, CAST(NULL AS VARCHAR(13)) AS mod_id_prev
-FROM {part} p CROSS JOIN (SELECT 1 AS version_num UNION ALL SELECT 2) v""",
+FROM {part} p {*current_and_archive}""",
     "mod_param": """
 SELECT 4 * CAST(FLOOR(p.p_partkey / 4) AS BIGINT) AS dev_id, q.version_num, LPAD(CAST(p.p_partkey AS VARCHAR(20)), 12, '0') AS mod_id, q.dev_param_id,
        CASE q.dev_param_id WHEN 1 THEN p.p_brand WHEN 2 THEN CASE WHEN p.p_partkey % 41 = 40 THEN NULL ELSE p.p_type END WHEN 3 THEN p.p_name ELSE CAST(p.p_size AS VARCHAR(20)) END AS param_value
-FROM {part} p CROSS JOIN (SELECT 1 AS version_num, 1 AS dev_param_id UNION ALL SELECT 1, 2 UNION ALL SELECT 1, 3
-                          UNION ALL SELECT 2, 1 UNION ALL SELECT 2, 2 UNION ALL SELECT 2, 4) q
+FROM {part} p {*parameters}
 WHERE q.dev_param_id <= 2 OR CAST(FLOOR(p.p_partkey / 4) AS BIGINT) % 3 = 2 OR (CAST(FLOOR(p.p_partkey / 4) AS BIGINT) % 3 = 1 AND q.dev_param_id = 3)""",
     "content": """
 SELECT p_partkey AS ks, CASE p_partkey % 4 WHEN 3 THEN NULL ELSE p_partkey % 4 END AS stock_status, CAST(p_retailprice AS DECIMAL(18,2)) AS price FROM {part}""",
@@ -119,15 +118,16 @@ SELECT o.o_orderkey * 5 + f.n AS csv_id, CAST(FLOOR(o.o_orderkey / 10) AS BIGINT
        CASE WHEN o.o_orderkey % 10 = 0 THEN 1 WHEN o.o_orderkey % 10 = 1 OR o.o_orderkey % 700 = 2 THEN 2 ELSE 4 END AS mod_csv, f.bx_fld_name,
        CASE f.n WHEN 0 THEN LPAD(CAST(o.o_orderkey AS VARCHAR(20)), 12, '0') WHEN 1 THEN CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR(30))
                 WHEN 2 THEN CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE o.o_orderpriority END WHEN 3 THEN 'c^' || CAST(o.o_custkey AS VARCHAR(20)) ELSE 'g' END AS bx_fld_value
-FROM {orders} o CROSS JOIN (SELECT 0 AS n, 'ip_prop109' AS bx_fld_name UNION ALL SELECT 1, 'cv_price' UNION ALL SELECT 2, 'ip_prop110'
-                            UNION ALL SELECT 3, 'ic_code0' UNION ALL SELECT 4, 'ic_group0') f""",
+FROM {orders} o {*fields}""",
     "export_dict": """
-SELECT 'cv_price' AS dict_name, 2 AS dict_order, 'numeric' AS data_type UNION ALL SELECT 'ip_prop109', 1, 'varchar' UNION ALL SELECT 'ip_prop110', 3, 'varchar'
-UNION ALL SELECT 'ic_code0', 4, 'varchar' UNION ALL SELECT 'ic_group0', 5, 'varchar' UNION ALL SELECT 'ie_sort', 6, 'integer'""",
+SELECT dict_name, dict_order, data_type
+FROM (VALUES ('cv_price', 2, 'numeric'), ('ip_prop109', 1, 'varchar'), ('ip_prop110', 3, 'varchar'), ('ic_code0', 4, 'varchar'), ('ic_group0', 5, 'varchar'),
+             ('ie_sort', 6, 'integer')) v(dict_name, dict_order, data_type)""",
     "import_param": """
-SELECT a.n AS ie_param_name, b.f AS brand_new, c.m AS imp_mode, a.n || '-' || CASE WHEN b.f THEN 'new' ELSE 'upd' END || '-' || CAST(c.m AS VARCHAR(5)) AS ie_param_value
-FROM (SELECT 'csv_file' AS n UNION ALL SELECT 'import_profile') a CROSS JOIN (SELECT TRUE AS f UNION ALL SELECT FALSE) b
-CROSS JOIN (SELECT 1 AS m UNION ALL SELECT 2 UNION ALL SELECT 4) c""",
+SELECT n AS ie_param_name, f AS brand_new, m AS imp_mode, n || '-' || CASE WHEN f THEN 'new' ELSE 'upd' END || '-' || CAST(m AS VARCHAR(5)) AS ie_param_value
+FROM (VALUES ('csv_file', TRUE, 1), ('csv_file', TRUE, 2), ('csv_file', TRUE, 4), ('csv_file', FALSE, 1), ('csv_file', FALSE, 2), ('csv_file', FALSE, 4),
+             ('import_profile', TRUE, 1), ('import_profile', TRUE, 2), ('import_profile', TRUE, 4), ('import_profile', FALSE, 1),
+             ('import_profile', FALSE, 2), ('import_profile', FALSE, 4)) v(n, f, m)""",
     "site_order": """
 SELECT o_orderkey AS order_no, CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS billcreated, o_orderdate AS dt_insert FROM {orders}""",
     "site_order_item": """
@@ -167,7 +167,7 @@ SELECT p_partkey AS dev_id, p_partkey % 3 AS old_version_num, CASE WHEN p_partke
        CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE '2024-01-01' END AS old_ie_xml_id_dt, '2024-02-01' AS new_ie_xml_id_dt FROM {part}""",
     "stage_result": """
 SELECT o_orderkey AS exp_id, s.stage, CASE WHEN o_orderkey % 11 = 0 AND s.stage = 1 THEN 'not a number' WHEN o_orderkey % 13 = 0 AND s.stage = 4 THEN '' ELSE CAST(o_orderkey + s.stage AS VARCHAR(20)) END AS returned_text
-FROM {orders} CROSS JOIN (SELECT 1 AS stage UNION ALL SELECT 2 UNION ALL SELECT 4) s""",
+FROM {orders} {*stages}""",
     "batch_result": """
 SELECT DISTINCT CAST(FLOOR(o_orderkey / 20) AS BIGINT) AS batch_id, CASE WHEN CAST(FLOOR(o_orderkey / 20) AS BIGINT) % 5 = 1 THEN 'e1' ELSE '' END AS import_err,
        CASE WHEN CAST(FLOOR(o_orderkey / 20) AS BIGINT) % 5 = 2 THEN 'o1' ELSE '' END AS import_out, CASE WHEN CAST(FLOOR(o_orderkey / 20) AS BIGINT) % 5 >= 3 AND CAST(FLOOR(o_orderkey / 20) AS BIGINT) % 2 = 0 THEN 'e2' ELSE '' END AS price_info_err FROM {orders}""",
@@ -176,7 +176,36 @@ SELECT event_id AS seq, ts, CASE event_type WHEN 'click' THEN 'do_compute_single
        CASE event_type WHEN 'purchase' THEN CASE WHEN event_id % 9 = 0 THEN 'broken' ELSE LPAD(CAST(user_id AS VARCHAR(20)), 12, '0') || '^2024-02-01:3;^' || CAST(event_id AS VARCHAR(20)) END ELSE CAST(event_id AS VARCHAR(20)) END AS payload FROM {events}""",
 }
 
+# Short lists that a view repeats every base row for: alias, columns, rows. ``{*name}`` in a view.
+LISTS: dict[str, tuple[str, tuple[str, ...], tuple[tuple, ...]]] = {
+    "versions": ("v", ("version_num",), ((0,), (1,), (2,))),
+    "current_and_archive": ("v", ("version_num",), ((1,), (2,))),
+    "parameters": ("q", ("version_num", "dev_param_id"), ((1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 4))),
+    "stages": ("s", ("stage",), ((1,), (2,), (4,))),
+    "fields": (
+        "f",
+        ("n", "bx_fld_name"),
+        ((0, "ip_prop109"), (1, "cv_price"), (2, "ip_prop110"), (3, "ic_code0"), (4, "ic_group0")),
+    ),
+}
+
+_LIST = re.compile(r"\{\*(\w+)\}")
 _REFERENCE = re.compile(r"\{(\w+)\}")
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+_DOMAINS: dict[tuple, "Domain"] = {}
+
+
+def _generated(name: str) -> str:
+    """The list as a generator, so that no join is planned for it."""
+    alias, columns, rows = LISTS[name]
+    structs = ", ".join("struct(" + ", ".join(f"{v!r} AS {c}" for c, v in zip(columns, row)) + ")" for row in rows)
+    return f"LATERAL VIEW inline(array({structs})) {alias} AS {', '.join(columns)}"
+
+
+def _values(name: str) -> str:
+    alias, columns, rows = LISTS[name]
+    tuples = ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
+    return f", (VALUES {tuples}) {alias}({', '.join(columns)})"
 
 
 class Domain:
@@ -186,20 +215,27 @@ class Domain:
         self.spark, self.sf_dir = spark, sf_dir
         self._frames: dict[str, DataFrame] = {}
 
+    def schema(self, table: str) -> T.StructType:
+        """A base table's schema, taken from its files once."""
+        key = (self.sf_dir, table)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet").schema
+        return _SCHEMAS[key]
+
     def base(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self.spark.read.schema(self.schema(table)).parquet(f"{self.sf_dir}/{table}.parquet")
 
     def stream(self, table: str) -> DataFrame:
         """A base table as a file stream, with the schema of its batch form."""
         return (
-            self.spark.readStream.schema(self.base(table).schema)
+            self.spark.readStream.schema(self.schema(table))
             .option("pathGlobFilter", f"{table}.parquet")
             .parquet(self.sf_dir)
         )
 
     def view(self, name: str, **frames: DataFrame) -> DataFrame:
         """A view over the given base frames instead of the stored tables."""
-        text = VIEWS[name]
+        text = _LIST.sub(lambda m: _generated(m.group(1)), VIEWS[name])
         inputs = {t: frames[t] if t in frames else self.base(t) for t in sorted(set(_REFERENCE.findall(text)))}
         df = self.spark.sql(text, **inputs)
         zoned = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
@@ -213,9 +249,21 @@ class Domain:
         return self._frames[name]
 
 
+def domain(spark: SparkSession, sf_dir: str) -> Domain:
+    """The domain of a folder, its views parsed once per session."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _DOMAINS:
+        _DOMAINS[key] = Domain(spark, sf_dir)
+    return _DOMAINS[key]
+
+
 def with_views(body: str, *names: str) -> str:
     """SQL for the other engine: the named views as CTEs in front of ``body``."""
-    ctes = [f"{n} AS ({_REFERENCE.sub(lambda m: m.group(1), VIEWS[n]).strip()})" for n in names]
+    def text(name: str) -> str:
+        listed = _LIST.sub(lambda m: _values(m.group(1)), VIEWS[name])
+        return _REFERENCE.sub(lambda m: m.group(1), listed).strip()
+
+    ctes = [f"{n} AS ({text(n)})" for n in names]
     body = body.strip()
     if body[:5].upper() == "WITH ":
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
