@@ -9,7 +9,7 @@ from shelfline.functions import constants as C
 from shelfline.functions.text import format_payload
 from shelfline.operators.lookups import attach_mod_id
 from shelfline.plans.latest import newest, nulls_highest
-from shelfline.plans.ordinals import with_ordinal, with_previous, with_running_total
+from shelfline.plans.ordinals import SLICE_BITS, with_ordinal, with_previous, with_running_total, with_slice
 
 
 def changed_rows(changes: DataFrame, kind: str) -> DataFrame:
@@ -104,14 +104,14 @@ def supersede_pending(stock_change: DataFrame) -> DataFrame:
     return stock_change.where(~pending).unionByName(marked)
 
 
-def suppress_repeats(stock_change: DataFrame) -> DataFrame:
+def suppress_repeats(stock_change: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
     """Fold every modification's changes in id order: a change equal to the one sent last is
     suppressed and counted. ``id, mod_id, time_delivery, qnt, sent, dbl_cnt`` where ``dbl_cnt``
     is how many have been suppressed since the last sent one.
 
     Suppressed changes equal the last sent one, so each is compared with its predecessor.
     """
-    rows = stock_change.select("id", "mod_id", "time_delivery", "qnt")
+    rows = with_slice(stock_change.select("id", "mod_id", "time_delivery", "qnt"), "id", slice_bits)
     previous = with_previous(rows, ["mod_id"], "id", ["time_delivery", "qnt"])
     same = (F.col("time_delivery") == F.col("previous.time_delivery")) & (F.col("qnt") == F.col("previous.qnt"))
     judged = previous.withColumn("sent", ~F.coalesce(same, F.lit(False))).drop("previous")

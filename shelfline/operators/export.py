@@ -86,7 +86,7 @@ def chunk_records(export_field: DataFrame, mode: int | None = None, slice_bits:
     widths = field_counts(names).where(F.col("field_count") > 0)
     starts = slice_starts(names.groupBy(*EXPORT_KEYS, "_slice").agg(F.sum("_n").alias("_n")), EXPORT_KEYS)
     numbered = number_rows(rows, starts.join(widths, EXPORT_KEYS), EXPORT_KEYS, "csv_id")
-    return numbered.withColumn("rec", F.expr("ordinal div field_count")).drop("ordinal", "field_count")
+    return numbered.withColumn("rec", F.expr("ordinal div field_count")).drop("_slice", "ordinal", "field_count")
 
 
 def to_wide(chunked: DataFrame, dictionary: list[Field]) -> DataFrame:
