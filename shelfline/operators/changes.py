@@ -9,6 +9,7 @@ from shelfline.functions import constants as C
 from shelfline.functions.text import format_payload
 from shelfline.operators.lookups import attach_mod_id
 from shelfline.plans.latest import newest, nulls_highest
+from shelfline.plans.lookup import lookup_join
 from shelfline.plans.ordinals import SLICE_BITS, with_ordinal, with_previous, with_running_total, with_slice
 
 
@@ -58,7 +59,7 @@ def _compared(candidates: DataFrame, stock_change: DataFrame) -> DataFrame:
     same = (F.col("qnt") == sent["qnt"]) & (F.col("time_delivery") == sent["time_delivery"])
     equal = F.when(F.coalesce("_pending", F.lit(False)) | sent.isNull(), F.lit(False)).otherwise(same)
     return (
-        candidates.join(history, "mod_id", "left")
+        lookup_join(candidates, history, "mod_id")
         .withColumns({"equal": equal, "sent_id": sent["id"]})
         .drop("_pending", "_sent")
     )
@@ -93,8 +94,7 @@ def supersede_pending(stock_change: DataFrame) -> DataFrame:
     pending = F.coalesce(F.col("change_status") == C.PENDING, F.lit(False))
     status_type = stock_change.schema["change_status"].dataType
     marked = (
-        stock_change.where(pending)
-        .join(newest_id, "mod_id", "left")
+        lookup_join(stock_change.where(pending), newest_id, "mod_id")
         .withColumn(
             "change_status",
             F.when(F.col("id") < F.col("_newest"), F.lit(C.SUPERSEDED).cast(status_type)).otherwise(F.col("change_status")),
@@ -193,10 +193,9 @@ def pack_change_events(
     )
     packs = availability.select("ks", F.col("pack_qty").alias("qnt_calc"))
     elapsed = _seconds(F.lit(as_of).cast("timestamp_ntz"), F.col("_sent_at"))
+    listed = pack_list_changes(changes, pack_list).join(packs, "ks", "left")
     return (
-        pack_list_changes(changes, pack_list)
-        .join(packs, "ks", "left")
-        .join(confirmed, "ks", "left")
+        lookup_join(listed, confirmed, "ks")
         .select(
             "id", F.col("id").alias("ssc_id"), "ks", F.col("qnt").alias("qnt_ssc"), "qnt_calc", elapsed.alias("elapsed")
         )

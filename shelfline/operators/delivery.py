@@ -12,6 +12,7 @@ from shelfline.functions.text import full_mod_name
 from shelfline.operators.lookups import current
 from shelfline.operators.stock import expected_label
 from shelfline.plans.latest import latest_per_key
+from shelfline.plans.lookup import lookup_join
 
 
 class Accepted(NamedTuple):
@@ -73,10 +74,9 @@ def stock_change_records(
         .when(status == C.STATUS_IN_STOCK, F.lit(labels.in_stock))
     )
     quantity = F.when(status == C.STATUS_IN_STOCK, F.col("available_qty")).otherwise(F.lit(0).cast("decimal(18,2)"))
+    changed = lookup_join(status_changes.select("ks", "old_status", "new_status"), known, "ks")
     filled = (
-        status_changes.select("ks", "old_status", "new_status")
-        .join(known, "ks", "left")
-        .join(open_purchase.select("ks", "expected_date"), "ks", "left")
+        lookup_join(changed, open_purchase.select("ks", "expected_date"), "ks")
         .join(availability.select("ks", F.col("available_qty").cast("decimal(18,2)")), "ks", "left")
         .select(
             "ks",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions import constants as C
+from shelfline.plans.lookup import lookup_join
 
 CURRENT = 1
 
@@ -29,13 +30,13 @@ def synced_modifications(modification: DataFrame, device: DataFrame) -> DataFram
 def attach_item_code(df: DataFrame, modification: DataFrame, into: str = "ks") -> DataFrame:
     """Add the item code of ``mod_id``."""
     codes = current(modification).groupBy("mod_id").agg(F.max("ks").alias(into))
-    return df.join(codes, "mod_id", "left")
+    return lookup_join(df, codes, "mod_id")
 
 
 def attach_mod_id(df: DataFrame, modification: DataFrame, into: str = "mod_id") -> DataFrame:
     """Add the modification id of ``ks``; of several the highest."""
     ids = current(modification).where(F.col("ks").isNotNull()).groupBy("ks").agg(F.max("mod_id").alias(into))
-    return df.join(ids, "ks", "left")
+    return lookup_join(df, ids, "ks")
 
 
 def import_parameters(df: DataFrame, import_param: DataFrame, name: str) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.plans.lookup import lookup_join
+
 CARRIED = ("mod_price", "mod_delivery_time", "dm_valuta", "dm_kurs", "dm_koef", "price_base", "vendor_art_id")
 
 
@@ -51,7 +53,7 @@ def attribute_vectors(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame
     shared = shared_parameters(mod_param, v_from, v_to).select("dev_id", "shared")
     vector = F.array_sort(F.filter("values", lambda v: F.array_contains("shared", v["dev_param_id"])))
     return (
-        gathered.join(shared, "dev_id")
+        lookup_join(gathered, shared, "dev_id", "inner")
         .withColumn("vector", vector)
         .select(
             "dev_id", "version_num", "mod_id", F.when(F.size("vector") == F.size("shared"), F.col("vector")).alias("vector")
@@ -85,7 +87,7 @@ def winning_matches(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame:
     so groups of equal modifications are never paired out."""
     old, new = _sides(mod_param, v_from, v_to)
     winners = old.where(F.col("vector").isNotNull()).groupBy("dev_id", "vector").agg(F.max("mod_id_from").alias("mod_id_from"))
-    return new.join(winners, ["dev_id", "vector"]).select("mod_id_from", "mod_id_to")
+    return lookup_join(new, winners, ["dev_id", "vector"], "inner").select("mod_id_from", "mod_id_to")
 
 
 def carry_prices(modification: DataFrame, matches: DataFrame, v_from: int, v_to: int) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import constants as C
 from shelfline.operators import stock
+from shelfline.plans.lookup import lookup_join
 
 
 def affected_by_payments(changes: DataFrame, invoice_line: DataFrame) -> DataFrame:
@@ -22,7 +23,7 @@ def affected_by_payments(changes: DataFrame, invoice_line: DataFrame) -> DataFra
     moved = (F.col("op") == "U") & (F.col("after.invoice_no") != F.col("before.invoice_no"))
     left_behind = F.when(moved, F.col("before.invoice_no"))
     invoices = changes.select(F.explode(F.array(now, left_behind)).alias("invoice_no")).where("invoice_no IS NOT NULL")
-    return invoice_line.join(invoices.distinct(), "invoice_no", "left_semi").select("ks").distinct()
+    return lookup_join(invoice_line, invoices.distinct(), "invoice_no", "left_semi").select("ks").distinct()
 
 
 def affected_by_reserves(changes: DataFrame, touched: Column | None = None) -> DataFrame:
@@ -58,7 +59,7 @@ def _recomputed(keys: DataFrame, tables: dict[str, DataFrame], rules: dict) -> t
     keys = keys.select("ks").distinct()
 
     def only(name: str) -> DataFrame:
-        return tables[name].join(keys, "ks", "left_semi")
+        return lookup_join(tables[name], keys, "ks", "left_semi")
 
     totals = stock.stock_totals(
         only("stock_qty"),

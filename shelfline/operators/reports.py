@@ -16,6 +16,7 @@ from shelfline.functions.text import full_mod_name, mod_number, trailing_number
 from shelfline.operators.lookups import current
 from shelfline.operators.stock import computed_status, expected_label
 from shelfline.plans.latest import latest_per_key
+from shelfline.plans.lookup import lookup_join
 
 
 def switched_off(site_device: DataFrame, device: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def compare_delivery(
     )
     if by == "name":
         site = site_price.select(F.col("ie_name").alias("mod_name"), "ip_prop110")
-        rows = mods.join(site, "mod_name").join(totals, "ks", "left").withColumn("wh", computed_status())
+        rows = lookup_join(mods.join(site, "mod_name"), totals, "ks").withColumn("wh", computed_status())
         shown = ["ks", "mod_name"]
     elif by == "key":
         prices = site_price.select(
@@ -87,13 +88,13 @@ def compare_delivery(
             "ie_name", "ip_prop110",
         )
         sections = site_device.select("ie_xml_id", mod_number(F.col("ip_prop674").cast("string")).alias("_section"))
-        rows = (
+        found = (
             mods.withColumn("_number", mod_number("mod_id"))
             .join(content.select("ks", F.col("stock_status").alias("wh")), "ks")
             .join(prices, "_number")
             .join(sections, ["ie_xml_id", "_section"])
-            .join(totals.select("ks", "expected_date"), "ks", "left")
         )
+        rows = lookup_join(found, totals.select("ks", "expected_date"), "ks")
         shown = ["ks", "mod_name", "ie_name"]
     else:
         raise ValueError(f"unknown way to compare {by!r}")

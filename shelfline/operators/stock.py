@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions import constants as C
+from shelfline.plans.lookup import lookup_join
 
 # Quantities and money are added as decimals: a sum of doubles depends on the row order.
 QUANTITY = T.DecimalType(18, 4)
@@ -46,7 +47,7 @@ def paid_reserves(
     held = reserve.where(F.col("released_at").isNull())
     if exclude_status is not None:
         held = held.where(F.col("reserve_status") != exclude_status)
-    return held.join(paid_invoices(payment), "invoice_no", "left_semi")
+    return lookup_join(held, paid_invoices(payment), "invoice_no", "left_semi")
 
 
 def _open_lines(po: DataFrame, po_line: DataFrame, excluded_suppliers: Collection[int]) -> DataFrame:
@@ -107,7 +108,7 @@ def stock_totals(
     def movement(df: DataFrame, on_hand: Column, on_order: Column, date: Column = no_date) -> DataFrame:
         return df.select("ks", on_hand.alias("on_hand"), on_order.alias("on_order"), date.alias("expected_date"))
 
-    reserves = (
+    held = (
         reserve.where(F.col("released_at").isNull() & (F.col("reserve_status") != closed_status))
         .select("invoice_no", "ks", (-_quantity("reserved_qty")).alias("on_hand"), nothing.alias("on_order"))
         .unionByName(
@@ -115,8 +116,8 @@ def stock_totals(
                 "invoice_no", "ks", nothing.alias("on_hand"), (-_quantity("reserved_qty")).alias("on_order")
             )
         )
-        .join(paid_invoices(payment), "invoice_no", "left_semi")
     )
+    reserves = lookup_join(held, paid_invoices(payment), "invoice_no", "left_semi")
     lines = _open_lines(po, po_line, excluded_suppliers)
     movements = (
         movement(_counted_stock(stock_qty, excluded_warehouses), _quantity("free_qty"), nothing)

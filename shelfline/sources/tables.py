@@ -95,6 +95,9 @@ class DomainTables(Mapping):
     def __getitem__(self, table: str) -> DataFrame:
         return self._spark.read.schema(schema(table)).parquet(f"{self._folder}/{table}")
 
+    def __contains__(self, table: object) -> bool:
+        return table in SCHEMAS
+
     def __iter__(self) -> Iterator[str]:
         return iter(SCHEMAS)
 

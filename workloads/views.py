@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BASE_TABLES = ("part", "orders", "lineitem", "customer", "supplier", "events")
+from shelfline.sources.change_feed import MAX_BYTES_PER_TRIGGER
 
 VIEWS: dict[str, str] = {
     "device": """
@@ -103,7 +103,7 @@ SELECT event_id AS id, ts AS dt_insert, CASE event_type WHEN 'error' THEN 2 WHEN
 FROM {events}""",
     "pack_list": "SELECT p_partkey AS ks FROM {part} WHERE p_size >= 20",
     "export_log": """
-SELECT o_orderkey AS exp_id, o_orderkey % 3 AS exp_version_num, CAST(FLOOR(o_orderkey / 4) AS BIGINT) % (SELECT COUNT(*) + 1 FROM {part}) AS dev_id,
+SELECT o_orderkey AS exp_id, o_orderkey % 3 AS exp_version_num, CAST(FLOOR(o_orderkey / 7) AS BIGINT) AS dev_id,
        CASE o_orderkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 6 WHEN 3 THEN 7 ELSE 2 END AS exp_mod,
        CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 8 END AS exp_csv_status, o_orderdate AS exp_dt, o_custkey AS exp_creator,
        o_orderkey % 3 AS exp_status, CASE WHEN o_orderstatus = 'F' THEN 'prod.example' ELSE 'dev.example' END AS exp_site,
@@ -157,7 +157,7 @@ FROM {lineitem} WHERE l_returnflag = 'A' AND l_tax > 0.07""",
     "order_line_change": """
 SELECT l_orderkey * 10 + l_linenumber AS seq, l_orderkey AS order_no, l_partkey AS ks FROM {lineitem} WHERE l_returnflag = 'N' AND l_discount > 0.09""",
     "export_log_change": """
-SELECT o_orderkey AS exp_id, CAST(FLOOR(o_orderkey / 4) AS BIGINT) % (SELECT COUNT(*) + 1 FROM {part}) AS dev_id, CASE o_orderkey % 4 WHEN 0 THEN 7 WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 1 END AS new_exp_mod,
+SELECT o_orderkey AS exp_id, CAST(FLOOR(o_orderkey / 7) AS BIGINT) AS dev_id, CASE o_orderkey % 4 WHEN 0 THEN 7 WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 1 END AS new_exp_mod,
        7 AS old_exp_mod, CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN 7 ELSE 0 END AS old_csv_status, CASE WHEN o_orderstatus = 'F' THEN 'prod.example' ELSE 'dev.example' END AS old_site,
        o_orderkey % 3 AS old_exp_status, CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE o_orderkey % 3 END AS new_exp_status, 1 + CAST(FLOOR(o_orderkey / 2) AS BIGINT) % 2 AS new_version_num FROM {orders}""",
     "device_change": """
@@ -230,6 +230,7 @@ class Domain:
         return (
             self.spark.readStream.schema(self.schema(table))
             .option("pathGlobFilter", f"{table}.parquet")
+            .option("maxBytesPerTrigger", MAX_BYTES_PER_TRIGGER)
             .parquet(self.sf_dir)
         )
 
