@@ -58,6 +58,10 @@ TRANSIENT_FRAGMENTS = (
     "Connection re",
 )
 
+# --- fixed values: patterns ------------------------------------------------------------
+# Number that ends an item's name.
+TRAILING_NUMBER = r": *?([0-9]+)\z"
+
 # --- fixed values: lookup failures -----------------------------------------------------
 MODIFICATION_NOT_FOUND = "modification not found"
 DEVICE_NOT_FOUND = "device not found"

@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.functions import constants as C
+
 SEPARATOR = "^"
 
 
@@ -42,7 +44,7 @@ def full_mod_name(dev_name: str = "dev_name", mod_id: str = "mod_id") -> Column:
 
 def trailing_number(name: Column | str) -> Column:
     """Digits that end an item name after a colon, NULL when there are none."""
-    return F.nullif(F.regexp_extract(name, r": *?([0-9]+)\z", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(name, C.TRAILING_NUMBER, 1), F.lit(""))
 
 
 def mod_number(mod_id: Column | str) -> Column:

@@ -156,6 +156,13 @@ def resend_expected(expected_shipment: DataFrame, modification: DataFrame, statu
     )
 
 
+def new_change_messages(stock_change: DataFrame) -> DataFrame:
+    """Message for every new change: its id, the rest is calculated on receipt."""
+    return stock_change.select(
+        "id", F.lit(C.CHANNEL_COMPUTE).alias("channel"), format_payload(["id"], nulls="blank").alias("payload")
+    )
+
+
 def new_expected_messages(expected_shipment: DataFrame) -> DataFrame:
     """Message for every new expected shipment; any missing part leaves it without a payload."""
     return expected_shipment.select(

@@ -149,9 +149,9 @@ def unsynced_devices(
         .where(F.coalesce("ie_active", F.lit(True)))
     )
     state = (
-        F.when(F.col("ie_active") & F.col("ie_xml_id").isNull(), texts.not_exported)
-        .when(F.col("ie_active") & F.col("ie_xml_id").isNotNull(), texts.changed)
-        .otherwise(texts.absent)
+        F.when(F.col("ie_active").isNull(), texts.absent)
+        .when(F.col("ie_xml_id").isNull(), texts.not_exported)
+        .otherwise(texts.changed)
     )
     return rows.select(
         state.alias("export_state"),

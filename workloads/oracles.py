@@ -14,20 +14,16 @@ AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 MOVEMENTS = """
 wh AS (SELECT ks, SUM(CAST(free_qty AS DECIMAL(18,4))) AS q FROM stock_qty
        WHERE NOT free_qty = 0 AND NOT warehouse_id IN (1, 3, 8, 9, 10) GROUP BY ks),
-held AS (SELECT r.ks, SUM(CAST(r.reserved_qty AS DECIMAL(18,4))) AS q FROM reserve r
-         WHERE NOT r.reserve_status = 3 AND r.released_at IS NULL
-           AND (SELECT COALESCE(SUM(CAST(p.amount AS DECIMAL(18,2))), 0) FROM payment p WHERE p.invoice_no = r.invoice_no) > 0
-         GROUP BY r.ks),
-coming AS (SELECT l.ks, SUM(CAST(l.qty AS DECIMAL(18,4))) AS q, MIN(l.expected_date) AS expected_date
-           FROM purchase_order o JOIN purchase_order_line l ON o.order_no = l.order_no
-           WHERE NOT COALESCE(l.cancelled, FALSE) AND NOT COALESCE(l.done, FALSE) AND l.invoice_no IS NULL
-             AND NOT COALESCE(o.cancelled, FALSE) AND NOT COALESCE(o.done, FALSE) AND l.received_at IS NULL
-             AND o.supplier_code NOT IN (3, 7)
-           GROUP BY l.ks),
-promised AS (SELECT r.ks, SUM(CAST(r.reserved_qty AS DECIMAL(18,4))) AS q FROM incoming_reserve r
-             WHERE r.released_at IS NULL
-               AND (SELECT COALESCE(SUM(CAST(p.amount AS DECIMAL(18,2))), 0) FROM payment p WHERE p.invoice_no = r.invoice_no) > 0
-             GROUP BY r.ks)"""
+settled AS (SELECT invoice_no FROM payment GROUP BY invoice_no HAVING SUM(CAST(amount AS DECIMAL(18,2))) > 0),
+held AS (SELECT ks, SUM(CAST(reserved_qty AS DECIMAL(18,4))) AS q FROM reserve
+         WHERE invoice_no IN (SELECT invoice_no FROM settled) AND released_at IS NULL AND reserve_status <> 3 GROUP BY ks),
+promised AS (SELECT ks, SUM(CAST(reserved_qty AS DECIMAL(18,4))) AS q FROM incoming_reserve
+             WHERE invoice_no IN (SELECT invoice_no FROM settled) AND released_at IS NULL GROUP BY ks),
+running AS (SELECT order_no FROM purchase_order WHERE cancelled IS NOT TRUE AND done IS NOT TRUE AND supplier_code NOT IN (3, 7)),
+coming AS (SELECT ks, SUM(CAST(qty AS DECIMAL(18,4))) AS q, MIN(expected_date) AS expected_date FROM purchase_order_line
+           WHERE order_no IN (SELECT order_no FROM running)
+             AND cancelled IS NOT TRUE AND done IS NOT TRUE AND invoice_no IS NULL AND received_at IS NULL
+           GROUP BY ks)"""
 
 STATUS = MOVEMENTS + """,
 status AS (SELECT c.ks, CAST(COALESCE(c.stock_status, -1) AS INTEGER) AS cur,
@@ -264,6 +260,7 @@ SELECT s.id, s.mod_id, s.dbl_cnt + (SELECT COUNT(*) FROM compared c WHERE c.equa
        concat_ws('^', mod_id, time_delivery, CAST(id AS VARCHAR), COALESCE(CAST(qnt AS VARCHAR), '')) AS payload FROM stock_change WHERE change_status = 5""",
     "resend_expected": f"""WITH linked AS (SELECT e.*, {CURRENT_MOD_ID.format('e')} AS mod_id FROM expected_shipment e WHERE e.status = 2)
 SELECT id, 'do_expected' AS channel, concat_ws('^', mod_id, expected, CAST(id AS VARCHAR)) AS payload FROM linked WHERE mod_id IS NOT NULL""",
+    "new_change_messages": "SELECT id, 'do_compute_single' AS channel, CAST(id AS VARCHAR) AS payload FROM stock_change",
     "new_expected_messages": f"""WITH linked AS (SELECT e.*, {CURRENT_MOD_ID.format('e')} AS mod_id FROM expected_shipment e)
 SELECT id, 'do_expected' AS channel, mod_id || '^' || expected || '^' || CAST(id AS VARCHAR) AS payload FROM linked""",
     "format_payloads": f"""WITH linked AS (SELECT e.*, {CURRENT_MOD_ID.format('e')} AS mod_id FROM expected_shipment e)
@@ -379,12 +376,11 @@ JOIN site_device b ON b.ip_prop674 = p.ic_xml_id0 AND b.ie_xml_id = a.ie_xml_id
 WHERE NOT (p.ip_prop110 = a.in_base OR p.ip_prop110 = a.undated) AND a.dev_id NOT IN (SELECT dev_id FROM off)""",
     "compare_price": f"WITH {OFF}, {PRICES} SELECT ks, mod_name, price_item, price_list, price_catalogue, price_site FROM prices",
     "distinct_site_devices": "SELECT ie_name, ie_active FROM site_device GROUP BY ie_name, ie_active",
-    "unsynced_devices": """SELECT CASE WHEN b.ie_active AND d.ie_xml_id IS NULL THEN 'Не выгружен' WHEN b.ie_active AND NOT d.ie_xml_id IS NULL THEN 'Изменен, не выгружен'
-       ELSE 'Нет на сайте' END AS export_state, d.dev_name_long, d.dev_name, d.arc_name, v.vendor_name AS site_vendor, c.company_name AS base_vendor,
+    "unsynced_devices": """SELECT CASE WHEN b.ie_active IS NULL THEN 'Нет на сайте' WHEN d.ie_xml_id IS NULL THEN 'Не выгружен' ELSE 'Изменен, не выгружен' END AS export_state, d.dev_name_long, d.dev_name, d.arc_name, v.vendor_name AS site_vendor, c.company_name AS base_vendor,
        CASE WHEN d.mod_single THEN 'Да' ELSE 'Нет' END AS single_mod, d.timedelivery
 FROM device d JOIN site_vendor v ON v.vendor_id = d.vendor_id LEFT JOIN company c ON c.company_code = d.supplier_code
 LEFT JOIN (SELECT DISTINCT ie_name, ie_active FROM site_device) b ON b.ie_name = d.dev_name
-WHERE (d.ie_xml_id IS NULL OR d.ie_xml_id_dt IS NULL) AND d.version_num = 1 AND COALESCE(b.ie_active, TRUE)""",
+WHERE d.version_num = 1 AND b.ie_active IS NOT FALSE AND NOT (d.ie_xml_id IS NOT NULL AND d.ie_xml_id_dt IS NOT NULL)""",
     "latest_invoice_firm": f"WITH {LAST_FIRM} SELECT customer_code, firm FROM last_firm",
     "issuing_firm": f"""WITH {LAST_FIRM},
 chosen AS (SELECT f.customer_code, CASE WHEN f.customer_code = 5 THEN 'FIRM_S' WHEN EXISTS (SELECT 1 FROM dealer d WHERE d.customer_code = f.customer_code) THEN 'FIRM_D'

@@ -224,6 +224,11 @@ def resend_expected(d):
     return changes.resend_expected(d.expected_shipment, d.modification, 2)
 
 
+@query
+def new_change_messages(d):
+    return changes.new_change_messages(d.stock_change)
+
+
 @query
 def new_expected_messages(d):
     return changes.new_expected_messages(lookups.attach_mod_id(d.expected_shipment, d.modification))
