@@ -52,12 +52,15 @@ def stock_change_records(
     status_changes: DataFrame,
     modification: DataFrame,
     device: DataFrame,
-    open_purchase: DataFrame,
+    open_purchase: DataFrame | None,
     availability: DataFrame,
     labels: C.Labels = C.Labels(),
 ) -> Accepted:
     """Change rows for ``status_changes(ks, old_status, new_status)``.
 
+    The earliest date of an item's open orders comes from ``open_purchase``, or, when that is
+    None, from a column ``expected_date`` the changes already have.
+
     The item needs a current modification whose device has been exported. The term follows the
     new status; only items in stock carry a quantity. Items without a modification, without a
     term or without a quantity are rejected.
@@ -74,9 +77,11 @@ def stock_change_records(
         .when(status == C.STATUS_IN_STOCK, F.lit(labels.in_stock))
     )
     quantity = F.when(status == C.STATUS_IN_STOCK, F.col("available_qty")).otherwise(F.lit(0).cast("decimal(18,2)"))
-    changed = lookup_join(status_changes.select("ks", "old_status", "new_status"), known, "ks")
+    if open_purchase is not None:
+        changes = status_changes.select("ks", "old_status", "new_status")
+        status_changes = lookup_join(changes, open_purchase.select("ks", "expected_date"), "ks")
     filled = (
-        lookup_join(changed, open_purchase.select("ks", "expected_date"), "ks")
+        lookup_join(status_changes, known, "ks")
         .join(availability.select("ks", F.col("available_qty").cast("decimal(18,2)")), "ks", "left")
         .select(
             "ks",

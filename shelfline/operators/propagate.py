@@ -54,39 +54,30 @@ def affected_by_stock(changes: DataFrame) -> DataFrame:
     return changes.select(both).where("ks IS NOT NULL").distinct()
 
 
-def _recomputed(keys: DataFrame, tables: dict[str, DataFrame], rules: dict) -> tuple[DataFrame, DataFrame]:
-    """Status with the earliest date, and the totals it came from, for ``keys`` only."""
-    keys = keys.select("ks").distinct()
+MOVEMENTS = ("stock_qty", "reserve", "incoming_reserve", "payment", "purchase_order", "purchase_order_line")
 
-    def only(name: str) -> DataFrame:
-        return lookup_join(tables[name], keys, "ks", "left_semi")
-
-    totals = stock.stock_totals(
-        only("stock_qty"),
-        only("reserve"),
-        only("incoming_reserve"),
-        tables["payment"],
-        tables["purchase_order"],
-        only("purchase_order_line"),
-        **rules,
-    )
+
+def recompute_dated_status(keys: DataFrame, tables: dict[str, DataFrame], **rules) -> DataFrame:
+    """:func:`recompute_status` with the earliest date of the open orders, ``expected_date``."""
+    keys = keys.select("ks").distinct()
+    totals = stock.stock_totals(*[tables[t] for t in MOVEMENTS], items=keys, **rules)
     items = keys.join(stock.current_status(tables["content"]), "ks", "left")
-    return stock.status_from_totals(items, totals), totals
+    return stock.status_from_totals(items, totals)
 
 
 def recompute_status(keys: DataFrame, tables: dict[str, DataFrame], **rules) -> DataFrame:
     """``ks, cur, clc`` for the given items; ``cur`` is NULL for an item that does not exist.
 
-    Every large input is reduced to the items before it is summed. ``tables`` holds ``content``,
-    ``stock_qty``, ``reserve``, ``incoming_reserve``, ``payment``, ``purchase_order`` and
-    ``purchase_order_line``.
+    Every large input is reduced to the items before it is summed. ``tables`` holds ``content``
+    and :data:`MOVEMENTS`.
     """
-    return _recomputed(keys, tables, rules)[0].select("ks", "cur", "clc")
+    return recompute_dated_status(keys, tables, **rules).select("ks", "cur", "clc")
 
 
 def status_changes(status: DataFrame) -> DataFrame:
     """The items whose status differs from the stored one: ``ks, old_status, new_status``, an
-    unknown old status as NULL."""
+    unknown old status as NULL. Further columns of ``status`` come along."""
+    more = [c for c in status.columns if c not in ("ks", "cur", "clc")]
     return status.where(F.col("cur") != F.col("clc")).select(
-        "ks", F.nullif(F.col("cur"), F.lit(-1)).alias("old_status"), F.col("clc").alias("new_status")
+        "ks", F.nullif(F.col("cur"), F.lit(-1)).alias("old_status"), F.col("clc").alias("new_status"), *more
     )

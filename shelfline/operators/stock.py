@@ -20,6 +20,10 @@ def _quantity(column: str) -> Column:
     return F.col(column).cast(QUANTITY)
 
 
+def _only(df: DataFrame, items: DataFrame | None) -> DataFrame:
+    return df if items is None else lookup_join(df, items, "ks", "left_semi")
+
+
 def _counted_stock(stock_qty: DataFrame, excluded: Collection[int]) -> DataFrame:
     return stock_qty.where((F.col("free_qty") != 0) & ~F.col("warehouse_id").isin(*excluded))
 
@@ -50,12 +54,15 @@ def paid_reserves(
     return lookup_join(held, paid_invoices(payment), "invoice_no", "left_semi")
 
 
-def _open_lines(po: DataFrame, po_line: DataFrame, excluded_suppliers: Collection[int]) -> DataFrame:
+def _open_lines(
+    po: DataFrame, po_line: DataFrame, excluded_suppliers: Collection[int], items: DataFrame | None = None
+) -> DataFrame:
     def live(df: DataFrame) -> DataFrame:
         return df.where(~F.coalesce("cancelled", F.lit(False)) & ~F.coalesce("done", F.lit(False)))
 
     orders = live(po).where(~F.col("supplier_code").isin(*excluded_suppliers)).select("order_no")
     lines = live(po_line).where(F.col("invoice_no").isNull() & F.col("received_at").isNull())
+    lines = _only(lines, items)
     return lines.join(orders, "order_no").select("ks", "qty", "expected_date")
 
 
@@ -96,11 +103,13 @@ def stock_totals(
     excluded_warehouses: Collection[int] = C.UNCOUNTED_WAREHOUSES,
     excluded_suppliers: Collection[int] = C.UNCOUNTED_SUPPLIERS,
     closed_status: int = C.CLOSED_RESERVE_STATUS,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """Everything the status needs, per item: ``ks, on_hand, on_order, expected_date``.
 
     The four movements are stacked and summed once, so items cross the network in one shuffle;
-    both kinds of reserve are tested against the paid invoices in one join.
+    both kinds of reserve are tested against the paid invoices in one join. With ``items``
+    (distinct ``ks``) every input is reduced to those before anything else happens to it.
     """
     nothing = F.lit(0).cast(QUANTITY)
     no_date = F.lit(None).cast("timestamp_ntz")
@@ -117,10 +126,11 @@ def stock_totals(
             )
         )
     )
-    reserves = lookup_join(held, paid_invoices(payment), "invoice_no", "left_semi")
-    lines = _open_lines(po, po_line, excluded_suppliers)
+    reserves = lookup_join(_only(held, items), paid_invoices(payment), "invoice_no", "left_semi")
+    lines = _open_lines(po, po_line, excluded_suppliers, items)
+    counted = _only(_counted_stock(stock_qty, excluded_warehouses), items)
     movements = (
-        movement(_counted_stock(stock_qty, excluded_warehouses), _quantity("free_qty"), nothing)
+        movement(counted, _quantity("free_qty"), nothing)
         .unionByName(movement(reserves, F.col("on_hand"), F.col("on_order")))
         .unionByName(movement(lines, nothing, _quantity("qty"), F.col("expected_date").cast("timestamp_ntz")))
     )
@@ -149,7 +159,7 @@ def current_status(content: DataFrame) -> DataFrame:
     return content.select("ks", F.coalesce(F.col("stock_status").cast("int"), F.lit(-1)).alias("cur"))
 
 
-def stock_status(
+def dated_status(
     content: DataFrame,
     stock_qty: DataFrame,
     reserve: DataFrame,
@@ -159,13 +169,19 @@ def stock_status(
     po_line: DataFrame,
     **rules,
 ) -> DataFrame:
+    """:func:`stock_status` with the earliest date of the open orders, ``expected_date``."""
+    totals = stock_totals(stock_qty, reserve, incoming_reserve, payment, po, po_line, **rules)
+    return status_from_totals(current_status(content), totals)
+
+
+def stock_status(content: DataFrame, *movements: DataFrame, **rules) -> DataFrame:
     """Stored and computed status of every item: ``ks, cur, clc``.
 
     In stock when free stock exceeds the paid reserves; else on order when open orders exceed
-    the paid incoming reserves; else none. ``rules`` are those of :func:`stock_totals`.
+    the paid incoming reserves; else none. ``movements`` are ``stock_qty, reserve,
+    incoming_reserve, payment, po, po_line``; ``rules`` are those of :func:`stock_totals`.
     """
-    totals = stock_totals(stock_qty, reserve, incoming_reserve, payment, po, po_line, **rules)
-    return status_from_totals(current_status(content), totals).select("ks", "cur", "clc")
+    return dated_status(content, *movements, **rules).select("ks", "cur", "clc")
 
 
 def apply_status(content: DataFrame, status: DataFrame, mode: bool = True) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -19,3 +19,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="shelfline-")
     return f"{root.rstrip('/')}/shelfline/{purpose}-{uuid4().hex}"
+
+
+def materialized(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written below the shared folder and read back. For a small result that a plan uses
+    many times: it is computed once, the plan stays short, and no executor is needed to keep it."""
+    spark = df.sparkSession
+    folder = shared_folder(spark, purpose)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.functions import constants as C
 from shelfline.operators import propagate
+from shelfline.sources.folders import materialized
 from shelfline.streaming.sinks import start, write_batch
 
 # The columns of any changed row that decide which items it affects.
@@ -67,7 +68,7 @@ def stream_recompute(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        keys = affected_items(batch, tables, triggering_exclusions)
+        keys = materialized(affected_items(batch, tables, triggering_exclusions), "affected")
         write_batch(propagate.recompute_status(keys, tables, **rules), path, batch_id)
 
     return start(changes, checkpoint, handler=handle, catch_up=catch_up)

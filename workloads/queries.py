@@ -128,12 +128,11 @@ def default_delivery(d):
     return delivery.default_delivery(lookups.current(d.modification), d.modification, d.device)
 
 
-def _changes_of_status(d):
-    return stock_status(d).select("ks", F.nullif("cur", F.lit(-1)).alias("old_status"), F.col("clc").alias("new_status"))
-
-
 def _change_records(d):
-    return delivery.stock_change_records(_changes_of_status(d), d.modification, d.device, _totals(d), d.availability, LABELS)
+    """A record for every item, changed or not."""
+    status = stock.dated_status(*[getattr(d, t) for t in STOCK_TABLES], excluded_suppliers=SUPPLIERS)
+    all_items = status.select("ks", F.nullif("cur", F.lit(-1)).alias("old_status"), F.col("clc").alias("new_status"), "expected_date")
+    return delivery.stock_change_records(all_items, d.modification, d.device, None, d.availability, LABELS)
 
 
 @query
@@ -311,9 +310,8 @@ def affected_by_orders(d):
 
 
 def _affected(d):
-    return (
-        affected_by_payments(d).unionByName(affected_by_reserves(d)).unionByName(affected_by_orders(d)).distinct()
-    )
+    keys = affected_by_payments(d).unionByName(affected_by_reserves(d)).unionByName(affected_by_orders(d)).distinct()
+    return folders.materialized(keys, "affected")
 
 
 @query
@@ -324,9 +322,10 @@ def recompute_status(d):
 @query
 def recompute_changes(d):
     """Change records that follow from a recompute."""
-    return delivery.stock_change_records(
-        propagate.status_changes(recompute_status(d)), d.modification, d.device, _totals(d), d.availability, LABELS
-    ).records.select("ks", "stock_status_old", "stock_status_new", "mod_id", "time_delivery", "qnt")
+    changed = propagate.status_changes(propagate.recompute_dated_status(_affected(d), _tables(d), excluded_suppliers=SUPPLIERS))
+    return delivery.stock_change_records(changed, d.modification, d.device, None, d.availability, LABELS).records.select(
+        "ks", "stock_status_old", "stock_status_new", "mod_id", "time_delivery", "qnt"
+    )
 
 
 # --- exports ------------------------------------------------------------------------------
