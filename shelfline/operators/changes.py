@@ -51,7 +51,7 @@ def last_sent(stock_change: DataFrame) -> DataFrame:
 
 def _compared(candidates: DataFrame, stock_change: DataFrame) -> DataFrame:
     """``candidates`` with ``equal`` and the id of the last sent row they were compared with."""
-    history = stock_change.groupBy("mod_id").agg(
+    history = stock_change.where(F.col("change_status").isin(C.PENDING, C.SENT)).groupBy("mod_id").agg(
         F.bool_or(F.col("change_status") == C.PENDING).alias("_pending"),
         newest(["id", "time_delivery", "qnt"], _sent_order(), F.col("change_status") == C.SENT).alias("_sent"),
     )

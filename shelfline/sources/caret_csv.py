@@ -27,13 +27,10 @@ NO_VALUE = "\u0000"
 
 
 def write_caret_csv(
-    df: DataFrame, path: str, partition_by: tuple[str, ...] = (), single_file: bool = False, mode: str = "overwrite"
+    df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite"
 ) -> None:
-    """Write part files with a header each. ``single_file`` is for small exports only: it makes
-    one task write everything."""
-    writer = (df.coalesce(1) if single_file else df).write.mode(mode).options(**FORMAT)
-    if not single_file:
-        writer = writer.option("maxRecordsPerFile", ROWS_PER_FILE)
+    """Write part files with a header each."""
+    writer = df.write.mode(mode).options(**FORMAT).option("maxRecordsPerFile", ROWS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)

@@ -66,6 +66,13 @@ def test_apply_status_and_log(tables):
     assert by_key(log, "num", "operation") == {"1": "0->2", "2": "-1->1", "3": "0->0", "4": "2->2"}
 
 
+def test_log_is_appended_by_day(spark, tables, tmp_path):
+    for day in ("2024-02-01 10:00:00", "2024-02-02 10:00:00"):
+        logs.append_log(logs.transition_log(status(tables), day), str(tmp_path / "log"))
+    stored = spark.read.parquet(str(tmp_path / "log"))
+    assert {str(r.day): r["count"] for r in stored.groupBy("day").count().collect()} == {"2024-02-01": 4, "2024-02-02": 4}
+
+
 def test_recompute_only_what_is_asked(tables, frame):
     keys = frame("ks INT", (2,), (2,), (9,))
     assert by_key(propagate.recompute_status(keys, tables), "ks", "cur", "clc") == {2: (-1, 1), 9: (None, 2)}
