@@ -6,16 +6,21 @@ frame. How many rows that can be is bounded by the feed's admission control, not
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from shelfline.functions import constants as C
+from shelfline.functions.constants import BLOCKED, FAILED, RETRY_LIMIT, SENT
 from shelfline.operators.delivery import is_transient
 
+# The processors travel to the executors whole: the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -84,13 +89,13 @@ class Retry(StatefulProcessor):
         for ok, transient, stored in attempts[["ok", "transient", "retry_cnt"]].itertuples(index=False, name=None):
             count = int(stored) if count is None else count
             if ok:
-                status, again = C.SENT, False
+                status, again = SENT, False
             elif transient:
                 again = count <= self._limit
-                status = change_id if again else C.FAILED
+                status = change_id if again else FAILED
                 count += 1
             else:
-                status, again, count = C.BLOCKED, False, 0
+                status, again, count = BLOCKED, False, 0
             out.append((change_id, "outcome", status, count, again))
             if again and self._pause:
                 self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self._pause)
@@ -107,7 +112,7 @@ class Retry(StatefulProcessor):
         pass
 
 
-def stream_retry(attempts: DataFrame, retry_limit: int = C.RETRY_LIMIT, pause_ms: int = 0) -> DataFrame:
+def stream_retry(attempts: DataFrame, retry_limit: int = RETRY_LIMIT, pause_ms: int = 0) -> DataFrame:
     """Stream form of :func:`shelfline.operators.delivery.delivery_outcome` that remembers counts.
 
     ``attempts(id, seq, retry_cnt, error)``; the stored ``retry_cnt`` matters for the first
