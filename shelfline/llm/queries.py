@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfline import configure
-from shelfline.llm import token_counts
+from shelfline.llm import line_dedup, mixing, packing, quality, token_counts
 from shelfline.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -43,3 +44,36 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 @query
 def op7_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=512)
+
+
+def _remainder(key: str = "doc_id"):
+    """Labels may be learned where it is not 1."""
+    return F.crc32(F.col(key).cast("string")) % 3
+
+
+@query
+def op1_best_fit_packing(spark, sf_dir):
+    # Capacities that only tokens can exhaust: the contract asks for as few sequences as possible.
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=2)
+    packed = packing.pack(pieces, 1024, most_documents=1024, most_cost=1024.0**2, score="norm", weights=(1.0, 0.0, 0.0))
+    return packed.withColumnRenamed("key", "doc_id")
+
+
+@query
+def op2_line_dedup(spark, sf_dir):
+    docs = line_dedup.drop_site_lines(table(spark, sf_dir, "documents"), site="source", ratio=0.1, least_pages=5)
+    return docs.select("doc_id", "source", "text", F.col("_dropped").alias("n_dropped"))
+
+
+@query
+def op6_source_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op9_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), usable=_remainder() != 1)
+    scored = quality.scores(docs, model)
+    return scored.select("doc_id", (_remainder() == 1).alias("held_out"), "score", "predicted")

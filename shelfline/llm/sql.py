@@ -1,3 +1,30 @@
 """SQL for the queries of this subpackage that SQL can express."""
 
 SQL: dict[str, str] = {}
+
+SQL["op2_line_dedup"] = """
+WITH lines AS (
+    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+    FROM documents
+),
+pages AS (SELECT source, count(*) AS pages FROM documents WHERE text IS NOT NULL GROUP BY source),
+often AS (
+    SELECT l.source, trim(l.line) AS line
+    FROM lines l
+    WHERE trim(l.line) <> ''
+    GROUP BY l.source, trim(l.line)
+    HAVING count(DISTINCT l.doc_id) >= 5
+       AND count(DISTINCT l.doc_id) > 0.1 * (SELECT any_value(p.pages) FROM pages p WHERE p.source = l.source)
+),
+judged AS (
+    SELECT l.*, EXISTS (SELECT 1 FROM often o WHERE o.source = l.source AND o.line = trim(l.line)) AS gone
+    FROM lines l
+),
+cleaned AS (
+    SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text, count(*) FILTER (gone) AS n
+    FROM judged
+    GROUP BY doc_id
+)
+SELECT d.doc_id, d.source, c.text, CAST(coalesce(c.n, 0) AS INTEGER) AS n_dropped
+FROM documents d LEFT JOIN cleaned c USING (doc_id)
+"""
