@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import configure
-from shelfline.llm import line_dedup, mixing, packing, quality, token_counts
+from shelfline.llm import line_dedup, minhash_forest, mixing, packing, quality, token_counts
 from shelfline.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -77,3 +77,8 @@ def op9_quality(spark, sf_dir):
     model = quality.train(docs, table(spark, sf_dir, "labels"), usable=_remainder() != 1)
     scored = quality.scores(docs, model)
     return scored.select("doc_id", (_remainder() == 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_minhash_forest(spark, sf_dir):
+    return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), percent=85, words=5)
