@@ -7,11 +7,13 @@ import types
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfline.sources.folders import materialized, shared_folder
 
-__all__ = ["by_bytes", "materialized", "shared_folder", "table", "worker_cache"]
+__all__ = ["by_bytes", "files", "materialized", "put", "shared_folder", "table", "worker_cache"]
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -36,3 +38,26 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Itera
             held += int(size)
         if start < len(sizes):
             yield batch.slice(start)
+
+
+def put(uri: str, data: bytes) -> None:
+    """Write a file from a task: under another name first, so that a name stands for a whole file
+    and a repeated task replaces what it wrote. Local and other paths that Arrow opens by URI."""
+    import os
+    import uuid
+
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    system.create_dir(os.path.dirname(path), recursive=True)
+    draft = f"{os.path.dirname(path)}/_{uuid.uuid4().hex}"
+    with system.open_output_stream(draft) as out:
+        out.write(data)
+    system.move(draft, path)
+
+
+def files(spark, folder: str) -> DataFrame:
+    """``name, content`` of the finished files of a folder."""
+    found = spark.read.format("binaryFile").load(folder).select("path", "content")
+    name = F.element_at(F.split("path", "/"), -1)
+    return found.select(name.alias("name"), "content")

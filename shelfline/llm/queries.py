@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import configure
-from shelfline.llm import line_dedup, minhash_forest, mixing, packing, quality, token_counts
+from shelfline.llm import line_dedup, minhash_forest, mixing, packing, quality, token_counts, wavelet
 from shelfline.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -31,6 +31,11 @@ def session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    return public_tokenizers.path(name)
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]):
     """Register a function under its own name."""
 
@@ -43,7 +48,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 
 @query
 def op7_token_counts(spark, sf_dir):
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=512)
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), limit=512)
 
 
 def _remainder(key: str = "doc_id"):
@@ -54,7 +59,7 @@ def _remainder(key: str = "doc_id"):
 @query
 def op1_best_fit_packing(spark, sf_dir):
     # Capacities that only tokens can exhaust: the contract asks for as few sequences as possible.
-    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=2)
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), end_id=2)
     packed = packing.pack(pieces, 1024, most_documents=1024, most_cost=1024.0**2, score="norm", weights=(1.0, 0.0, 0.0))
     return packed.withColumnRenamed("key", "doc_id")
 
@@ -82,3 +87,8 @@ def op9_quality(spark, sf_dir):
 @query
 def op10_minhash_forest(spark, sf_dir):
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), percent=85, words=5)
+
+
+@query
+def op5_wavelet_shards(spark, sf_dir):
+    return wavelet.token_shards(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), end_id=1)
