@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import configure
-from shelfline.llm import line_dedup, minhash_forest, mixing, packing, quality, token_counts, wavelet
+from shelfline.llm import line_dedup, minhash_forest, mixing, packing, quality, token_counts, warc, wavelet
 from shelfline.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -92,3 +92,8 @@ def op10_minhash_forest(spark, sf_dir):
 @query
 def op5_wavelet_shards(spark, sf_dir):
     return wavelet.token_shards(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE), end_id=1)
+
+
+@query
+def op3_warc_from_arc(spark, sf_dir):
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
