@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import configure
-from shelfline.llm import line_dedup, minhash_forest, mixing, packing, quality, token_counts, warc, wavelet
+from shelfline.llm import cross_polytope, line_dedup, minhash_forest, mixing, packing, quality, token_counts, vector_dedup, warc, wavelet
 from shelfline.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -97,3 +97,13 @@ def op5_wavelet_shards(spark, sf_dir):
 @query
 def op3_warc_from_arc(spark, sf_dir):
     return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_vector_near_duplicates(spark, sf_dir):
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+@query
+def op8_cross_polytope(spark, sf_dir):
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
