@@ -29,7 +29,7 @@ class BatchOutcome(NamedTuple):
 def _judged_stages(stage_results: DataFrame, export_log: DataFrame, device: DataFrame) -> DataFrame:
     """Results of planned stages with the id each returned and whether the stage failed.
 
-    A stage has to return a number when its section or the device is new, the device stage
+    A stage fails with an error of copying or importing. It also has to return a number when its section or the device is new, the device stage
     always, and the price stage also when no device stage follows.
     """
     exports = export_log.select(
@@ -52,7 +52,8 @@ def _judged_stages(stage_results: DataFrame, export_log: DataFrame, device: Data
         .join(versions, ["dev_id", "exp_version_num"])
         .withColumn("is_new", is_new_for("stage"))
         .withColumn("returned_id", returned)
-        .withColumn("failed", needs_id & F.col("returned_id").isNull())
+        .withColumn("faulty", F.coalesce(F.col("error"), F.lit("")) != "")
+        .withColumn("failed", F.col("faulty") | (needs_id & F.col("returned_id").isNull()))
     )
 
 
@@ -70,21 +71,26 @@ def apply_export_outcome(
     as_of: str,
     texts: C.ExportTexts = C.ExportTexts(),
 ) -> ExportOutcome:
-    """Outcome of every export with results ``stage_results(exp_id, stage, returned_text)``.
+    """Outcome of every export with results ``stage_results(exp_id, stage, returned_text, error)``.
 
-    An export succeeds or fails as a whole. Success adds the completed stages to its status and
-    writes the device: ids only where they were missing (the first export to fill one wins),
-    sync times always. Failure changes neither and leaves the offending answer as the result.
+    An export succeeds or fails as a whole: it succeeds when every planned stage has a result and
+    none failed. Success adds the stages to its status and writes the device: ids only where they
+    were missing (the first export to fill one wins), the sync times of its stages, and the stored
+    ones otherwise. Failure changes neither and leaves the offending answer as the result. An export
+    without failure that lacks a stage is not finished: ``ok`` is NULL and nothing is changed.
     """
     stages = _judged_stages(stage_results, export_log, device)
     done_at = F.lit(as_of).cast("timestamp_ntz")
     per_export = stages.groupBy(
-        "exp_id", "dev_id", "exp_version_num", "exp_csv_status", "exp_creator", "exp_site", "dev_name"
+        "exp_id", "dev_id", "exp_version_num", "exp_csv_status", "exp_creator", "exp_site", "dev_name", "mask"
     ).agg(
         F.bit_or("stage").alias("done"),
         F.bool_or("failed").alias("failed"),
         F.min_by(
-            F.concat(F.lit("stage "), F.col("stage").cast("string"), F.lit(" result=["), F.coalesce("returned_text", F.lit("")), F.lit("]")),
+            F.concat(
+                F.lit("stage "), F.col("stage").cast("string"), F.when(F.col("faulty"), " error=[").otherwise(" result=["),
+                F.when(F.col("faulty"), F.col("error")).otherwise(F.coalesce("returned_text", F.lit(""))), F.lit("]"),
+            ),
             F.when(F.col("failed"), _stage_rank()),
         ).alias("error"),
         *[
@@ -92,7 +98,7 @@ def apply_export_outcome(
             for name, stage in (("new_ie_xml_id", C.STAGE_DEVICE), ("new_ip_prop674", C.STAGE_PRICES), ("new_ip_prop675", C.STAGE_MODIFIERS))
         ],
     )
-    ok = ~F.col("failed")
+    ok = F.when(F.col("failed"), False).when(F.col("done") == F.col("mask"), True)
     status = F.col("exp_csv_status").cast("int")
     combined = F.coalesce(status.bitwiseAND(F.lit(7)), F.lit(0)).bitwiseOR(F.col("done"))
     success = F.concat(
@@ -104,7 +110,7 @@ def apply_export_outcome(
         "exp_creator",
         ok.alias("ok"),
         F.when(ok, combined).otherwise(status).alias("exp_csv_status"),
-        F.when(ok, success).otherwise(F.col("error")).alias("exp_result"),
+        F.when(ok, success).when(~ok, F.col("error")).alias("exp_result"),
         F.when(ok, done_at).alias("exp_finish_dt"),
     )
 
@@ -112,7 +118,7 @@ def apply_export_outcome(
         return F.min_by(f"new_{name}", F.when(F.col(f"new_{name}").isNotNull(), F.col("exp_id"))).alias(f"_{name}")
 
     def touched(stage: int, name: str) -> Column:
-        return F.when(F.bool_or(has_stage(F.col("done"), stage)), done_at).alias(name)
+        return F.when(F.bool_or(has_stage(F.col("done"), stage)), done_at).alias(f"_{name}")
 
     updates = (
         per_export.where(ok)
@@ -122,16 +128,15 @@ def apply_export_outcome(
             touched(C.STAGE_DEVICE, "ie_xml_id_dt"), touched(C.STAGE_PRICES, "ip_prop674_dt"), touched(C.STAGE_MODIFIERS, "ip_prop675_dt"),
         )
     )
-    devices = updates.join(device.select("dev_id", "version_num", "ie_xml_id", "ip_prop674", "ip_prop675"), ["dev_id", "version_num"])
+    ids, dates = ("ie_xml_id", "ip_prop674", "ip_prop675"), ("ie_xml_id_dt", "ip_prop674_dt", "ip_prop675_dt")
+    devices = updates.join(device.select("dev_id", "version_num", *ids, *dates), ["dev_id", "version_num"])
     return ExportOutcome(
         exports,
         devices.select(
             "dev_id",
             "version_num",
-            *[F.coalesce(c, f"_{c}").alias(c) for c in ("ie_xml_id", "ip_prop674", "ip_prop675")],
-            "ie_xml_id_dt",
-            "ip_prop674_dt",
-            "ip_prop675_dt",
+            *[F.coalesce(c, f"_{c}").alias(c) for c in ids],
+            *[F.coalesce(f"_{c}", c).alias(c) for c in dates],
         ),
     )
 
@@ -198,9 +203,9 @@ def apply_batch_outcome(
 
 
 def export_notices(exports: DataFrame) -> DataFrame:
-    """Notice to the creator of every export: already read on success, the error otherwise."""
+    """Notice to the creator of every finished export: already read on success, the error otherwise."""
     key = F.col("exp_id").cast("string")
-    return exports.select(
+    return exports.where(F.col("ok").isNotNull()).select(
         F.concat(F.lit("export:"), key).alias("notice_id"),
         F.col("exp_creator").alias("recipient"),
         F.when(F.col("ok"), F.col("exp_result"))

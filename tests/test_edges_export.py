@@ -12,9 +12,13 @@ from shelfline.sources.caret_csv import read_caret_csv, write_caret_csv
 from tests.helpers import by_key, rows
 
 FIELDS = "csv_id INT, exp_id INT, mod_csv INT, bx_fld_name STRING, bx_fld_value STRING"
-DEVICE = "dev_id INT, version_num INT, dev_name STRING, ie_xml_id INT, ip_prop674 INT, ip_prop675 INT"
+DEVICE = (
+    "dev_id INT, version_num INT, dev_name STRING, ie_xml_id INT, ip_prop674 INT, ip_prop675 INT, "
+    "ie_xml_id_dt TIMESTAMP_NTZ, ip_prop674_dt TIMESTAMP_NTZ, ip_prop675_dt TIMESTAMP_NTZ"
+)
 LOG = "exp_id INT, exp_version_num INT, dev_id INT, exp_mod INT, exp_csv_status INT, exp_creator INT, exp_status INT, exp_site STRING, exp_batch_id INT"
 NOW = "2024-02-01 00:00:00"
+BEFORE = datetime(2024, 1, 1)
 
 
 @pytest.fixture
@@ -75,7 +79,11 @@ def test_numbering_does_not_depend_on_slices(frame):
 
 
 def devices(frame):
-    return frame(DEVICE, (1, 1, "It's", None, None, None), (2, 1, "Two", 20, 21, 22), (2, 2, "Two", 20, 21, 22), (3, 0, "Three", None, 31, None))
+    return frame(
+        DEVICE,
+        (1, 1, "It's", None, None, None, None, None, None), (2, 1, "Two", 20, 21, 22, BEFORE, BEFORE, BEFORE),
+        (2, 2, "Two", 20, 21, 22, BEFORE, BEFORE, BEFORE), (3, 0, "Three", None, 31, None, None, None, None),
+    )
 
 
 def test_export_plan(frame):
@@ -133,11 +141,16 @@ def test_export_outcome(frame):
         LOG,
         (1, 1, 1, 7, None, 50, 1, "s", 1), (2, 1, 2, 6, 1, 51, 1, "s", 1), (3, 1, 1, 7, 9, 52, 1, "s", 1),
         (4, 1, 2, 4, 0, 53, 1, "s", 1), (5, 1, 2, 5, None, 54, 1, "s", 1), (6, 0, 3, 4, 2, 55, 1, "s", 1),
+        (7, 2, 2, 7, 3, 56, 1, "s", 1), (8, 2, 2, 7, 0, 57, 1, "s", 1), (9, 2, 2, 6, None, 58, 1, "s", 1),
     )
     results = frame(
-        "exp_id INT, stage INT, returned_text STRING",
-        (1, 2, "102"), (1, 4, "104"), (1, 1, "101"), (2, 2, "no id needed"), (2, 4, "oops"), (2, 1, "not planned"),
-        (3, 2, "302"), (3, 4, "304"), (3, 1, "301"), (4, 4, "1"), (5, 4, "no id needed"), (5, 1, "9"), (6, 4, "3"),
+        "exp_id INT, stage INT, returned_text STRING, error STRING",
+        (1, 2, "102", None), (1, 4, "104", ""), (1, 1, "101", None), (2, 2, "no id needed", None), (2, 4, "oops", None),
+        (2, 1, "not planned", None), (3, 2, "302", None), (3, 4, "304", None), (3, 1, "301", None), (4, 4, "1", None),
+        (5, 4, "no id needed", None), (5, 1, "9", None), (6, 4, "3", None),
+        # A stage missing; one stage failing although the device is known; both.
+        (7, 2, "no id needed", None), (8, 2, "ERROR: import failed", "import failed"), (8, 4, "1", None), (8, 1, "ERROR", None),
+        (9, 4, None, "no route"),
     )
     outcome = outcomes.apply_export_outcome(results, log, devices(frame), NOW)
     assert by_key(outcome.exports, "exp_id", "ok", "exp_csv_status", "exp_result") == {
@@ -147,11 +160,17 @@ def test_export_outcome(frame):
         4: (True, 4, "Завершён экспорт модели 'Two' на сайт s (exp_id=4)"),
         5: (True, 5, "Завершён экспорт модели 'Two' на сайт s (exp_id=5)"),
         6: (True, 6, "Завершён экспорт модели 'Three' на сайт s (exp_id=6)"),
+        7: (None, 3, None),
+        8: (False, 0, "stage 2 error=[import failed]"),
+        9: (False, None, "stage 4 error=[no route]"),
     }
     now = datetime(2024, 2, 1)
-    # The first export fills the ids that were missing; ids that were there stay.
+    assert {i for i, t in by_key(outcome.exports, "exp_id", "exp_finish_dt").items() if t} == {1, 3, 4, 5, 6}
+    assert {n.split(":")[1] for n, *_ in rows(outcomes.export_notices(outcome.exports), "notice_id")} == set("12345689")
+    # The first export fills the ids that were missing; ids that were there stay, and so do the
+    # times of stages that did not run. Exports that failed or are not finished write nothing.
     assert rows(outcome.devices) == [
-        (1, 1, 101, 104, 102, now, now, now), (2, 1, 20, 21, 22, now, now, None), (3, 0, None, 31, None, None, now, None),
+        (1, 1, 101, 104, 102, now, now, now), (2, 1, 20, 21, 22, now, now, BEFORE), (3, 0, None, 31, None, None, now, None),
     ]
 
 

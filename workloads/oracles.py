@@ -98,25 +98,36 @@ wide AS (SELECT exp_id, mod_csv, rec,
          FROM numbered GROUP BY exp_id, mod_csv, rec)"""
 
 STAGES = """
-ran AS (SELECT r.exp_id, r.stage, r.returned_text, TRY_CAST(r.returned_text AS INTEGER) AS returned_id, l.exp_creator, l.exp_site, l.exp_csv_status,
-               l.dev_id, l.exp_version_num, d.dev_name,
-               CASE r.stage WHEN 2 THEN d.ip_prop675 IS NULL WHEN 4 THEN d.ip_prop674 IS NULL ELSE d.ie_xml_id IS NULL END AS is_new,
-               l.exp_mod & 1 = 1 AS with_device
-        FROM stage_result r JOIN export_log l ON l.exp_id = r.exp_id
-        JOIN device d ON d.dev_id = l.dev_id AND d.version_num = l.exp_version_num
-        WHERE (l.exp_mod & r.stage) = r.stage),
-checked AS (SELECT *, (is_new OR stage = 1 OR (stage = 4 AND NOT with_device)) AND returned_id IS NULL AS failed FROM ran),
-first_error AS (SELECT exp_id, 'stage ' || CAST(stage AS VARCHAR) || ' result=[' || COALESCE(returned_text, '') || ']' AS error
-                FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY exp_id ORDER BY CASE stage WHEN 2 THEN 0 WHEN 4 THEN 1 ELSE 2 END) AS n
-                      FROM checked WHERE failed) WHERE n = 1),
-finished AS (SELECT exp_id, exp_creator, exp_site, exp_csv_status, dev_id, exp_version_num, dev_name, BIT_OR(stage) AS done, BOOL_OR(failed) AS failed
-             FROM checked GROUP BY ALL),
-export_outcome AS (SELECT f.exp_id, f.exp_creator, NOT f.failed AS ok,
-                    CAST(CASE WHEN f.failed THEN f.exp_csv_status ELSE COALESCE(f.exp_csv_status & 7, 0) | f.done END AS INTEGER) AS exp_csv_status,
-                    CASE WHEN f.failed THEN e.error ELSE 'Завершён экспорт модели ''' || f.dev_name || ''' на сайт ' || f.exp_site
-                         || ' (exp_id=' || CAST(f.exp_id AS VARCHAR) || ')' END AS exp_result,
-                    CASE WHEN NOT f.failed THEN TIMESTAMP '2024-02-01 00:00:00' END AS exp_finish_dt
-                  FROM finished f LEFT JOIN first_error e ON e.exp_id = f.exp_id)"""
+answer AS (
+    SELECT l.exp_id, l.dev_id, l.exp_version_num, l.exp_creator, l.exp_site, l.exp_csv_status, l.exp_mod & 7 AS planned,
+           d.dev_name, r.stage, r.returned_text, TRY_CAST(r.returned_text AS INTEGER) AS number, NULLIF(r.error, '') AS fault,
+           CASE WHEN r.stage = 2 THEN d.ip_prop675 WHEN r.stage = 4 THEN d.ip_prop674 ELSE d.ie_xml_id END IS NULL AS fresh
+    FROM export_log l
+    JOIN device d ON d.dev_id = l.dev_id AND d.version_num = l.exp_version_num
+    JOIN stage_result r ON r.exp_id = l.exp_id AND (l.exp_mod & r.stage) > 0
+),
+verdict AS (
+    SELECT *, CASE WHEN fault IS NOT NULL THEN 'stage ' || stage || ' error=[' || fault || ']'
+                   WHEN number IS NULL AND (fresh OR stage = 1 OR (stage = 4 AND planned IN (4, 6)))
+                   THEN 'stage ' || stage || ' result=[' || COALESCE(returned_text, '') || ']' END AS complaint
+    FROM answer
+),
+per_export AS (
+    SELECT exp_id, any_value(dev_id) AS dev_id, any_value(exp_version_num) AS exp_version_num, any_value(exp_creator) AS exp_creator,
+           any_value(exp_site) AS exp_site, any_value(exp_csv_status) AS exp_csv_status, any_value(dev_name) AS dev_name,
+           any_value(planned) AS planned, SUM(DISTINCT stage) AS answered,
+           arg_min(complaint, list_position([2, 4, 1], stage)) FILTER (complaint IS NOT NULL) AS complaint
+    FROM verdict GROUP BY exp_id
+),
+judged AS (
+    SELECT *, CASE WHEN complaint IS NOT NULL THEN FALSE WHEN answered = planned THEN TRUE END AS ok FROM per_export
+),
+export_outcome AS (
+    SELECT exp_id, exp_creator, ok, CAST(IF(ok, COALESCE(exp_csv_status & 7, 0) | planned, exp_csv_status) AS INTEGER) AS exp_csv_status,
+           IF(ok, 'Завершён экспорт модели ''' || dev_name || ''' на сайт ' || exp_site || ' (exp_id=' || exp_id || ')', complaint) AS exp_result,
+           CASE WHEN ok THEN TIMESTAMP '2024-02-01 00:00:00' END AS exp_finish_dt
+    FROM judged
+)"""
 
 BATCHES = """
 judged_batch AS (SELECT batch_id AS id,
@@ -325,16 +336,18 @@ WHERE old_version_num > 0 AND (old_ie_xml_id IS NOT NULL OR old_ip_prop674 IS NO
   AND (old_ie_xml_id IS DISTINCT FROM new_ie_xml_id OR old_ip_prop674 IS DISTINCT FROM new_ip_prop674 OR old_ip_prop675 IS DISTINCT FROM new_ip_prop675)""",
     "apply_export_outcome": f"WITH {STAGES} SELECT exp_id, exp_creator, ok, exp_csv_status, exp_result, exp_finish_dt FROM export_outcome",
     "apply_export_outcome_devices": f"""WITH {STAGES},
-good AS (SELECT c.* FROM checked c JOIN export_outcome e ON e.exp_id = c.exp_id WHERE e.ok),
-filled AS (SELECT dev_id, exp_version_num AS version_num, stage, returned_id FROM (
-             SELECT *, ROW_NUMBER() OVER (PARTITION BY dev_id, exp_version_num, stage ORDER BY exp_id) AS n FROM good WHERE is_new AND returned_id IS NOT NULL) WHERE n = 1),
-ran_stage AS (SELECT dev_id, exp_version_num AS version_num, BOOL_OR(stage = 1) AS s1, BOOL_OR(stage = 2) AS s2, BOOL_OR(stage = 4) AS s4 FROM good GROUP BY 1, 2)
-SELECT r.dev_id, r.version_num, COALESCE(d.ie_xml_id, f1.returned_id) AS ie_xml_id, COALESCE(d.ip_prop674, f4.returned_id) AS ip_prop674, COALESCE(d.ip_prop675, f2.returned_id) AS ip_prop675,
-       CASE WHEN s1 THEN {AS_OF} END AS ie_xml_id_dt, CASE WHEN s4 THEN {AS_OF} END AS ip_prop674_dt, CASE WHEN s2 THEN {AS_OF} END AS ip_prop675_dt
-FROM ran_stage r JOIN device d ON d.dev_id = r.dev_id AND d.version_num = r.version_num
-LEFT JOIN filled f1 ON f1.dev_id = r.dev_id AND f1.version_num = r.version_num AND f1.stage = 1
-LEFT JOIN filled f2 ON f2.dev_id = r.dev_id AND f2.version_num = r.version_num AND f2.stage = 2
-LEFT JOIN filled f4 ON f4.dev_id = r.dev_id AND f4.version_num = r.version_num AND f4.stage = 4""",
+written AS (SELECT v.* FROM verdict v WHERE v.exp_id IN (SELECT exp_id FROM export_outcome WHERE ok)),
+changed AS (
+    SELECT dev_id, exp_version_num AS version_num, list(DISTINCT stage) AS stages,
+           arg_min(number, exp_id) FILTER (stage = 1 AND fresh AND number IS NOT NULL) AS n1,
+           arg_min(number, exp_id) FILTER (stage = 2 AND fresh AND number IS NOT NULL) AS n2,
+           arg_min(number, exp_id) FILTER (stage = 4 AND fresh AND number IS NOT NULL) AS n4
+    FROM written GROUP BY dev_id, exp_version_num
+)
+SELECT dev_id, version_num, COALESCE(d.ie_xml_id, n1) AS ie_xml_id, COALESCE(d.ip_prop674, n4) AS ip_prop674, COALESCE(d.ip_prop675, n2) AS ip_prop675,
+       IF(list_contains(stages, 1), {AS_OF}, d.ie_xml_id_dt) AS ie_xml_id_dt, IF(list_contains(stages, 4), {AS_OF}, d.ip_prop674_dt) AS ip_prop674_dt,
+       IF(list_contains(stages, 2), {AS_OF}, d.ip_prop675_dt) AS ip_prop675_dt
+FROM changed JOIN device d USING (dev_id, version_num)""",
     "apply_batch_outcome": f"WITH {BATCHES} SELECT id, who, status, ok, exp_result, article, dt_finished FROM batch_outcome",
     "apply_batch_outcome_exports": f"""WITH {BATCHES}
 SELECT l.exp_id, l.exp_mod AS exp_csv_status, b.status AS exp_status,
@@ -345,7 +358,7 @@ FROM export_log l JOIN batch_outcome b ON b.id = l.exp_batch_id""",
 WHERE EXISTS (SELECT 1 FROM export_log l JOIN batch_result b ON b.batch_id = l.exp_batch_id WHERE l.dev_id = d.dev_id AND l.exp_version_num = d.version_num)""",
     "outcome_notices": f"""WITH {STAGES}, {BATCHES}
 SELECT 'export:' || CAST(exp_id AS VARCHAR) AS notice_id, exp_creator AS recipient,
-       CASE WHEN ok THEN exp_result ELSE 'exp_id=' || CAST(exp_id AS VARCHAR) || '/' || exp_result END AS notice, ok AS is_read FROM export_outcome
+       CASE WHEN ok THEN exp_result ELSE 'exp_id=' || CAST(exp_id AS VARCHAR) || '/' || exp_result END AS notice, ok AS is_read FROM export_outcome WHERE ok IS NOT NULL
 UNION ALL SELECT 'batch:' || CAST(id AS VARCHAR), who, article, FALSE FROM batch_outcome WHERE NOT ok
 UNION ALL SELECT 'batch:' || CAST(id AS VARCHAR), CAST(124 AS BIGINT), article, FALSE FROM batch_outcome WHERE NOT ok AND who <> 124""",
     "shared_parameters": f"""WITH {PARAMETERS}

@@ -1,8 +1,9 @@
 """Domain views over the driver's tables.
 
 One SQL text per view, valid in Spark and in DuckDB; ``{table}`` names a base table, ``{*list}`` a
-short list that every base row is repeated for. Every view reads its whole base table: rows are chosen by attributes, never by key
-subsets. The Spark side turns a text into a DataFrame, the SQL side into a CTE.
+short list that every base row is repeated for. Every view reads its whole base table;
+where a view keeps some of the rows, that is what makes them its members (returned lines, large
+parts, the parameters that tell two versions apart), and not a way to make a query cheaper. The Spark side turns a text into a DataFrame, the SQL side into a CTE.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ SELECT p.p_partkey AS dev_id, v.version_num, p.p_name || ' ' || CAST(p.p_partkey
        CASE WHEN p.p_partkey % 28 = 12 THEN NULL ELSE 100000 + p.p_partkey END AS ie_xml_id,
        CASE WHEN p.p_partkey % 44 = 20 THEN NULL ELSE TIMESTAMP '2024-01-01 00:00:00' END AS ie_xml_id_dt,
        CASE WHEN p.p_partkey % 12 = 0 THEN NULL ELSE 674000 + p.p_partkey END AS ip_prop674,
+       CASE WHEN p.p_partkey % 12 = 0 THEN NULL ELSE TIMESTAMP '2024-01-02 00:00:00' END AS ip_prop674_dt,
+       CASE WHEN p.p_partkey % 20 = 0 THEN NULL ELSE TIMESTAMP '2024-01-03 00:00:00' END AS ip_prop675_dt,
        CASE WHEN p.p_partkey % 20 = 0 THEN NULL ELSE 675000 + p.p_partkey END AS ip_prop675,
        p.p_size % 2 = 0 AS mod_single
 FROM {part} p {*versions}""",
@@ -166,8 +169,9 @@ SELECT p_partkey AS dev_id, p_partkey % 3 AS old_version_num, CASE WHEN p_partke
        CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_size + 1 END AS old_ip_prop675, CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_size + 1 END AS new_ip_prop675,
        CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE '2024-01-01' END AS old_ie_xml_id_dt, '2024-02-01' AS new_ie_xml_id_dt FROM {part}""",
     "stage_result": """
-SELECT o_orderkey AS exp_id, s.stage, CASE WHEN o_orderkey % 11 = 0 AND s.stage = 1 THEN 'not a number' WHEN o_orderkey % 13 = 0 AND s.stage = 4 THEN '' ELSE CAST(o_orderkey + s.stage AS VARCHAR(20)) END AS returned_text
-FROM {orders} {*stages}""",
+SELECT o_orderkey AS exp_id, s.stage, CASE WHEN o_orderkey % 11 = 0 AND s.stage = 1 THEN 'not a number' WHEN o_orderkey % 13 = 0 AND s.stage = 4 THEN '' ELSE CAST(o_orderkey + s.stage AS VARCHAR(20)) END AS returned_text,
+       CASE WHEN o_orderkey % 17 = 0 AND s.stage = 2 THEN 'import failed' WHEN o_orderkey % 23 = 0 AND s.stage = 4 THEN 'copy failed' WHEN o_orderkey % 2 = 0 THEN '' END AS error
+FROM {orders} {*stages} WHERE NOT (o_orderkey % 19 = 0 AND s.stage = 4) AND NOT (o_orderkey % 29 = 0 AND s.stage = 1)""",
     "batch_result": """
 SELECT DISTINCT CAST(FLOOR(o_orderkey / 20) AS BIGINT) AS batch_id, CASE WHEN CAST(FLOOR(o_orderkey / 20) AS BIGINT) % 5 = 1 THEN 'e1' ELSE '' END AS import_err,
        CASE WHEN CAST(FLOOR(o_orderkey / 20) AS BIGINT) % 5 = 2 THEN 'o1' ELSE '' END AS import_out, CASE WHEN CAST(FLOOR(o_orderkey / 20) AS BIGINT) % 5 >= 3 AND CAST(FLOOR(o_orderkey / 20) AS BIGINT) % 2 = 0 THEN 'e2' ELSE '' END AS price_info_err FROM {orders}""",
