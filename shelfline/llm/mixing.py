@@ -70,7 +70,7 @@ def balance(goals: DataFrame, tolerance: float = TOLERANCE, steps: int = STEPS)
 
 
 def _evened(rows: DataFrame, goals: DataFrame) -> DataFrame:
-    """``rows`` (``_row, group, size, least, more, draw``) with ``copies``.
+    """``key, group, size, copies`` from ``key, group, size, least, more, may, draw``.
 
     ``more`` says who got one more copy by the draw. Where that leaves a source short (or over), its
     shortest documents without (with) one are switched as long as their sum fits: whole sizes from
@@ -104,22 +104,21 @@ def _evened(rows: DataFrame, goals: DataFrame) -> DataFrame:
     some = (F.col("size") == F.col("last_size")) & (bucket <= F.coalesce("edge", F.lit(-1)))
     switched = switchable & (small | some)
     one = (F.col("more") != F.coalesce(switched, F.lit(False))).cast("long")
-    return told.select("_row", "key", "group", "size", (F.col("least") + one).alias("copies"))
+    return told.select("key", "group", "size", (F.col("least") + one).alias("copies"))
 
 
 def mix(
     docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, rows: DataFrame | None = None,
+    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP,
 ) -> DataFrame:
     """``key, size, source_size, target, copies, taken`` for every row of ``docs``.
 
     ``size`` counts words (0 for null and empty texts), ``taken`` is ``size * copies``. Null sources
     form one group, last in order. No document gets more than ``cap`` copies. Repeated rows are
-    documents of their own: rows are told apart by their place in a table of sizes written to the
-    shared folder first, and equal input gives equal results. An empty table gives an empty result.
+    documents of their own with the same draw. Draws depend on keys and sizes only, so equal tables give
+    equal results however they are split. An empty table gives an empty result.
     """
-    if rows is None:
-        rows = sized(docs, key, text, source)
+    rows = sized(docs, key, text, source)
     sizes = rows.groupBy("group").agg(F.sum("size").alias("source_size"))
     goals = balance(targets(sizes, weights, share, cap))
     gk = F.struct(F.col("group").alias("g"))
@@ -127,18 +126,18 @@ def mix(
     rated = lookup_join(rows.withColumn("gk", gk), per_source, "gk")
     rate = F.least(F.exp("dual"), F.lit(float(cap)))
     rate = F.when(F.col("target") > 0, rate).otherwise(0.0)
-    draw = F.xxhash64("key", "size", "_row")
+    draw = F.xxhash64("key", "size")
     unit = F.shiftrightunsigned(draw, 11) / F.lit(float(1 << 53))
     rated = rated.withColumn("rate", rate).withColumn("draw", draw).withColumn("least", F.floor("rate"))
     rated = rated.withColumn("more", unit < F.col("rate") - F.col("least")).withColumn("may", F.col("least") + 1 <= cap)
-    chosen = _evened(rated.select("_row", "key", "group", "size", "least", "more", "may", "draw"), goals.select("group", "target"))
+    chosen = _evened(rated.select("key", "group", "size", "least", "more", "may", "draw"), goals.select("group", "target"))
     chosen = lookup_join(chosen.withColumn("gk", gk), per_source, "gk")
     return chosen.select(
-        F.col("key").alias(key), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), "_row"
+        F.col("key").alias(key), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
 def sized(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
-    """Sizes of all rows, written once: ``key, group, size, _row``."""
+    """Sizes of all rows, written once: ``key, group, size``."""
     rows = docs.select(F.col(key).alias("key"), F.col(source).alias("group"), word_count(F.col(text)).alias("size"))
-    return materialized(rows.withColumn("_row", F.monotonically_increasing_id()), "sizes")
+    return materialized(rows, "sizes")
