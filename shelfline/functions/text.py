@@ -48,9 +48,9 @@ def trailing_number(name: Column | str) -> Column:
 
 
 def mod_number(mod_id: Column | str) -> Column:
-    """A modification id as a 12-digit number, NULL when it is not one."""
+    """A modification id as a number of any length up to 38 digits, NULL when it is not one."""
     column = F.col(mod_id) if isinstance(mod_id, str) else mod_id
-    return column.try_cast(T.DecimalType(12, 0))
+    return column.try_cast(T.DecimalType(38, 0))
 
 
 def null_as_text(column: Column | str) -> Column:

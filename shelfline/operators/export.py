@@ -19,13 +19,18 @@ EXPORT_KEYS = ["exp_id", "mod_csv"]
 # The stage each kind of export belongs to.
 PRESETS = {"device": C.STAGE_DEVICE, "modificators": C.STAGE_MODIFIERS, "prices": C.STAGE_PRICES}
 
-# A table cannot have more columns than this, so neither can a dictionary have entries.
+# A table of the source cannot have more columns than this, so neither can a dictionary have entries.
 MAX_DICTIONARY = 1600
+# Text that is a number; the type ``numeric`` without precision holds any of them.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 class Field(NamedTuple):
+    """A dictionary entry; ``number``: text that has to be a number, of any length and scale."""
+
     name: str
     data_type: T.DataType
+    number: bool = False
 
     @property
     def column(self) -> str:
@@ -33,13 +38,18 @@ class Field(NamedTuple):
         return self.name.lower()
 
 
+def _unbounded(data_type: str) -> bool:
+    return data_type.strip().lower() in ("numeric", "decimal")
+
+
 def spark_type(data_type: str) -> T.DataType:
-    """Spark type for a dictionary's SQL type name."""
+    """Spark type for a dictionary's SQL type name. A number without precision stays text: no
+    decimal type holds all of them, and the export is a text file."""
     name, _, arguments = data_type.strip().lower().partition("(")
     name, arguments = name.strip(), re.findall(r"\d+", arguments)
     if name in ("numeric", "decimal"):
         if not arguments:
-            return T.DecimalType(18, 2)
+            return T.StringType()
         return T.DecimalType(int(arguments[0]), int(arguments[1]) if len(arguments) > 1 else 0)
     types = {
         "smallint": T.ShortType(),
@@ -56,13 +66,14 @@ def spark_type(data_type: str) -> T.DataType:
     return types.get(name, T.StringType())
 
 
-def read_dictionary(export_dict: DataFrame) -> list[Field]:
+def read_dictionary(export_dict: DataFrame, most: int = MAX_DICTIONARY) -> list[Field]:
     """Column names and types in dictionary order. The one read on the driver: the result's
-    schema depends on it, and it is as short as a table is wide."""
-    rows = export_dict.select("dict_name", "data_type").orderBy("dict_order", "dict_name").take(MAX_DICTIONARY + 1)
-    if len(rows) > MAX_DICTIONARY:
-        raise ValueError(f"export dictionary has more than {MAX_DICTIONARY} entries")
-    return [Field(r.dict_name, spark_type(r.data_type)) for r in rows]
+    schema depends on it, and it is as short as a table is wide. More than ``most`` entries are
+    an error."""
+    rows = export_dict.select("dict_name", "data_type").orderBy("dict_order", "dict_name").take(most + 1)
+    if len(rows) > most:
+        raise ValueError(f"export dictionary has more than {most} entries")
+    return [Field(r.dict_name, spark_type(r.data_type), _unbounded(r.data_type)) for r in rows]
 
 
 def field_counts(export_field: DataFrame) -> DataFrame:
@@ -92,12 +103,24 @@ def chunk_records(export_field: DataFrame, mode: int | None = None, slice_bits:
 def to_wide(chunked: DataFrame, dictionary: list[Field]) -> DataFrame:
     """One row per record with a typed column per dictionary entry, in its order. A field that
     the record lacks is NULL, a field without a value is empty; text that does not fit the type
-    is NULL."""
+    is NULL. Of several values of a field the greatest counts.
+
+    A record's fields are gathered, as many as the record has (a record is as long as its export
+    has fields), and looked up by name: one comparison a row, not one for every column.
+    """
     value = F.coalesce("bx_fld_value", F.lit(""))
-    picked = [F.max(F.when(F.col("bx_fld_name") == f.name, value)).alias(f.column) for f in dictionary]
-    wide = chunked.groupBy(*EXPORT_KEYS, "rec").agg(*picked)
-    typed = [F.col(f.column).try_cast(f.data_type).alias(f.column) for f in dictionary]
-    return wide.select(*EXPORT_KEYS, "rec", *typed)
+    pairs = F.sort_array(F.collect_list(F.struct(F.col("bx_fld_name").alias("k"), value.alias("v"))), asc=False)
+    # Sorted downwards: the first place of a name has its greatest value.
+    wide = chunked.groupBy(*EXPORT_KEYS, "rec").agg(pairs.alias("_pairs"))
+    wide = wide.select(*EXPORT_KEYS, "rec", F.col("_pairs.k").alias("_names"), F.col("_pairs.v").alias("_values"))
+
+    def typed(f: Field) -> Column:
+        text = F.get("_values", (F.array_position("_names", f.name) - 1).cast("int"))
+        if f.number:
+            return F.when(text.rlike(NUMBER), F.trim(text)).alias(f.column)
+        return text.try_cast(f.data_type).alias(f.column)
+
+    return wide.select(*EXPORT_KEYS, "rec", *[typed(f) for f in dictionary])
 
 
 def export_headers(export_log: DataFrame, device: DataFrame) -> DataFrame:

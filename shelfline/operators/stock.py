@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 from shelfline.functions import constants as C
 from shelfline.plans.lookup import lookup_join
 
-# Quantities and money are added as decimals: a sum of doubles depends on the row order.
-QUANTITY = T.DecimalType(18, 4)
-MONEY = T.DecimalType(18, 2)
+# Quantities and money are added as decimals: a sum of doubles depends on the row order. Ten
+# decimals are more than either has, so that no small amount counts as nothing.
+QUANTITY = T.DecimalType(28, 10)
+MONEY = T.DecimalType(28, 10)
 
 
 def _quantity(column: str) -> Column:
@@ -33,11 +34,11 @@ def free_stock(stock_qty: DataFrame, excluded: Collection[int] = C.UNCOUNTED_WAR
     return _counted_stock(stock_qty, excluded).groupBy("ks").agg(F.sum(_quantity("free_qty")).alias("free_qty"))
 
 
-def paid_invoices(payment: DataFrame) -> DataFrame:
+def paid_invoices(payment: DataFrame, money: T.DecimalType = MONEY) -> DataFrame:
     """Invoices whose payments add up to more than zero: ``invoice_no``."""
     return (
         payment.groupBy("invoice_no")
-        .agg(F.sum(F.col("amount").cast(MONEY)).alias("paid"))
+        .agg(F.sum(F.col("amount").cast(money)).alias("paid"))
         .where(F.col("paid") > 0)
         .select("invoice_no")
     )

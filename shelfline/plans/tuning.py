@@ -16,21 +16,12 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-TARGET_PARTITION_BYTES = 256 << 20
 
-
-def shuffle_partitions(input_bytes: int, cores: int) -> int:
-    """Initial shuffle width for an input size: about 256 MB a partition, never below the cores."""
-    return max(cores, -(-input_bytes // TARGET_PARTITION_BYTES))
-
-
-def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Apply the settings; with ``input_bytes`` also size the shuffles (adaptive execution
-    merges what turns out small, it never splits an aggregation's partitions)."""
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings. The width of shuffles, ``spark.sql.shuffle.partitions``, is the job's to
+    choose, at about 256 MB of input a partition: adaptive execution merges what turns out small,
+    it never splits an aggregation's partitions."""
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    if input_bytes is not None:
-        width = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
-        spark.conf.set("spark.sql.shuffle.partitions", str(width))
     return spark

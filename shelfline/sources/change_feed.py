@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Admission control: what one micro-batch may take in, however far the feed is behind. Stateful
-# streams handle a key's new rows in one task, so this bounds the hottest key as well; streams
-# without keyed state can take far more at a time.
+# Admission control: about what one micro-batch takes in when the feed is behind, in bytes of files;
+# a larger file is taken whole, so this is no bound on memory. Streams that read tables anew in every
+# batch should take much more at a time.
 MAX_BYTES_PER_TRIGGER = 512 << 20
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +10,10 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared one the session names. Only a local session without the
-    setting, as in tests, falls back to a temporary folder."""
-    root = spark.conf.get(CHECKPOINT_SETTING, None)
+    """A fresh folder below the shared one the session names, or that its context was given."""
+    root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="shelfline-")
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
     return f"{root.rstrip('/')}/shelfline/{purpose}-{uuid4().hex}"
 
 

@@ -10,7 +10,7 @@ def transition_log(status: DataFrame, as_of: str) -> DataFrame:
     """One log row per computed item, also when nothing changed: ``num, operation, dt``. The text
     is NULL when the stored status is."""
     return status.select(
-        F.substring(F.col("ks").cast("string"), 1, 10).alias("num"),
+        F.col("ks").cast("string").alias("num"),
         F.concat(F.col("cur").cast("string"), F.lit("->"), F.col("clc").cast("string")).alias("operation"),
         F.lit(as_of).cast("timestamp_ntz").alias("dt"),
     )

@@ -3,10 +3,19 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
 
+def share_folder(spark: SparkSession) -> SparkSession:
+    """A session of this machine alone may share its temporary folder."""
+    context = spark.sparkContext
+    if context.master.startswith("local[") and not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="shelfline-"))
+    return spark
+
+
 def local_session(cpus: int | str = 8, partitions: int = 8) -> SparkSession:
     os.environ.setdefault("PYSPARK_PYTHON", "python")
     spark = (
@@ -20,4 +29,5 @@ def local_session(cpus: int | str = 8, partitions: int = 8) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    share_folder(spark)
     return spark

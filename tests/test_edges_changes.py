@@ -129,5 +129,5 @@ def test_route_notifications(frame):
 def test_trailing_number_and_mod_number(frame):
     names = frame("n STRING", ("a: 0012",), ("a:12",), ("a: b: 7",), ("a: x",), ("a: 12\n",), ("a: 12 ",), (None,))
     assert [r[0] for r in names.select(trailing_number("n")).collect()] == ["0012", "12", "7", None, None, None, None]
-    ids = frame("n STRING", ("000000000012",), ("12",), ("x",), (None,))
-    assert [r[0] for r in ids.select(mod_number(F.col("n"))).collect()] == [Decimal(12), Decimal(12), None, None]
+    ids = frame("n STRING", ("000000000012",), ("12",), ("x",), (None,), ("1000000000000",))
+    assert [r[0] for r in ids.select(mod_number(F.col("n"))).collect()] == [Decimal(12), Decimal(12), None, None, Decimal("1" + "0" * 12)]

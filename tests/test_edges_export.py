@@ -32,17 +32,17 @@ def dictionary(frame):
 
 
 def test_dictionary(dictionary):
-    assert [(f.column, f.data_type) for f in dictionary] == [
-        ("a", T.StringType()), ("b", T.DecimalType(18, 2)), ("c", T.IntegerType()), ("d", T.DecimalType(10, 3)),
+    assert [(f.column, f.data_type, f.number) for f in dictionary] == [
+        ("a", T.StringType(), False), ("b", T.StringType(), True), ("c", T.IntegerType(), False), ("d", T.DecimalType(10, 3), False),
     ]
 
 
 def test_to_wide(frame, dictionary):
     fields = frame(
         FIELDS,
-        (10, 1, 4, "a", "x"), (12, 1, 4, "b", "1.5"), (13, 1, 4, "C", "7"),
+        (10, 1, 4, "a", "x"), (12, 1, 4, "b", "12.345"), (13, 1, 4, "C", "7"),
         (14, 1, 4, "a", None), (15, 1, 4, "b", ""), (16, 1, 4, "C", "many"),
-        (20, 1, 4, "b", "2"),
+        (20, 1, 4, "b", "12345678901234567.5"),
         (11, 2, 4, "a", "y"), (30, 2, 4, "a", "z"),
         (40, 3, 1, "unknown", "?"), (41, 3, 1, "a", "k"),
         (50, None, 4, "a", "lost"), (60, 4, 4, None, "nameless"),
@@ -51,7 +51,7 @@ def test_to_wide(frame, dictionary):
     # Empty or wrong text in a typed column is NULL; the last record may be incomplete; an
     # unknown field takes its place in the record but has no column.
     assert rows(wide) == [
-        (1, 4, 0, "x", Decimal("1.50"), 7, None), (1, 4, 1, "", None, None, None), (1, 4, 2, None, Decimal("2.00"), None, None),
+        (1, 4, 0, "x", "12.345", 7, None), (1, 4, 1, "", None, None, None), (1, 4, 2, None, "12345678901234567.5", None, None),
         (2, 4, 0, "y", None, None, None), (2, 4, 1, "z", None, None, None), (3, 1, 0, "k", None, None, None),
     ]
 
@@ -60,7 +60,7 @@ def test_to_wide_returns_its_input(frame, dictionary):
     source = [(i, i // 40, 4, "abCd"[i % 4], str(i)) for i in range(200)]
     typed = export.to_wide(export.chunk_records(frame(FIELDS, *source)), dictionary)
     back = typed.select("exp_id", F.expr("stack(4, 'a', a, 'b', cast(b AS string), 'C', cast(c AS string), 'd', cast(d AS string)) AS (name, value)"))
-    values = {"b": "{}.00", "d": "{}.000"}
+    values = {"d": "{}.000"}
     assert rows(back) == sorted(((e, n, values.get(n, "{}").format(v)) for _, e, _, n, v in source), key=repr)
 
 

@@ -5,7 +5,6 @@ import random
 import pytest
 
 from shelfline.operators import changes, lookups, migrate, propagate, stock
-from shelfline.plans.tuning import shuffle_partitions
 from tests.conftest import SMALL
 from tests.helpers import rows
 from workloads.queries import QUERIES
@@ -31,11 +30,6 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "l_extendedprice" not in plan
 
 
-def test_shuffles_are_sized_for_the_input():
-    assert shuffle_partitions(100 << 40, 8000) == 409600
-    assert shuffle_partitions(1 << 20, 8) == 8
-
-
 def test_ranking_and_totals_combine_before_the_shuffle(spark):
     status = initial_plan(QUERIES["stock_status"](spark, SMALL))
     assert "partial_sum" in status and status.count("Exchange hashpartitioning(ks") <= 2

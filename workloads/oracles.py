@@ -14,7 +14,7 @@ AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 MOVEMENTS = """
 wh AS (SELECT ks, SUM(CAST(free_qty AS DECIMAL(18,4))) AS q FROM stock_qty
        WHERE NOT free_qty = 0 AND NOT warehouse_id IN (1, 3, 8, 9, 10) GROUP BY ks),
-settled AS (SELECT invoice_no FROM payment GROUP BY invoice_no HAVING SUM(CAST(amount AS DECIMAL(18,2))) > 0),
+settled AS (SELECT invoice_no FROM payment GROUP BY invoice_no HAVING SUM(CAST(amount AS DECIMAL(28,10))) > 0),
 held AS (SELECT ks, SUM(CAST(reserved_qty AS DECIMAL(18,4))) AS q FROM reserve
          WHERE invoice_no IN (SELECT invoice_no FROM settled) AND released_at IS NULL AND reserve_status <> 3 GROUP BY ks),
 promised AS (SELECT ks, SUM(CAST(reserved_qty AS DECIMAL(18,4))) AS q FROM incoming_reserve
@@ -90,7 +90,7 @@ numbered AS (SELECT f.*, (ROW_NUMBER() OVER (PARTITION BY f.exp_id, f.mod_csv OR
              FROM export_field f JOIN width w ON w.exp_id = f.exp_id AND w.mod_csv = f.mod_csv),
 wide AS (SELECT exp_id, mod_csv, rec,
                 MAX(CASE WHEN bx_fld_name = 'ip_prop109' THEN COALESCE(bx_fld_value, '') END) AS ip_prop109,
-                TRY_CAST(MAX(CASE WHEN bx_fld_name = 'cv_price' THEN COALESCE(bx_fld_value, '') END) AS DECIMAL(18,2)) AS cv_price,
+                MAX(bx_fld_value) FILTER (bx_fld_name = 'cv_price' AND regexp_full_match(bx_fld_value, '-?[0-9]+[.]?[0-9]*')) AS cv_price,
                 MAX(CASE WHEN bx_fld_name = 'ip_prop110' THEN COALESCE(bx_fld_value, '') END) AS ip_prop110,
                 MAX(CASE WHEN bx_fld_name = 'ic_code0' THEN COALESCE(bx_fld_value, '') END) AS ic_code0,
                 MAX(CASE WHEN bx_fld_name = 'ic_group0' THEN COALESCE(bx_fld_value, '') END) AS ic_group0,
@@ -224,10 +224,10 @@ SELECT CAST(ks AS VARCHAR) AS num, CAST(cur AS VARCHAR) || '->' || CAST(clc AS V
     "free_stock": f"WITH {MOVEMENTS} SELECT ks, CAST(q AS DECIMAL(18,4)) AS free_qty FROM wh",
     "paid_reserves": """SELECT r.ks, r.invoice_no, r.reserved_qty, r.reserve_status FROM reserve r
 WHERE NOT r.reserve_status = 3 AND r.released_at IS NULL
-  AND r.invoice_no IN (SELECT invoice_no FROM payment GROUP BY invoice_no HAVING SUM(CAST(amount AS DECIMAL(18,2))) > 0)""",
+  AND r.invoice_no IN (SELECT invoice_no FROM payment GROUP BY invoice_no HAVING SUM(CAST(amount AS DECIMAL(28,10))) > 0)""",
     "paid_incoming_reserves": """SELECT r.ks, r.invoice_no, r.reserved_qty FROM incoming_reserve r
 WHERE r.released_at IS NULL
-  AND r.invoice_no IN (SELECT invoice_no FROM payment GROUP BY invoice_no HAVING SUM(CAST(amount AS DECIMAL(18,2))) > 0)""",
+  AND r.invoice_no IN (SELECT invoice_no FROM payment GROUP BY invoice_no HAVING SUM(CAST(amount AS DECIMAL(28,10))) > 0)""",
     "open_purchase": f"WITH {MOVEMENTS} SELECT ks, CAST(q AS DECIMAL(18,4)) AS open_qty, expected_date FROM coming",
     "stock_totals": f"""WITH {MOVEMENTS},
 keys AS (SELECT ks FROM wh UNION SELECT ks FROM held UNION SELECT ks FROM coming UNION SELECT ks FROM promised)

@@ -49,8 +49,8 @@ SELECT p_partkey AS ks, CASE p_partkey % 4 WHEN 3 THEN NULL ELSE p_partkey % 4 E
     "price_view": """
 SELECT p_partkey AS ks, CAST(p_retailprice AS DECIMAL(18,2)) + CASE WHEN p_partkey % 10 = 0 THEN 1 ELSE 0 END AS sell_price FROM {part}""",
     "stock_qty": """
-SELECT l_partkey AS ks, l_suppkey % 12 AS warehouse_id, CASE WHEN l_linenumber = 7 THEN 0.0 ELSE l_quantity END AS free_qty
-FROM {lineitem} WHERE l_returnflag = 'R' AND l_linenumber >= 6""",
+SELECT l_partkey AS ks, l_suppkey % 12 AS warehouse_id, CASE WHEN l_quantity > 49 THEN l_quantity - 49 ELSE 0.0 END AS free_qty
+FROM {lineitem} WHERE l_returnflag = 'R'""",
     "reserve": """
 SELECT l_partkey AS ks, l_orderkey AS invoice_no, l_quantity AS reserved_qty, l_linenumber % 4 AS reserve_status,
        CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS released_at
@@ -89,7 +89,7 @@ SELECT d.p_name || ' ' || CAST(d.p_partkey AS VARCHAR(20)) || ': ' || LPAD(CAST(
        CASE WHEN p.p_partkey % 8 = 0 THEN NULL WHEN p.p_partkey % 3 = 0 THEN 'In stock' ELSE CAST(p.p_size AS VARCHAR(20)) || ' weeks' END AS ip_prop110,
        CAST(p.p_retailprice AS DECIMAL(18,2)) + CASE WHEN p.p_partkey % 7 = 0 THEN 5 ELSE 0 END AS cv_price
 FROM {part} p JOIN {part} d ON d.p_partkey = 4 * CAST(FLOOR(p.p_partkey / 4) AS BIGINT) WHERE p.p_size < 48""",
-    "site_vendor": "SELECT s_suppkey AS vendor_id, s_name AS vendor_name FROM {supplier} WHERE s_suppkey < 10",
+    "site_vendor": "SELECT s_suppkey AS vendor_id, s_name AS vendor_name FROM {supplier}",
     "stock_change": """
 SELECT event_id AS id, ts AS dt_change,
        CASE event_type WHEN 'click' THEN CASE WHEN user_id % 3 = 0 THEN 1 ELSE 0 END WHEN 'purchase' THEN 1 WHEN 'error' THEN 2 WHEN 'signup' THEN -1 ELSE 5 END AS change_status,
@@ -119,7 +119,7 @@ FROM {orders}""",
     "export_field": """
 SELECT o.o_orderkey * 5 + f.n AS csv_id, CAST(FLOOR(o.o_orderkey / 10) AS BIGINT) AS exp_id,
        CASE WHEN o.o_orderkey % 10 = 0 THEN 1 WHEN o.o_orderkey % 10 = 1 OR o.o_orderkey % 700 = 2 THEN 2 ELSE 4 END AS mod_csv, f.bx_fld_name,
-       CASE f.n WHEN 0 THEN LPAD(CAST(o.o_orderkey AS VARCHAR(20)), 12, '0') WHEN 1 THEN CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR(30))
+       CASE f.n WHEN 0 THEN LPAD(CAST(o.o_orderkey AS VARCHAR(20)), 12, '0') WHEN 1 THEN CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR(30)) || CASE o.o_orderkey % 4 WHEN 0 THEN '5' WHEN 1 THEN '00000000000000001' WHEN 2 THEN 'x' ELSE '' END
                 WHEN 2 THEN CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE o.o_orderpriority END WHEN 3 THEN 'c^' || CAST(o.o_custkey AS VARCHAR(20)) ELSE 'g' END AS bx_fld_value
 FROM {orders} o {*fields}""",
     "export_dict": """
@@ -152,13 +152,13 @@ SELECT p_partkey AS ks, CASE p_partkey % 4 WHEN 3 THEN NULL ELSE p_partkey % 4 E
     "payment_change": """
 SELECT o_orderkey AS seq, CASE o_orderkey % 3 WHEN 0 THEN 'I' WHEN 1 THEN 'D' ELSE 'U' END AS op, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey END AS old_invoice_no,
        CASE WHEN o_orderkey % 3 = 1 THEN NULL WHEN o_orderkey % 3 = 2 AND o_orderkey % 4 = 0 THEN o_orderkey + 1 ELSE o_orderkey END AS new_invoice_no
-FROM {orders} WHERE o_orderstatus = 'P'""",
+FROM {orders}""",
     "reserve_change": """
 SELECT l_orderkey * 10 + l_linenumber AS seq, CASE l_linenumber % 3 WHEN 0 THEN 'I' WHEN 1 THEN 'D' ELSE 'U' END AS op, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_partkey END AS old_ks,
        CASE WHEN l_linenumber % 3 = 1 THEN NULL ELSE l_partkey END AS new_ks, l_linenumber <> 5 AS touched
-FROM {lineitem} WHERE l_returnflag = 'A' AND l_tax > 0.07""",
+FROM {lineitem} WHERE l_returnflag = 'A'""",
     "order_line_change": """
-SELECT l_orderkey * 10 + l_linenumber AS seq, l_orderkey AS order_no, l_partkey AS ks FROM {lineitem} WHERE l_returnflag = 'N' AND l_discount > 0.09""",
+SELECT l_orderkey * 10 + l_linenumber AS seq, l_orderkey AS order_no, l_partkey AS ks FROM {lineitem} WHERE l_returnflag = 'N'""",
     "export_log_change": """
 SELECT o_orderkey AS exp_id, CAST(FLOOR(o_orderkey / 7) AS BIGINT) AS dev_id, CASE o_orderkey % 4 WHEN 0 THEN 7 WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 1 END AS new_exp_mod,
        7 AS old_exp_mod, CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN 7 ELSE 0 END AS old_csv_status, CASE WHEN o_orderstatus = 'F' THEN 'prod.example' ELSE 'dev.example' END AS old_site,
