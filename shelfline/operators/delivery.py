@@ -116,12 +116,13 @@ def is_transient(error: Column) -> Column:
     return found
 
 
-def delivery_outcome(attempts: DataFrame, site: str, retry_limit: int = C.RETRY_LIMIT) -> DataFrame:
+def delivery_outcome(attempts: DataFrame, site: str, as_of: str, retry_limit: int = C.RETRY_LIMIT) -> DataFrame:
     """What becomes of a change after a send attempt.
 
     ``attempts(id, retry_cnt, error)`` with NULL or empty ``error`` for success. A transient
     failure takes the change's own id as status and asks for a resend until the stored count is
-    above the limit; any other failure blocks the change.
+    above the limit; any other failure blocks the change. Every outcome sets ``dt_sent``, the time
+    of the attempt, by which the change sent last is found.
     """
     error, count = F.col("error"), F.col("retry_cnt").cast("long")
     ok = F.coalesce(error, F.lit("")) == ""
@@ -139,5 +140,11 @@ def delivery_outcome(attempts: DataFrame, site: str, retry_limit: int = C.RETRY_
         status.alias("change_status"),
         retries.alias("retry_cnt"),
         F.when(ok, F.lit(f"{site} updated")).otherwise(error).alias("sent_result"),
+        F.lit(as_of).cast("timestamp_ntz").alias("dt_sent"),
         (~ok & transient & ~given_up).alias("resend"),
     )
+
+
+def expected_outcome(attempts: DataFrame, site: str, as_of: str, retry_limit: int = C.RETRY_LIMIT) -> DataFrame:
+    """:func:`delivery_outcome` for expected shipments, whose status column is ``status``."""
+    return delivery_outcome(attempts, site, as_of, retry_limit).withColumnRenamed("change_status", "status")

@@ -127,7 +127,11 @@ def stock_totals(
             )
         )
     )
-    reserves = lookup_join(_only(held, items), paid_invoices(payment), "invoice_no", "left_semi")
+    held = _only(held, items)
+    if items is not None:
+        # Payments are reduced to the invoices of the items' reserves before they are summed.
+        payment = lookup_join(payment, held.select("invoice_no").distinct(), "invoice_no", "left_semi")
+    reserves = lookup_join(held, paid_invoices(payment), "invoice_no", "left_semi")
     lines = _open_lines(po, po_line, excluded_suppliers, items)
     counted = _only(_counted_stock(stock_qty, excluded_warehouses), items)
     movements = (

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.functions import constants as C
 from shelfline.operators import propagate
-from shelfline.sources.folders import materialized
+from shelfline.operators.delivery import stock_change_records
+from shelfline.plans.lookup import lookup_join
 from shelfline.streaming.sinks import start, write_batch
 
 # The columns of any changed row that decide which items it affects.
@@ -53,22 +55,57 @@ def affected_items(
     )
 
 
+def with_written_status(content: DataFrame, written: DataFrame) -> DataFrame:
+    """``content`` with the newest status that a batch wrote for each item, ``written(ks, clc, batch)``."""
+    newest = written.groupBy("ks").agg(F.max_by("clc", "batch").alias("_clc"))
+    kept = [c if c != "stock_status" else F.coalesce(F.col("_clc").cast(content.schema[c].dataType), c).alias(c) for c in content.columns]
+    return lookup_join(content, newest, "ks").select(*kept)
+
+
 def stream_recompute(
     changes: DataFrame,
-    tables: dict[str, DataFrame],
-    path: str,
+    tables: Callable[[], dict[str, DataFrame]],
+    folder: str,
     checkpoint: str,
     catch_up: bool = False,
     triggering_exclusions: Collection[int] = C.UNTRIGGERED_SUPPLIERS,
+    labels: C.Labels = C.Labels(),
     **rules,
 ) -> StreamingQuery:
-    """Recompute the affected items of every micro-batch of tagged ``changes`` into ``path``.
-
-    ``tables`` are read anew by every batch; each batch's result replaces itself when repeated.
+    """Recompute the affected items of every micro-batch of tagged ``changes``.
+
+    ``tables`` is called by every batch, so that it reads the tables as they are by then: those of
+    :func:`shelfline.operators.propagate.recompute_status`, ``invoice_line``, and, for change rows,
+    ``modification``, ``device`` and ``availability``. Writes ``folder/status`` (``ks, cur, clc``;
+    the stored status ``cur`` counts what earlier batches wrote), ``folder/changes`` (a change row for
+    every item whose status moved) and ``folder/rejects``. A repeated batch replaces its results. The
+    affected keys go to one of two folders by turns, so none are left over.
     """
+    spark = changes.sparkSession
+
+    def written(batch_id: int) -> DataFrame:
+        try:
+            seen = spark.read.schema(T.StructType.fromDDL("ks LONG, cur INT, clc INT, batch LONG")).parquet(f"{folder}/status")
+        except AnalysisException as missing:  # the first batch finds nothing
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            return spark.createDataFrame([], "ks LONG, clc INT, batch LONG")
+        return seen.where(F.col("batch") < batch_id).select("ks", "clc", "batch")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        keys = materialized(affected_items(batch, tables, triggering_exclusions), "affected")
-        write_batch(propagate.recompute_status(keys, tables, **rules), path, batch_id)
+        now = dict(tables())
+        now["content"] = with_written_status(now["content"], written(batch_id))
+        affected = affected_items(batch, now, triggering_exclusions)
+        place = f"{folder}/affected/{batch_id % 2}"
+        affected.write.mode("overwrite").parquet(place)
+        keys = spark.read.schema(affected.schema).parquet(place)
+        dated = propagate.recompute_dated_status(keys, now, **rules).persist()
+        if "modification" in now:
+            moved = propagate.status_changes(dated)
+            made = stock_change_records(moved, now["modification"], now["device"], None, now["availability"], labels)
+            write_batch(made.records, f"{folder}/changes", batch_id)
+            write_batch(made.rejected, f"{folder}/rejects", batch_id)
+        write_batch(dated.select("ks", "cur", "clc"), f"{folder}/status", batch_id)
+        dated.unpersist()
 
     return start(changes, checkpoint, handler=handle, catch_up=catch_up)

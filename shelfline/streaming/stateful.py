@@ -1,7 +1,8 @@
-"""Keyed state: duplicate suppression and delivery retries.
+"""Keyed state: delivery retries.
 
-Both keep a few numbers per key in the state store and handle a key's new rows as one pandas
-frame. How many rows that can be is bounded by the feed's admission control, not by the key.
+A change keeps its retry count and the resends it waits for in the state store, until its outcome is
+final. A micro-batch's attempts of one change are one pandas frame: there are as many as the retry
+limit lets through, not as many as the feed has rows.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -24,51 +25,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_rocksdb(df: DataFrame) -> None:
-    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-
-
-class SuppressRepeats(StatefulProcessor):
-    """Compare each change of a modification with the one sent last; count what is held back."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", "time_delivery STRING, qnt STRING, dbl_cnt BIGINT")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("id", kind="stable", ignore_index=True)
-        term, count, held = None, None, 0
-        if self._last.exists():
-            term, count, held = self._last.get()
-        before = batch[["time_delivery", "qnt"]].shift(1)
-        before.loc[0] = [term, count]
-        known = batch[["time_delivery", "qnt"]].notna().all(axis=1) & before.notna().all(axis=1)
-        repeated = known & (batch["time_delivery"] == before["time_delivery"]) & (batch["qnt"] == before["qnt"])
-        batch["sent"] = ~repeated
-        run = batch["sent"].cumsum()
-        position = batch.groupby(run).cumcount()
-        # Rows before the first sent one go on counting from the state.
-        batch["dbl_cnt"] = position.where(run > 0, position + held + 1).astype("int64")
-        last = batch.iloc[-1]
-        self._last.update((last["time_delivery"], last["qnt"], int(last["dbl_cnt"])))
-        yield batch[["id", "mod_id", "time_delivery", "qnt", "sent", "dbl_cnt"]]
-
-    def close(self) -> None:
-        pass
-
-
-def stream_dedupe(changes: DataFrame) -> DataFrame:
-    """Stream form of :func:`shelfline.operators.changes.suppress_repeats`: ids have to grow from
-    batch to batch."""
-    use_rocksdb(changes)
-    quantity = changes.schema["qnt"].dataType
-    rows = changes.select("id", "mod_id", "time_delivery", F.col("qnt").cast("string").alias("qnt"))
-    judged = rows.groupBy("mod_id").transformWithStateInPandas(
-        statefulProcessor=SuppressRepeats(),
-        outputStructType="id BIGINT, mod_id STRING, time_delivery STRING, qnt STRING, sent BOOLEAN, dbl_cnt BIGINT",
-        outputMode="append",
-        timeMode="none",
-    )
-    return judged.withColumn("qnt", F.col("qnt").cast(quantity))
+def use_rocksdb(spark: SparkSession) -> None:
+    """Let the session's stateful streams keep their state in RocksDB, as :func:`stream_retry` needs."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
 class Retry(StatefulProcessor):
@@ -80,12 +39,21 @@ class Retry(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._count = handle.getValueState("retry_cnt", "retry_cnt BIGINT")
+        # Time of a timer to the resends it stands for: timers of one time are one timer.
+        self._due = handle.getMapState("due", "at BIGINT", "resends BIGINT")
+
+    def _settle(self) -> None:
+        """The outcome is final: nothing is due any more and nothing has to be remembered."""
+        for (at,) in list(self._due.keys()):
+            self._handle.deleteTimer(at)
+        self._due.clear()
+        self._count.clear()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         attempts = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
         change_id = int(key[0])
         count = self._count.get()[0] if self._count.exists() else None
-        out = []
+        out, waiting, final = [], 0, False
         for ok, transient, stored in attempts[["ok", "transient", "retry_cnt"]].itertuples(index=False, name=None):
             count = int(stored) if count is None else count
             if ok:
@@ -97,16 +65,31 @@ class Retry(StatefulProcessor):
             else:
                 status, again, count = BLOCKED, False, 0
             out.append((change_id, "outcome", status, count, again))
-            if again and self._pause:
-                self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self._pause)
-            elif again:
+            final = not again
+            if final:
+                waiting = 0
+            elif self._pause:
+                waiting += 1
+            else:
                 out.append((change_id, "resend", status, count, again))
-        self._count.update((count,))
+        if final:
+            self._settle()
+        else:
+            self._count.update((count,))
+        if waiting:
+            at = timerValues.getCurrentProcessingTimeInMs() + self._pause
+            held = self._due.getValue((at,))[0] if self._due.containsKey((at,)) else 0
+            self._due.updateValue((at,), (held + waiting,))
+            self._handle.registerTimer(at)
         yield pd.DataFrame(out, columns=["id", "event", "change_status", "retry_cnt", "resend"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        row = (int(key[0]), "resend", int(key[0]), self._count.get()[0], True)
-        yield pd.DataFrame([row], columns=["id", "event", "change_status", "retry_cnt", "resend"])
+        at = (expiredTimerInfo.getExpiryTimeInMs(),)
+        resends = self._due.getValue(at)[0] if self._due.containsKey(at) else 0
+        if resends:
+            self._due.removeKey(at)
+        row = (int(key[0]), "resend", int(key[0]), self._count.get()[0] if resends else 0, True)
+        yield pd.DataFrame([row] * resends, columns=["id", "event", "change_status", "retry_cnt", "resend"])
 
     def close(self) -> None:
         pass
@@ -115,11 +98,12 @@ class Retry(StatefulProcessor):
 def stream_retry(attempts: DataFrame, retry_limit: int = RETRY_LIMIT, pause_ms: int = 0) -> DataFrame:
     """Stream form of :func:`shelfline.operators.delivery.delivery_outcome` that remembers counts.
 
-    ``attempts(id, seq, retry_cnt, error)``; the stored ``retry_cnt`` matters for the first
-    attempt only. Every attempt gives an ``outcome`` row, every resend a ``resend`` row, after
-    ``pause_ms`` when that is set. Texts are judged before the state is touched.
+    ``attempts(id, seq, retry_cnt, error)``; the stored ``retry_cnt`` matters for the first attempt
+    and for the first one after a final outcome, which clears the state. Every attempt gives an
+    ``outcome`` row, every resend a ``resend`` row, after ``pause_ms`` when that is set and no final
+    outcome came first. The session has to keep state in RocksDB, see :func:`use_rocksdb`. Texts are
+    judged before the state is touched.
     """
-    use_rocksdb(attempts)
     error = F.coalesce("error", F.lit(""))
     judged = attempts.select(
         F.col("id").cast("long").alias("id"),

@@ -156,7 +156,7 @@ def test_delivery_outcome(frame):
     attempts = [(i, 0, "run: " + f) for i, f in enumerate(C.TRANSIENT_FRAGMENTS, 10)]
     attempts += [(i, 0, f) for i, f in enumerate(C.TRANSIENT_FRAGMENTS, 20)]
     attempts += [(1, 2, None), (2, 2, ""), (3, 2, "bad model"), (4, 3, "x timed out"), (5, 4, "x timed out")]
-    found = by_key(delivery.delivery_outcome(frame("id INT, retry_cnt INT, error STRING", *attempts), "site"), "id", "change_status", "retry_cnt", "resend")
+    found = by_key(delivery.delivery_outcome(frame("id INT, retry_cnt INT, error STRING", *attempts), "site", NOW), "id", "change_status", "retry_cnt", "resend")
     for i in range(len(C.TRANSIENT_FRAGMENTS)):
         assert found[10 + i] == (10 + i, 1, True)
         # A fragment at the very start is not transient.
@@ -165,6 +165,8 @@ def test_delivery_outcome(frame):
     assert found[3] == (-1, 0, False)
     assert found[4] == (4, 4, True)
     assert found[5] == (2, 5, False)
+    expected = delivery.expected_outcome(frame("id INT, retry_cnt INT, error STRING", (1, 2, None), (4, 0, "bad")), "site", NOW)
+    assert rows(expected, "id", "status", "dt_sent") == [(1, 1, datetime(2024, 2, 1)), (4, -1, datetime(2024, 2, 1))]
 
 
 def test_affected_by_payments(frame):

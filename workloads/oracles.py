@@ -251,7 +251,15 @@ FROM judged WHERE mod_id IS NULL OR time_delivery IS NULL OR qnt IS NULL""",
     "site_update_messages": """SELECT id, mod_id, time_delivery, COALESCE(CAST(qnt AS VARCHAR), '') AS qnt, active IS NOT FALSE AS active, active IS FALSE AS deactivate
 FROM stock_change WHERE change_status = 0""",
     "delivery_outcome": f"""WITH {ATTEMPT}
-SELECT id, change_status, retry_cnt, COALESCE(err, 'prod.example updated') AS sent_result, resend FROM outcome""",
+SELECT id, change_status, retry_cnt, COALESCE(err, 'prod.example updated') AS sent_result, {AS_OF} AS dt_sent, resend FROM outcome""",
+    "expected_outcome": f"""WITH tried AS (
+    SELECT id, retry_cnt, NULLIF(sent_result, 'ok updated') AS err,
+           regexp_matches(substr(sent_result, 2), 'client[.]|Error reading SSH protocol banner|Network is unreachable|Unable to connect|timed out|503 Service Temporarily Unavailable|Connection re') AS passing
+    FROM expected_shipment WHERE status = 0)
+SELECT id, CASE WHEN err IS NULL THEN 1 WHEN NOT passing THEN -1 WHEN retry_cnt > 3 THEN 2 ELSE id END AS status,
+       CASE WHEN err IS NULL THEN retry_cnt WHEN passing THEN retry_cnt + 1 ELSE 0 END AS retry_cnt,
+       COALESCE(err, 'prod.example updated') AS sent_result, {AS_OF} AS dt_sent, err IS NOT NULL AND passing AND retry_cnt <= 3 AS resend
+FROM tried""",
     "changed_rows": f"""WITH {COMPUTED}
 SELECT 'stock_status' AS kind, ks AS key FROM content_change WHERE new_status <> old_status OR old_status IS NULL
 UNION ALL SELECT 'computed', id FROM computed
@@ -293,6 +301,9 @@ FROM timed""",
     "affected_by_orders": """SELECT DISTINCT c.ks FROM order_line_change c JOIN purchase_order o ON o.order_no = c.order_no WHERE o.supplier_code NOT IN (3, 7)""",
     "recompute_status": f"WITH {STATUS}, {AFFECTED} SELECT h.ks, s.cur, s.clc FROM hit h LEFT JOIN status s ON s.ks = h.ks",
     "stream_recompute": f"WITH {STATUS}, {AFFECTED} SELECT h.ks, s.cur, s.clc FROM hit h LEFT JOIN status s ON s.ks = h.ks",
+    "stream_recompute_changes": f"""WITH {CHANGE_RECORDS}, {AFFECTED}
+SELECT ks, stock_status_old, stock_status_new, mod_id, time_delivery, qnt FROM judged
+WHERE ks IN (SELECT ks FROM hit) AND stock_status_new <> COALESCE(stock_status_old, -1) AND mod_id || time_delivery || qnt IS NOT NULL""",
     "recompute_changes": f"""WITH {CHANGE_RECORDS}, {AFFECTED}
 SELECT j.ks, j.stock_status_old, j.stock_status_new, j.mod_id, j.time_delivery, j.qnt FROM judged j JOIN hit h ON h.ks = j.ks
 WHERE COALESCE(j.stock_status_old, -1) <> j.stock_status_new AND j.mod_id IS NOT NULL AND j.time_delivery IS NOT NULL AND j.qnt IS NOT NULL""",

@@ -12,7 +12,7 @@ from shelfline.functions import constants as C
 from shelfline.functions.text import format_payload
 from shelfline.operators import changes, delivery, export, lookups, migrate, outcomes, propagate, quality, reports, stock
 from shelfline.sources import caret_csv, folders, logs, notifications
-from shelfline.streaming import notify, recompute, sinks, stateful
+from shelfline.streaming import dedupe, notify, recompute, sinks, stateful
 from workloads.views import Domain, domain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,7 +157,14 @@ def _attempts(change: DataFrame) -> DataFrame:
 
 @query
 def delivery_outcome(d):
-    return delivery.delivery_outcome(_attempts(d.stock_change), PROD_SITE)
+    return delivery.delivery_outcome(_attempts(d.stock_change), PROD_SITE, AS_OF)
+
+
+@query
+def expected_outcome(d):
+    pending = d.expected_shipment.where(F.col("status") == C.PENDING)
+    attempts = pending.select("id", "retry_cnt", F.nullif("sent_result", F.lit("ok updated")).alias("error"))
+    return delivery.expected_outcome(attempts, PROD_SITE, AS_OF)
 
 
 # --- change log -------------------------------------------------------------------------
@@ -582,22 +589,40 @@ def _caught_up(stream_query) -> None:
         raise stream_query.exception()
 
 
-@query
-def stream_recompute(d):
+def _recompute_stream(d: Domain) -> str:
+    """Run the recompute stream over all changes; the folder it wrote."""
     feed = (
         recompute.tagged(_payment_changes(d.view("payment_change", orders=d.stream("orders"))), "payment")
         .unionByName(recompute.tagged(_reserve_changes(d.view("reserve_change", lineitem=d.stream("lineitem"))), "reserve"))
         .unionByName(recompute.tagged(_order_line_changes(d.view("order_line_change", lineitem=d.stream("lineitem"))), "order_line"))
     )
     folder = folders.shared_folder(d.spark, "stream-recompute")
-    tables = _tables(d, "invoice_line")
+
+    def tables():
+        # A new domain: its tables are listed anew.
+        return _tables(Domain(d.spark, d.sf_dir), "invoice_line", "modification", "device", "availability")
+
     _caught_up(
         recompute.stream_recompute(
             feed, tables, f"{folder}/out", f"{folder}/checkpoint", catch_up=True, excluded_suppliers=SUPPLIERS,
-            triggering_exclusions=SUPPLIERS,
+            triggering_exclusions=SUPPLIERS, labels=LABELS,
         )
     )
-    return d.spark.read.parquet(f"{folder}/out").select("ks", "cur", "clc").distinct()
+    return f"{folder}/out"
+
+
+@query
+def stream_recompute(d):
+    """What the newest batch of every item says."""
+    found = d.spark.read.parquet(f"{_recompute_stream(d)}/status")
+    newest = found.groupBy("ks").agg(F.max_by(F.struct("cur", "clc"), "batch").alias("_last"))
+    return newest.select("ks", "_last.cur", "_last.clc")
+
+
+@query
+def stream_recompute_changes(d):
+    found = d.spark.read.parquet(f"{_recompute_stream(d)}/changes")
+    return found.select("ks", "stock_status_old", "stock_status_new", "mod_id", "time_delivery", "qnt")
 
 
 @query
@@ -617,10 +642,13 @@ def _stream_to_folder(d: Domain, result: DataFrame, purpose: str) -> DataFrame:
 @query
 def stream_dedupe(d):
     feed = d.view("stock_change", events=d.stream("events"))
-    return _stream_to_folder(d, stateful.stream_dedupe(feed), "stream-dedupe")
+    folder = folders.shared_folder(d.spark, "stream-dedupe")
+    _caught_up(dedupe.stream_dedupe(feed, folder, f"{folder}/checkpoint", catch_up=True))
+    return d.spark.read.parquet(f"{folder}/out").select("id", "mod_id", "time_delivery", "qnt", "sent", "dbl_cnt")
 
 
 @query
 def stream_retry(d):
+    stateful.use_rocksdb(d.spark)
     feed = _attempts(d.view("stock_change", events=d.stream("events")))
     return _stream_to_folder(d, stateful.stream_retry(feed), "stream-retry")

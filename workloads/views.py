@@ -102,7 +102,8 @@ SELECT event_id AS id, ts AS dt_change,
 FROM {events}""",
     "expected_shipment": """
 SELECT event_id AS id, ts AS dt_insert, CASE event_type WHEN 'error' THEN 2 WHEN 'view' THEN 1 ELSE 0 END AS status, user_id AS ks,
-       CASE WHEN event_id % 10 = 0 THEN NULL ELSE '2024-02-01:' || CAST(event_id % 30 AS VARCHAR(20)) || ';' END AS expected, event_id % 6 AS retry_cnt
+       CASE WHEN event_id % 10 = 0 THEN NULL ELSE '2024-02-01:' || CAST(event_id % 30 AS VARCHAR(20)) || ';' END AS expected, event_id % 6 AS retry_cnt,
+       CASE event_id % 5 WHEN 0 THEN 'ok updated' WHEN 1 THEN 'x: Unable to connect' WHEN 2 THEN 'Unable to connect' WHEN 3 THEN 'run: timed out' ELSE 'no such item' END AS sent_result
 FROM {events}""",
     "pack_list": "SELECT p_partkey AS ks FROM {part} WHERE p_size >= 20",
     "export_log": """
