@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm.common import materialized
 from shelfline.plans.lookup import lookup_join
 
 RATIO = 0.1
@@ -46,8 +47,10 @@ def drop_site_lines(
     null texts stay null, rows without a site stay as they are, repeated rows count as pages of
     their own, and other columns are kept whatever they are called.
     """
+    # Written first: a table of known size, so that Catalyst need not shuffle the pages to learn it.
+    found = materialized(boilerplate(pages, site, text, ratio, least_pages), "boilerplate")
     marked = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), F.col(site).alias("site"))
-    found = lookup_join(marked, boilerplate(pages, site, text, ratio, least_pages), "site")
+    found = lookup_join(marked, found, "site")
     whole = F.col(f"row.`{text}`")
     kept = F.filter(_lines(whole), lambda line: ~F.array_contains(F.col("lines"), _hash(line)))
     cleaned = F.when(F.col("lines").isNull(), whole).otherwise(F.array_join(kept, "\n"))
