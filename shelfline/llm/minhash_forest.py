@@ -5,9 +5,11 @@ that share a longer prefix stand closer together. Candidates are found in two ro
 
 1. Neighbours in each sorted order with a long enough common prefix. Their links, confirmed on full
    shingle sets, already join most of what belongs together.
-2. Regions of a tree, that is documents with one prefix, that still hold several components: all
-   pairs from different components. A region too large for that is cut by a deeper prefix, as
-   often as needed; what shares a whole signature and is still too large is compared block by block.
+2. Regions of a tree, that is documents with one prefix, that still hold several components: what
+   is near by signature across components is gathered into families. A region too large for that is
+   cut by a deeper prefix, as often as needed; what shares a whole signature and is still too large
+   is compared block by block. Families are then compared in full within tasks, again by blocks,
+   and only a spanning forest of the links leaves a task: no list of pairs grows with a family.
 
 The number of trees and the depth make a link between two documents at the threshold a candidate
 with a probability of ``1 - (1 - J^depth)^trees``. Documents with equal shingle sets are one node.
@@ -18,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import by_bytes, materialized
-from shelfline.llm.graph import components
+from shelfline.llm.graph import components, stars
 from shelfline.plans.lookup import lookup_join
 
 WORDS = 5
@@ -34,6 +37,10 @@ TREES, DEPTH = 24, 8
 DEPTHS = (4, 6, 8)
 #: Documents of a region, or of one block of it, compared within one task.
 REGION = 512
+#: Documents and shingles of a block of a family, about.
+FAMILY, FAMILY_SHINGLES = 256, 400_000
+#: Shingles whose documents are multiplied at once.
+COLUMNS = 4096
 #: Standard deviations below the threshold at which a signature still counts as near.
 MARGIN = 5.0
 BATCH_BYTES = 4 << 20
@@ -253,7 +260,8 @@ def _cells(trees: DataFrame, region: int) -> DataFrame:
 
 
 def _across(cells: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Near pairs of different components within each cell. Cells lie next to each other in sorted
+    """``a, b``: which documents of a cell are connected by near pairs of different components, as
+    stars. Cells lie next to each other in sorted
     partitions; a batch compares whole cells, the last one waits for the next batch. A pair that an
     earlier tree holds under a whole signature was found there."""
     least = _least(threshold)
@@ -277,6 +285,7 @@ def _across(cells: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
                 earlier = np.where(whole.any(1), whole.argmax(1), TREES) < tree[i]
                 lists.append((key[i[~earlier]], key[j[~earlier]]))
             a, b = (np.concatenate([x[k] for x in lists]) if lists else np.zeros(0, np.int64) for k in (0, 1))
+            a, b = stars(a, b)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         rest = None
@@ -297,6 +306,51 @@ def _across(cells: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
     return wanted.mapInArrow(compare, "a bigint, b bigint")
 
 
+def _linked(keys: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links among documents by their full sets, as stars. Shingles that several documents have are
+    the columns of a 0/1 matrix; its product with itself counts what two documents share."""
+    n, sizes = len(keys), np.array([len(s) for s in sets])
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(held > 1) - 1
+    row, column = np.repeat(np.arange(n), sizes)[held[column] > 1], number[column[held[column] > 1]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((n, n), np.float32)
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, [begin, begin + COLUMNS]))
+        incidence = np.zeros((n, COLUMNS), np.float32)
+        incidence[row[part], column[part] - begin] = 1
+        shared += incidence @ incidence.T
+    shared = shared.astype(np.int64)
+    i, j = np.nonzero(np.triu(100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared), 1))
+    return stars(keys[i], keys[j])
+
+
+def _within_families(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: links among the documents of each family (``node, component``), as stars per task.
+    Small families share tasks; large ones are dealt into blocks, every two of which meet."""
+    rows = lookup_join(families.toDF("key", "family"), sets.select("key", "shingles"), "key", "inner")
+    sizes = rows.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("shingles")).alias("s"))
+    blocks = F.ceil(F.greatest(F.col("n") / FAMILY, F.col("s") / FAMILY_SHINGLES)).cast("int")
+    sizes = materialized(sizes.withColumn("blocks", blocks), "families")
+    small = sizes.where("blocks = 1").agg(F.sum("n"), F.sum("s")).first()
+    bins = max(1, -(-(small[0] or 0) // FAMILY), -(-(small[1] or 0) // FAMILY_SHINGLES))
+    rows = lookup_join(rows, sizes.select("family", "blocks"), "family", "inner")
+    own = F.pmod(F.xxhash64("key"), "blocks").cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
+    # Two blocks meet in their pair; a block alone would only repeat that.
+    pairs = F.filter(pairs, lambda p: p["i"] < p["j"])
+    alone = F.array(F.struct(F.lit(-1).alias("i"), F.pmod(F.xxhash64("family"), F.lit(bins)).cast("int").alias("j")))
+    rows = rows.withColumn("task", F.explode(F.when(F.col("blocks") == 1, alone).otherwise(pairs)))
+    rows = rows.select(F.when(F.col("blocks") == 1, -1).otherwise(F.col("family")).alias("family"), "task.i", "task.j", "key", "shingles")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        a, b = _linked(frame["key"].to_numpy(), [np.asarray(s) for s in frame["shingles"]], percent)
+        return pd.DataFrame({"a": a, "b": b})
+
+    return rows.groupBy("family", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, words: int = WORDS, region: int = REGION
 ) -> DataFrame:
@@ -328,8 +382,8 @@ def near_duplicates(
     grown = lookup_join(classes.select(F.col("rep").alias("key"), "sig"), some, "key", "left_semi")
     grown = lookup_join(grown, joined.toDF("key", "component"), "key")
     grown = grown.select("key", F.coalesce("component", "key").alias("component"), F.posexplode("sig").alias("tree", "bits"))
-    wider = materialized(_ordered(_across(_cells(materialized(grown, "forest"), region), classes, threshold)), "wider")
-    more = _confirmed(wider.join(near, ["a", "b"], "left_anti"), sets, percent)
+    families = materialized(components(_across(_cells(materialized(grown, "forest"), region), classes, threshold)), "members")
+    more = materialized(_within_families(families, sets, percent), "more")
     joined = materialized(components(links.unionByName(more)), "components")
 
     of_class = lookup_join(classes.select("print", "rep"), joined.toDF("rep", "component"), "rep")
