@@ -19,7 +19,7 @@ from workloads.queries import QUERIES  # noqa: E402
 HEADLINES = [
     "stock_status",
     "to_wide",
-    "match_versions",
+    "match_groups",
     "equals_last_sent",
     "compare_delivery_by_name",
     "compare_price",

@@ -112,3 +112,6 @@ class FirmRules:
     default: str
     renamed: str
     special_customer: int = SPECIAL_CUSTOMER
+
+# The price columns a new catalogue version takes over.
+CARRIED_COLUMNS = ("mod_price", "mod_delivery_time", "dm_valuta", "dm_kurs", "dm_koef", "price_base", "vendor_art_id")

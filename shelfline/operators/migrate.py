@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.constants import CARRIED_COLUMNS as CARRIED
 from shelfline.plans.lookup import lookup_join
 
-CARRIED = ("mod_price", "mod_delivery_time", "dm_valuta", "dm_kurs", "dm_koef", "price_base", "vendor_art_id")
-
 
 def shared_parameters(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame:
     """Per device the attributes of both versions, those they share and how they relate:
@@ -70,12 +69,27 @@ def _sides(mod_param: DataFrame, v_from: int, v_to: int) -> tuple[DataFrame, Dat
     return old, new
 
 
+def match_groups(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame:
+    """The modifications of both versions by what they agree on: ``dev_id, group_key, version_num,
+    mod_id, matched``. Members of a device with one ``group_key`` agree on all shared attributes;
+    ``matched`` says that the group has members of both versions. As many rows as modifications,
+    however large a group is; a modification that lacks a shared attribute has no key."""
+    vectors = attribute_vectors(mod_param, v_from, v_to)
+    text = F.transform("vector", lambda v: F.concat(v["dev_param_id"].cast("string"), F.lit("="), v["value"]))
+    rows = vectors.withColumn("group_key", F.when(F.col("vector").isNotNull(), F.array_join(text, ";")))
+    sides = rows.where(F.col("group_key").isNotNull()).groupBy("dev_id", "group_key").agg(
+        (F.min("version_num") != F.max("version_num")).alias("matched")
+    )
+    found = lookup_join(rows, sides, ["dev_id", "group_key"])
+    return found.select("dev_id", "group_key", "version_num", "mod_id", F.coalesce("matched", F.lit(False)).alias("matched"))
+
+
 def match_versions(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame:
     """Every old modification with the new ones that agree on all shared attributes:
     ``dev_id, mod_id_from, mod_id_to``; ``mod_id_to`` is NULL without a match.
 
-    The pairs themselves are the result; to carry values over use :func:`winning_matches`, which
-    needs none.
+    The pairs themselves are the result, as many as a group's sides multiply to. :func:`match_groups`
+    says the same without them; to carry values over use :func:`winning_matches`.
     """
     old, new = _sides(mod_param, v_from, v_to)
     return old.join(new, ["dev_id", "vector"], "left").select("dev_id", "mod_id_from", "mod_id_to")

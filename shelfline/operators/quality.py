@@ -23,12 +23,10 @@ class Unique:
     columns: tuple[str, ...]
     where: str | None = None
 
-    def violations(self, df: DataFrame) -> DataFrame:
-        rows = df.where(self.where) if self.where else df
-        groups = rows.dropna(subset=list(self.columns)).groupBy(*self.columns).agg(F.count(F.lit(1)).alias("n"))
-        return groups.where("n > 1").select(
-            _key(self.columns).alias("key"), F.concat(F.col("n").cast("string"), F.lit(" rows")).alias("detail")
-        )
+    def applies(self) -> Column:
+        """Whether a row's key takes part."""
+        known = [F.col(c).isNotNull() for c in self.columns]
+        return reduce(Column.__and__, known, F.coalesce(F.expr(self.where), F.lit(False)) if self.where else F.lit(True))
 
 
 @dataclass(frozen=True)
@@ -54,8 +52,11 @@ class NotNull:
     column: str
     key: tuple[str, ...]
 
-    def violations(self, df: DataFrame) -> DataFrame:
-        return df.where(F.col(self.column).isNull()).select(_key(self.key).alias("key"), F.lit(f"{self.column} is missing").alias("detail"))
+    def broken(self) -> Column:
+        return F.col(self.column).isNull()
+
+    def detail(self) -> Column:
+        return F.lit(f"{self.column} is missing")
 
 
 @dataclass(frozen=True)
@@ -65,11 +66,11 @@ class MaxLength:
     length: int
     key: tuple[str, ...]
 
-    def violations(self, df: DataFrame) -> DataFrame:
-        size = F.char_length(self.column)
-        return df.where(size > self.length).select(
-            _key(self.key).alias("key"), F.concat(F.lit(f"{self.column} has "), size.cast("string"), F.lit(" characters")).alias("detail")
-        )
+    def broken(self) -> Column:
+        return F.char_length(self.column) > self.length
+
+    def detail(self) -> Column:
+        return F.concat(F.lit(f"{self.column} has "), F.char_length(self.column).cast("string"), F.lit(" characters"))
 
 
 @dataclass(frozen=True)
@@ -81,19 +82,43 @@ class KnownValue:
     allowed: tuple[str, ...]
     key: tuple[str, ...]
 
-    def violations(self, df: DataFrame) -> DataFrame:
-        return df.where(~F.col(self.column).isin(*self.allowed)).select(
-            _key(self.key).alias("key"), F.concat(F.lit("unknown "), F.col(self.column)).alias("detail")
-        )
+    def broken(self) -> Column:
+        return ~F.col(self.column).isin(*self.allowed)
+
+    def detail(self) -> Column:
+        return F.concat(F.lit("unknown "), F.col(self.column))
 
 
 Rule = Unique | ForeignKey | NotNull | MaxLength | KnownValue
 
 
+def _broken_rows(df: DataFrame, rules: Sequence[NotNull | MaxLength | KnownValue]) -> DataFrame:
+    """All rules about single rows, in one pass."""
+    judged = [F.when(r.broken(), F.struct(F.lit(r.name).alias("rule"), _key(r.key).alias("key"), r.detail().alias("detail"))) for r in rules]
+    return df.select(F.explode(F.array_compact(F.array(*judged))).alias("found")).select("found.*")
+
+
+def _repeated_keys(df: DataFrame, rules: Sequence[Unique]) -> DataFrame:
+    """All uniqueness rules, in one pass and one shuffle of counts by rule and key."""
+    keys = [
+        F.when(r.applies(), F.struct(F.lit(r.name).alias("rule"), F.array(*[F.col(c).cast("string") for c in r.columns]).alias("values")))
+        for r in rules
+    ]
+    counts = df.select(F.explode(F.array_compact(F.array(*keys))).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    repeated = counts.where("n > 1")
+    return repeated.select("k.rule", F.array_join("k.values", "|").alias("key"), F.concat(F.col("n").cast("string"), F.lit(" rows")).alias("detail"))
+
+
 def check_constraints(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Violations of all rules: ``rule, key, detail``. Repeated keys are counted before they are
-    shuffled, so a value that fills a table costs no more than any other."""
-    found = [rule.violations(df).select(F.lit(rule.name).alias("rule"), "key", "detail") for rule in rules]
+    """Violations of all rules: ``rule, key, detail``. The table is read once for the rules about
+    rows, once for uniqueness and once for each foreign key. Repeated keys are counted before they
+    are shuffled, so a value that fills a table costs no more than any other."""
+    unique = [r for r in rules if isinstance(r, Unique)]
+    foreign = [r for r in rules if isinstance(r, ForeignKey)]
+    rows = [r for r in rules if not isinstance(r, Unique | ForeignKey)]
+    found = [r.violations(df).select(F.lit(r.name).alias("rule"), "key", "detail") for r in foreign]
+    found += [_repeated_keys(df, unique)] if unique else []
+    found += [_broken_rows(df, rows)] if rows else []
     return reduce(DataFrame.unionByName, found)
 
 

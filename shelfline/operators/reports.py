@@ -222,18 +222,15 @@ def unbilled_order_items(
 
 
 def log_with_changes(audit_log: DataFrame, stock_change: DataFrame, pattern: str) -> DataFrame:
-    """Log rows whose description matches, each with the changes of its item, newest first.
+    """Log rows whose description matches, each with the changes of its item, in no set order: the
+    pairs are the report, and whoever shows a part of it sorts that part.
 
     The log is filtered before it is joined; rows whose number is not a number match nothing.
     """
     log = audit_log.where(F.col("descript").like(pattern)).select(
         F.col("id").alias("log_id"), "descript", "operation", F.col("dt").alias("log_dt"), F.col("num").try_cast("long").alias("ks")
     )
-    return (
-        stock_change.join(log, "ks")
-        .select("log_id", "descript", "operation", "log_dt", *stock_change.columns)
-        .orderBy(F.col("log_id").desc_nulls_first(), F.col("dt_change").desc_nulls_first())
-    )
+    return stock_change.join(log, "ks").select("log_id", "descript", "operation", "log_dt", *stock_change.columns)
 
 
 def sync_report(

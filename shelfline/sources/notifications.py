@@ -33,6 +33,11 @@ def classify_notifications(notes: DataFrame) -> DataFrame:
     )
 
 
+def write_routes(notes: DataFrame, path: str) -> None:
+    """One folder per channel, and ``rejected``, from one pass over the notifications."""
+    classify_notifications(notes).write.mode("overwrite").partitionBy("route").parquet(path)
+
+
 def route_notifications(notes: DataFrame) -> dict[str, DataFrame]:
     """One DataFrame per channel, and ``rejected``."""
     classified = classify_notifications(notes)

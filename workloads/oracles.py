@@ -13,7 +13,7 @@ AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 # Totals per item, each movement summed on its own.
 MOVEMENTS = """
 wh AS (SELECT ks, SUM(CAST(free_qty AS DECIMAL(18,4))) AS q FROM stock_qty
-       WHERE NOT free_qty = 0 AND NOT warehouse_id IN (1, 3, 8, 9, 10) GROUP BY ks),
+       WHERE free_qty <> 0 AND warehouse_id NOT IN (SELECT unnest([1, 3, 8, 9, 10])) GROUP BY ks),
 settled AS (SELECT invoice_no FROM payment GROUP BY invoice_no HAVING SUM(CAST(amount AS DECIMAL(28,10))) > 0),
 held AS (SELECT ks, SUM(CAST(reserved_qty AS DECIMAL(18,4))) AS q FROM reserve
          WHERE invoice_no IN (SELECT invoice_no FROM settled) AND released_at IS NULL AND reserve_status <> 3 GROUP BY ks),
@@ -162,28 +162,30 @@ pair AS (SELECT o.dev_id, o.mod_id AS old_id, w.mod_id AS new_id
 winner AS (SELECT MAX(old_id) AS mod_id_from, new_id AS mod_id_to FROM pair GROUP BY new_id)"""
 
 OFF = """
-off AS (SELECT b.ie_xml_id, b.ip_prop474, b.ie_name, b.ip_prop657, d.dev_id
-        FROM site_device b JOIN device d ON b.ie_xml_id = d.ie_xml_id WHERE d.version_num = 1 AND NOT b.ie_active)"""
+on_shop AS (SELECT dev_id, dev_name, ie_xml_id, timedelivery FROM device WHERE version_num = 1 AND ie_xml_id IS NOT NULL),
+off AS (SELECT o.dev_id, s.ie_xml_id, s.ie_name, s.ip_prop474, s.ip_prop657 FROM on_shop o JOIN site_device s USING (ie_xml_id) WHERE s.ie_active = FALSE),
+listed AS (
+    SELECT m.ks, m.mod_id, m.mod_price, concat(o.dev_name, ': ', m.mod_id) AS mod_name, o.ie_xml_id, ifnull(m.mod_delivery_time, o.timedelivery) AS own_term
+    FROM on_shop o JOIN modification m USING (dev_id)
+    WHERE m.version_num = 1 AND m.ks IS NOT NULL AND NOT EXISTS (FROM off WHERE off.dev_id = o.dev_id)
+)"""
+
+# The terms the shop may show for a stock status; the first one is the exact one.
+TERMS = """CASE {0} WHEN 2 THEN ['In stock'] WHEN 1 THEN ['Expected ' || ifnull(strftime(expected_date, '%Y.%m.%d'), 'to stock'), 'Expected to stock'] ELSE [own_term] END"""
 
 DELIVERY = STATUS + "," + OFF + """,
-arc AS (SELECT m.ks, d.dev_name || ': ' || m.mod_id AS mod_name, m.dev_id, COALESCE(m.mod_delivery_time, d.timedelivery) AS term,
-               s.clc AS wh, s.expected_date
-        FROM modification m JOIN device d ON d.dev_id = m.dev_id AND d.version_num = m.version_num LEFT JOIN status s ON s.ks = m.ks
-        WHERE m.ks IS NOT NULL AND m.version_num = 1 AND d.ie_xml_id IS NOT NULL),
-dated AS (SELECT arc.*, CASE wh WHEN 2 THEN 'In stock' WHEN 1 THEN 'Expected ' || COALESCE(strftime(expected_date, '%Y.%m.%d'), 'to stock') ELSE term END AS in_base,
-                 CASE wh WHEN 2 THEN 'In stock' WHEN 1 THEN 'Expected to stock' ELSE term END AS undated FROM arc),
-delivery AS (SELECT a.ks, a.mod_name, a.in_base, p.ip_prop110 AS on_site
-             FROM dated a JOIN site_price p ON p.ie_name = a.mod_name
-             WHERE NOT (p.ip_prop110 = a.in_base OR p.ip_prop110 = a.undated) AND a.dev_id NOT IN (SELECT dev_id FROM off))"""
+promise AS (SELECT ks, mod_name, """ + TERMS.format("clc") + """ AS terms FROM listed LEFT JOIN status USING (ks)),
+delivery AS (
+    SELECT ks, mod_name, terms[1] AS in_base, ip_prop110 AS on_site FROM promise JOIN site_price ON ie_name = mod_name
+    WHERE terms[1] IS NOT NULL AND ip_prop110 IS NOT NULL AND NOT list_contains(terms, ip_prop110)
+)"""
 
 PRICES = """
-prices AS (SELECT c.ks, d.dev_name || ': ' || m.mod_id AS mod_name, c.price AS price_item, v.sell_price AS price_list, m.mod_price AS price_catalogue,
-                  s.cv_price AS price_site
-           FROM content c JOIN price_view v ON v.ks = c.ks JOIN modification m ON m.ks = c.ks JOIN device d ON d.dev_id = m.dev_id
-           LEFT JOIN site_price s ON s.ie_name = d.dev_name || ': ' || m.mod_id
-           WHERE m.version_num = 1 AND d.version_num = 1 AND d.ie_xml_id IS NOT NULL
-             AND NOT (c.price = v.sell_price AND c.price = m.mod_price AND c.price = s.cv_price)
-             AND m.dev_id NOT IN (SELECT dev_id FROM off))"""
+quoted AS (
+    SELECT ks, mod_name, price AS price_item, sell_price AS price_list, mod_price AS price_catalogue, cv_price AS price_site
+    FROM listed JOIN content USING (ks) JOIN price_view USING (ks) LEFT JOIN site_price ON ie_name = mod_name
+),
+prices AS (SELECT * FROM quoted WHERE price_list <> price_item OR price_catalogue <> price_item OR price_site <> price_item)"""
 
 SYNCED = """
 synced AS (SELECT m.ks, d.dev_name, d.supplier_code, m.mod_id FROM modification m JOIN device d ON d.dev_id = m.dev_id AND d.version_num = m.version_num
@@ -378,26 +380,36 @@ SELECT dev_id, COALESCE(string_agg(CAST(dev_param_id AS VARCHAR), ',' ORDER BY d
        COALESCE(string_agg(CAST(dev_param_id AS VARCHAR), ',' ORDER BY dev_param_id) FILTER (WHERE old AND new), '') AS shared,
        CASE WHEN BOOL_AND(old AND new) THEN 1 WHEN BOOL_AND(new) OR BOOL_AND(old) THEN 3 ELSE 2 END AS relation
 FROM used GROUP BY dev_id""",
+    "match_groups": f"""WITH {PARAMETERS},
+members AS (
+    SELECT p.dev_id, p.version_num, p.mod_id, COUNT(*) FILTER (u.old AND u.new AND p.param_value IS NOT NULL) AS n,
+           COALESCE(string_agg(p.dev_param_id || '=' || p.param_value, ';' ORDER BY p.dev_param_id) FILTER (u.old AND u.new), '') AS group_key
+    FROM mod_param p JOIN used u USING (dev_id, dev_param_id) WHERE p.version_num IN (1, 2) GROUP BY 1, 2, 3
+),
+agreed AS (SELECT dev_id, COUNT(*) FILTER (old AND new) AS n FROM used GROUP BY dev_id),
+keyed AS (SELECT m.dev_id, m.version_num, m.mod_id, CASE WHEN m.n = a.n THEN m.group_key END AS group_key FROM members m JOIN agreed a USING (dev_id))
+SELECT dev_id, group_key, version_num, mod_id,
+       group_key IS NOT NULL AND COUNT(DISTINCT version_num) OVER (PARTITION BY dev_id, group_key) = 2 AS matched FROM keyed""",
     "match_versions": f"""WITH {MATCHES}
 SELECT o.dev_id, o.mod_id AS mod_id_from, p.new_id AS mod_id_to FROM old_mod o LEFT JOIN pair p ON p.dev_id = o.dev_id AND p.old_id = o.mod_id""",
     "winning_matches": f"WITH {MATCHES} SELECT mod_id_from, mod_id_to FROM winner",
     "carry_prices": f"""WITH {MATCHES}
 SELECT t.mod_id, t.dev_id, t.version_num, t.ks, f.mod_price, f.mod_delivery_time, f.dm_valuta, f.dm_kurs, f.dm_koef, f.price_base, f.vendor_art_id, f.mod_id AS mod_id_prev
 FROM modification t JOIN winner w ON w.mod_id_to = t.mod_id JOIN modification f ON f.mod_id = w.mod_id_from AND f.version_num = 1 WHERE t.version_num = 2""",
-    "exclude_inactive": f"WITH {OFF} SELECT m.mod_id, m.dev_id FROM modification m WHERE m.version_num = 1 AND m.dev_id NOT IN (SELECT dev_id FROM off)",
+    "exclude_inactive": f"WITH {OFF} SELECT mod_id, dev_id FROM modification ANTI JOIN off USING (dev_id) WHERE version_num = 1",
     "inactive_synced": f"WITH {OFF} SELECT ie_xml_id AS id, ip_prop474 AS title, ie_name AS model, ip_prop657 AS changed FROM off",
     "compare_delivery_by_name": f"WITH {DELIVERY} SELECT ks, mod_name, in_base, on_site FROM delivery",
     "compare_delivery_by_key": f"""WITH {STATUS}, {OFF},
-arc AS (SELECT m.ks, m.mod_id, d.dev_name || ': ' || m.mod_id AS mod_name, m.dev_id, d.ie_xml_id, c.stock_status AS wh,
-               COALESCE(m.mod_delivery_time, d.timedelivery) AS term, o.expected_date
-        FROM modification m JOIN content c ON c.ks = m.ks JOIN device d ON d.dev_id = m.dev_id AND d.version_num = m.version_num LEFT JOIN coming o ON o.ks = m.ks
-        WHERE m.version_num = 1 AND d.ie_xml_id IS NOT NULL),
-dated AS (SELECT arc.*, CASE wh WHEN 2 THEN 'In stock' WHEN 1 THEN 'Expected ' || COALESCE(strftime(expected_date, '%Y.%m.%d'), 'to stock') ELSE term END AS in_base,
-                 CASE wh WHEN 2 THEN 'In stock' WHEN 1 THEN 'Expected to stock' ELSE term END AS undated FROM arc)
-SELECT a.ks, a.mod_name, p.ie_name, a.in_base, p.ip_prop110 AS on_site
-FROM dated a JOIN site_price p ON CAST(a.mod_id AS DECIMAL(12,0)) = p.ip_prop109
-JOIN site_device b ON b.ip_prop674 = p.ic_xml_id0 AND b.ie_xml_id = a.ie_xml_id
-WHERE NOT (p.ip_prop110 = a.in_base OR p.ip_prop110 = a.undated) AND a.dev_id NOT IN (SELECT dev_id FROM off)""",
+stored AS (
+    SELECT ks, mod_id, mod_name, ie_xml_id, {TERMS.format('stock_status')} AS terms
+    FROM listed JOIN content USING (ks) LEFT JOIN coming USING (ks)
+),
+shown AS (
+    SELECT p.ip_prop109, p.ie_name, p.ip_prop110, s.ie_xml_id FROM site_price p JOIN site_device s ON s.ip_prop674 = p.ic_xml_id0
+)
+SELECT ks, mod_name, ie_name, terms[1] AS in_base, ip_prop110 AS on_site
+FROM stored JOIN shown ON shown.ie_xml_id = stored.ie_xml_id AND ip_prop109 = TRY_CAST(mod_id AS HUGEINT)
+WHERE terms[1] IS NOT NULL AND ip_prop110 IS NOT NULL AND NOT list_contains(terms, ip_prop110)""",
     "compare_price": f"WITH {OFF}, {PRICES} SELECT ks, mod_name, price_item, price_list, price_catalogue, price_site FROM prices",
     "distinct_site_devices": "SELECT ie_name, ie_active FROM site_device GROUP BY ie_name, ie_active",
     "unsynced_devices": """SELECT CASE WHEN b.ie_active IS NULL THEN 'Нет на сайте' WHEN d.ie_xml_id IS NULL THEN 'Не выгружен' ELSE 'Изменен, не выгружен' END AS export_state, d.dev_name_long, d.dev_name, d.arc_name, v.vendor_name AS site_vendor, c.company_name AS base_vendor,
@@ -415,7 +427,7 @@ items AS (SELECT i.order_no, i.dt_insert, split_part(i.item_name, ':', 1) AS mod
           FROM site_order_item i WHERE i.order_no IN (SELECT o.order_no FROM site_order o WHERE o.billcreated = 2 AND o.dt_insert > TIMESTAMP '2001-07-02 00:00:00' - INTERVAL 1 DAY))
 SELECT i.order_no, i.dt_insert, i.model, i.site_mod_id, s.mod_id FROM items i LEFT JOIN synced s ON s.mod_id = i.site_mod_id ORDER BY i.order_no""",
     "log_with_changes": """SELECT l.id AS log_id, l.descript, l.operation, l.dt AS log_dt, s.id, s.ks, s.dt_change, s.change_status, s.time_delivery, s.qnt
-FROM log_entry l JOIN stock_change s ON TRY_CAST(l.num AS BIGINT) = s.ks WHERE l.descript LIKE '%TX-40%' ORDER BY l.id DESC, s.dt_change DESC""",
+FROM log_entry l JOIN stock_change s ON TRY_CAST(l.num AS BIGINT) = s.ks WHERE l.descript LIKE '%TX-40%'""",
     "sync_report": f"""WITH {DELIVERY}, {PRICES}
 SELECT 'inactive' AS kind, CAST(ie_xml_id AS VARCHAR) AS key, 'active' AS expected, 'switched off' AS actual FROM off
 UNION ALL SELECT 'delivery', CAST(ks AS VARCHAR), in_base, on_site FROM delivery

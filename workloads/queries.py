@@ -270,12 +270,10 @@ def pack_change_events(d):
 
 @query
 def route_notifications(d):
-    routes = notifications.route_notifications(d.notification)
-    parts = [df.withColumn("route", F.lit(route)) for route, df in routes.items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result.select("seq", "route", "target_id", "mod_id", "expected")
+    """Classified once, written by route and read again."""
+    folder = folders.shared_folder(d.spark, "routes")
+    notifications.write_routes(d.notification, folder)
+    return d.spark.read.parquet(folder).select("seq", "route", "target_id", "mod_id", "expected")
 
 
 # --- affected items -----------------------------------------------------------------------
@@ -470,6 +468,11 @@ def match_versions(d):
     return migrate.match_versions(d.mod_param, 1, 2)
 
 
+@query
+def match_groups(d):
+    return migrate.match_groups(d.mod_param, 1, 2)
+
+
 @query
 def winning_matches(d):
     return migrate.winning_matches(d.mod_param, 1, 2)
