@@ -131,6 +131,10 @@ def distinct_site_devices(site_device: DataFrame) -> DataFrame:
     return site_device.select("ie_name", "ie_active").distinct()
 
 
+# Price columns of a device that the report of unsynced devices shows last.
+DEVICE_PRICES = ("dm_discount_vendor", "dm_discount_diler", "basic_price_rur", "dm_valuta")
+
+
 def unsynced_devices(
     device: DataFrame,
     site_vendor: DataFrame,
@@ -140,7 +144,7 @@ def unsynced_devices(
     extra: Sequence[str] = (),
 ) -> DataFrame:
     """Current devices without a shop id or sync time that are active on, or absent from, the
-    shop. ``extra`` names more device columns to show."""
+    shop. ``extra`` names more device columns to show, such as :data:`DEVICE_PRICES`."""
     missing = current(device).where(F.col("ie_xml_id").isNull() | F.col("ie_xml_id_dt").isNull())
     rows = (
         missing.join(site_vendor, "vendor_id")

@@ -29,7 +29,8 @@ SCHEMAS: dict[str, str] = {
     "price_view": "ks INT, sell_price DECIMAL(18,2)",
     "device": "dev_id INT, version_num INT, dev_name STRING, dev_name_long STRING, arc_name STRING, vendor_id INT, "
     "supplier_code INT, timedelivery STRING, ie_xml_id INT, ie_xml_id_dt TIMESTAMP_NTZ, ip_prop674 INT, "
-    "ip_prop674_dt TIMESTAMP_NTZ, ip_prop675 INT, ip_prop675_dt TIMESTAMP_NTZ, mod_single BOOLEAN",
+    "ip_prop674_dt TIMESTAMP_NTZ, ip_prop675 INT, ip_prop675_dt TIMESTAMP_NTZ, mod_single BOOLEAN, "
+    "dm_discount_vendor DECIMAL(18,4), dm_discount_diler DECIMAL(18,4), basic_price_rur DECIMAL(18,2), dm_valuta INT",
     "modification": "mod_id STRING, dev_id INT, version_num INT, ks INT, mod_price DECIMAL(18,2), mod_delivery_time STRING, "
     "dm_valuta INT, dm_kurs DECIMAL(18,4), dm_koef DECIMAL(18,4), price_base DECIMAL(18,2), vendor_art_id STRING, mod_id_prev STRING",
     "mod_param": "dev_id INT, version_num INT, mod_id STRING, dev_param_id INT, param_value STRING",

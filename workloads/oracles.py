@@ -210,11 +210,19 @@ computed AS (SELECT id, ks, qnt FROM stock_change_update
              WHERE ks IS NOT NULL AND new_change_status = 0 AND old_dt_trans IS NULL AND new_dt_trans IS NOT NULL)"""
 
 
-def _wide(mode: int) -> str:
-    return f"""WITH {RECORDS}
-SELECT w.exp_id, w.rec, h.ie_xml_id, h.dev_name, w.ip_prop109, w.cv_price, w.ip_prop110, w.ic_code0, w.ic_group0, w.ie_sort
-FROM wide w LEFT JOIN (SELECT l.exp_id, d.ie_xml_id, d.dev_name FROM export_log l JOIN device d ON d.dev_id = l.dev_id AND d.version_num = l.exp_version_num) h
-  ON h.exp_id = w.exp_id WHERE w.mod_csv = {mode}"""
+UNSYNCED = """WITH shop AS (SELECT DISTINCT ie_name AS dev_name, ie_active FROM site_device)
+SELECT CASE WHEN s.ie_active IS NULL THEN 'Нет на сайте' WHEN d.ie_xml_id IS NULL THEN 'Не выгружен' ELSE 'Изменен, не выгружен' END AS export_state,
+       d.dev_name_long, d.dev_name, d.arc_name, v.vendor_name AS site_vendor, c.company_name AS base_vendor,
+       IF(d.mod_single, 'Да', 'Нет') AS single_mod, d.timedelivery, d.dm_discount_vendor, d.dm_discount_diler, d.basic_price_rur, d.dm_valuta
+FROM site_vendor v JOIN device d USING (vendor_id) LEFT JOIN company c ON c.company_code = d.supplier_code LEFT JOIN shop s USING (dev_name)
+WHERE d.version_num = 1 AND s.ie_active IS DISTINCT FROM FALSE AND (d.ie_xml_id IS NULL OR d.ie_xml_id_dt IS NULL)"""
+
+
+def _wide(mode: int, columns: str) -> str:
+    """The wide rows of one kind of export with the columns of its dictionary."""
+    return f"""WITH {RECORDS},
+about AS (SELECT l.exp_id, d.ie_xml_id, d.dev_name FROM device d JOIN export_log l ON (l.dev_id, l.exp_version_num) = (d.dev_id, d.version_num))
+SELECT exp_id, rec, ie_xml_id, dev_name, {columns} FROM wide LEFT JOIN about USING (exp_id) WHERE mod_csv = {mode}"""
 
 
 SQL: dict[str, str] = {
@@ -296,6 +304,7 @@ SELECT id, id AS ssc_id, ks, qnt AS qnt_ssc, pack_qty AS qnt_calc, elapsed,
        CAST(ks AS VARCHAR) || '^' || COALESCE(CAST(pack_qty AS VARCHAR), '') || '^' || CAST(id AS VARCHAR) || '^' || COALESCE(CAST(elapsed AS VARCHAR), '') AS payload
 FROM timed""",
     "route_notifications": f"WITH {ROUTED}",
+    "stream_change_feed": "SELECT op, COALESCE(new_invoice_no, old_invoice_no) AS seq, old_invoice_no, new_invoice_no FROM payment_change",
     "stream_route_notifications": f"WITH {ROUTED}",
     "affected_by_payments": """SELECT DISTINCT l.ks FROM invoice_line l JOIN payment_change c
   ON l.invoice_no = CASE WHEN c.op = 'D' THEN c.old_invoice_no ELSE c.new_invoice_no END OR (c.op = 'U' AND c.new_invoice_no <> c.old_invoice_no AND l.invoice_no = c.old_invoice_no)""",
@@ -312,10 +321,10 @@ WHERE COALESCE(j.stock_status_old, -1) <> j.stock_status_new AND j.mod_id IS NOT
     "field_counts": "SELECT exp_id, mod_csv, COUNT(DISTINCT bx_fld_name) AS field_count FROM export_field GROUP BY exp_id, mod_csv",
     "chunk_records": f"WITH {RECORDS} SELECT exp_id, mod_csv, csv_id, bx_fld_name, bx_fld_value, rec FROM numbered",
     "to_wide": f"WITH {RECORDS} SELECT exp_id, mod_csv, rec, ip_prop109, cv_price, ip_prop110, ic_code0, ic_group0, ie_sort FROM wide",
-    "export_wide_device": _wide(1),
-    "export_wide_modificators": _wide(2),
-    "export_wide_prices": _wide(4),
-    "caret_csv_roundtrip": _wide(4),
+    "export_wide_device": _wide(1, "ic_group0, TRY_CAST(ip_prop109 AS BIGINT) AS ip_prop109, TRY_CAST(cv_price AS DECIMAL(18,2)) AS cv_price"),
+    "export_wide_modificators": _wide(2, "ic_code0, ie_sort, ip_prop110"),
+    "export_wide_prices": _wide(4, "ip_prop109, cv_price, ip_prop110, ic_code0, ic_group0, ie_sort"),
+    "caret_csv_roundtrip": _wide(4, "ip_prop109, cv_price, ip_prop110, ic_code0, ic_group0, ie_sort"),
     "batch_prices": f"""WITH {RECORDS}
 SELECT l.exp_batch_id, w.exp_id, w.rec, w.ip_prop109, w.cv_price, w.ip_prop110, w.ie_sort
 FROM wide w JOIN export_log l ON l.exp_id = w.exp_id JOIN export_batch b ON b.id = l.exp_batch_id
@@ -412,11 +421,8 @@ FROM stored JOIN shown ON shown.ie_xml_id = stored.ie_xml_id AND ip_prop109 = TR
 WHERE terms[1] IS NOT NULL AND ip_prop110 IS NOT NULL AND NOT list_contains(terms, ip_prop110)""",
     "compare_price": f"WITH {OFF}, {PRICES} SELECT ks, mod_name, price_item, price_list, price_catalogue, price_site FROM prices",
     "distinct_site_devices": "SELECT ie_name, ie_active FROM site_device GROUP BY ie_name, ie_active",
-    "unsynced_devices": """SELECT CASE WHEN b.ie_active IS NULL THEN 'Нет на сайте' WHEN d.ie_xml_id IS NULL THEN 'Не выгружен' ELSE 'Изменен, не выгружен' END AS export_state, d.dev_name_long, d.dev_name, d.arc_name, v.vendor_name AS site_vendor, c.company_name AS base_vendor,
-       CASE WHEN d.mod_single THEN 'Да' ELSE 'Нет' END AS single_mod, d.timedelivery
-FROM device d JOIN site_vendor v ON v.vendor_id = d.vendor_id LEFT JOIN company c ON c.company_code = d.supplier_code
-LEFT JOIN (SELECT DISTINCT ie_name, ie_active FROM site_device) b ON b.ie_name = d.dev_name
-WHERE d.version_num = 1 AND b.ie_active IS NOT FALSE AND NOT (d.ie_xml_id IS NOT NULL AND d.ie_xml_id_dt IS NOT NULL)""",
+    "unsynced_devices": UNSYNCED,
+    "unsynced_devices_loaded": UNSYNCED.replace("d.dm_valuta", "CAST(d.dm_valuta AS INTEGER) AS dm_valuta"),
     "latest_invoice_firm": f"WITH {LAST_FIRM} SELECT customer_code, firm FROM last_firm",
     "issuing_firm": f"""WITH {LAST_FIRM},
 chosen AS (SELECT f.customer_code, CASE WHEN f.customer_code = 5 THEN 'FIRM_S' WHEN EXISTS (SELECT 1 FROM dealer d WHERE d.customer_code = f.customer_code) THEN 'FIRM_D'

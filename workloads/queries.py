@@ -11,7 +11,8 @@ from shelfline import configure
 from shelfline.functions import constants as C
 from shelfline.functions.text import format_payload
 from shelfline.operators import changes, delivery, export, lookups, migrate, outcomes, propagate, quality, reports, stock
-from shelfline.sources import caret_csv, folders, logs, notifications
+from shelfline.sources import caret_csv, change_feed, folders, logs, notifications
+from shelfline.sources.tables import SOURCE_NAMES, from_source, load_domain
 from shelfline.streaming import dedupe, notify, recompute, sinks, stateful
 from workloads.views import Domain, domain
 
@@ -352,7 +353,9 @@ def to_wide(d):
 
 
 def _export_wide(d, preset):
-    return export.export_wide(d.export_field, export.read_dictionary(d.export_dict), d.device, d.export_log, preset)
+    """Every kind of export has a dictionary of its own."""
+    dictionary = {"device": d.export_dict_device, "modificators": d.export_dict_modificators, "prices": d.export_dict}[preset]
+    return export.export_wide(d.export_field, export.read_dictionary(dictionary), d.device, d.export_log, preset)
 
 
 @query
@@ -520,7 +523,19 @@ def distinct_site_devices(d):
 
 @query
 def unsynced_devices(d):
-    return reports.unsynced_devices(d.device, d.site_vendor, d.company, d.site_device)
+    return reports.unsynced_devices(d.device, d.site_vendor, d.company, d.site_device, extra=reports.DEVICE_PRICES)
+
+
+@query
+def unsynced_devices_loaded(d):
+    """The same report over tables as an operational system names them, written and loaded."""
+    folder = folders.shared_folder(d.spark, "domain")
+    for name in ("device", "site_vendor", "company", "site_device"):
+        scan = getattr(d, name)
+        scan = scan.withColumnsRenamed({ours: theirs for ours, theirs in SOURCE_NAMES.get(name, {}).items() if ours in scan.columns})
+        from_source(scan, name).write.parquet(f"{folder}/{name}")
+    t = load_domain(d.spark, folder)
+    return reports.unsynced_devices(t["device"], t["site_vendor"], t["company"], t["site_device"], extra=reports.DEVICE_PRICES)
 
 
 @query
@@ -642,6 +657,18 @@ def _stream_to_folder(d: Domain, result: DataFrame, purpose: str) -> DataFrame:
     return d.spark.read.schema(result.schema).parquet(f"{folder}/out")
 
 
+@query
+def stream_change_feed(d):
+    """Row changes written as a feed and read as a stream."""
+    changes = _payment_changes(d.payment_change)
+    folder = folders.shared_folder(d.spark, "feed")
+    row = changes.schema["before"].dataType
+    changes.withColumn("seq", F.coalesce("after.invoice_no", "before.invoice_no")).select("op", "seq", "before", "after").write.parquet(folder)
+    feed = change_feed.read_changes(d.spark, folder, row, max_bytes=1 << 30)
+    shown = feed.select("op", "seq", F.col("before.invoice_no").alias("old_invoice_no"), F.col("after.invoice_no").alias("new_invoice_no"))
+    return _stream_to_folder(d, shown, "change-feed")
+
+
 @query
 def stream_dedupe(d):
     feed = d.view("stock_change", events=d.stream("events"))

@@ -28,7 +28,9 @@ SELECT p.p_partkey AS dev_id, v.version_num, p.p_name || ' ' || CAST(p.p_partkey
        CASE WHEN p.p_partkey % 12 = 0 THEN NULL ELSE TIMESTAMP '2024-01-02 00:00:00' END AS ip_prop674_dt,
        CASE WHEN p.p_partkey % 20 = 0 THEN NULL ELSE TIMESTAMP '2024-01-03 00:00:00' END AS ip_prop675_dt,
        CASE WHEN p.p_partkey % 20 = 0 THEN NULL ELSE 675000 + p.p_partkey END AS ip_prop675,
-       p.p_size % 2 = 0 AS mod_single
+       p.p_size % 2 = 0 AS mod_single, CAST(p.p_size % 20 AS DECIMAL(18,4)) AS dm_discount_vendor,
+       CASE WHEN p.p_size % 4 = 0 THEN NULL ELSE CAST(p.p_size % 15 AS DECIMAL(18,4)) END AS dm_discount_diler,
+       CAST(p.p_retailprice AS DECIMAL(18,2)) AS basic_price_rur, CAST(p.p_size % 3 AS INT) AS dm_valuta
 FROM {part} p {*versions}""",
     "modification": """
 SELECT LPAD(CAST(p.p_partkey AS VARCHAR(20)), 12, '0') AS mod_id, 4 * CAST(FLOOR(p.p_partkey / 4) AS BIGINT) AS dev_id, v.version_num,
@@ -127,6 +129,12 @@ FROM {orders} o {*fields}""",
 SELECT dict_name, dict_order, data_type
 FROM (VALUES ('cv_price', 2, 'numeric'), ('ip_prop109', 1, 'varchar'), ('ip_prop110', 3, 'varchar'), ('ic_code0', 4, 'varchar'), ('ic_group0', 5, 'varchar'),
              ('ie_sort', 6, 'integer')) v(dict_name, dict_order, data_type)""",
+    "export_dict_device": """
+SELECT dict_name, dict_order, data_type
+FROM (VALUES ('ic_group0', 1, 'varchar'), ('ip_prop109', 2, 'bigint'), ('cv_price', 3, 'numeric(18,2)')) v(dict_name, dict_order, data_type)""",
+    "export_dict_modificators": """
+SELECT dict_name, dict_order, data_type
+FROM (VALUES ('ie_sort', 2, 'integer'), ('ic_code0', 1, 'varchar'), ('ip_prop110', 3, 'varchar')) v(dict_name, dict_order, data_type)""",
     "import_param": """
 SELECT n AS ie_param_name, f AS brand_new, m AS imp_mode, n || '-' || CASE WHEN f THEN 'new' ELSE 'upd' END || '-' || CAST(m AS VARCHAR(5)) AS ie_param_value
 FROM (VALUES ('csv_file', TRUE, 1), ('csv_file', TRUE, 2), ('csv_file', TRUE, 4), ('csv_file', FALSE, 1), ('csv_file', FALSE, 2), ('csv_file', FALSE, 4),
