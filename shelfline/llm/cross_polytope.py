@@ -23,8 +23,11 @@ from shelfline.plans.lookup import lookup_join
 TABLES = 8
 #: Axes a query looks under in each table.
 PROBES = 10
-#: Vectors in a bucket, about: with more vectors, a bucket takes further rotations to tell apart.
+#: Vectors in a bucket, about: with more vectors, a bucket takes further rotations to tell apart. Each
+#: makes buckets finer by the number of axes and a hit less likely; combined probes and so many
+#: times the tables make up for it.
 BUCKET = 4096
+MORE_TABLES = 3
 SLICE = 4096
 QUERIES = 512
 _SEED = 61
@@ -59,7 +62,7 @@ def axis_scores(x: np.ndarray, table: int, part: int = 0) -> np.ndarray:
 
 def _buckets(x: np.ndarray, table: int, parts: int, probes: int) -> np.ndarray:
     """The best buckets of every row, the nearest first. With several rotations a bucket is one axis
-    of each; candidates are those that differ from the best in as few and as near axes as can be."""
+    of each, and all combinations of the best axes are looked under."""
     best, score = np.zeros((len(x), 1), np.int64), np.zeros((len(x), 1))
     for part in range(parts):
         s = axis_scores(x, table, part)
@@ -68,7 +71,7 @@ def _buckets(x: np.ndarray, table: int, parts: int, probes: int) -> np.ndarray:
         add = np.take_along_axis(s, top, 1)
         score = (score[:, :, None] + add[:, None, :]).reshape(len(x), -1)
         best = (best[:, :, None] * s.shape[1] + top[:, None, :]).reshape(len(x), -1)
-        order = np.argsort(-score, axis=1, kind="stable")[:, :probes]
+        order = np.argsort(-score, axis=1, kind="stable")
         score, best = np.take_along_axis(score, order, 1), np.take_along_axis(best, order, 1)
     return best
 
@@ -169,7 +172,7 @@ def nearest(
     parts, count = 1, held.count()
     while count > bucket * axes**parts:
         parts += 1
-    best = materialized(_ranked(_search(queries, held, k, tables, parts, probes), k), "found")
+    best = materialized(_ranked(_search(queries, held, k, tables * MORE_TABLES ** (parts - 1), parts, probes), k), "found")
     enough = best.groupBy("query").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select(F.col("query").alias("id"))
     short = materialized(lookup_join(queries, enough, "id", "left_anti"), "short")
     if not short.isEmpty():

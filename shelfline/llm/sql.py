@@ -28,3 +28,63 @@ cleaned AS (
 SELECT d.doc_id, d.source, c.text, CAST(coalesce(c.n, 0) AS INTEGER) AS n_dropped
 FROM documents d LEFT JOIN cleaned c USING (doc_id)
 """
+
+SQL["op3_warc_from_arc"] = """
+WITH records AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+firsts AS (
+    SELECT payload_digest, min(page_id) AS first FROM records WHERE strlen(payload) >= 100 GROUP BY payload_digest
+)
+SELECT r.page_id, CAST(strlen(r.payload) AS BIGINT) AS payload_bytes, r.payload_digest,
+       CASE WHEN f.first <> r.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> r.page_id THEN f.first END AS refers_to
+FROM records r LEFT JOIN firsts f USING (payload_digest)
+"""
+
+SQL["op4_vector_near_duplicates"] = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reached AS (
+    SELECT vec_id AS node, vec_id AS origin FROM embeddings
+    UNION
+    SELECT l.b, r.origin FROM reached r JOIN links l ON l.a = r.node
+),
+smallest AS (SELECT node, min(origin) AS component_id FROM reached GROUP BY node),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, s.component_id, s.component_id = e.vec_id AS kept
+FROM embeddings e JOIN smallest s ON s.node = e.vec_id LEFT JOIN degrees d ON d.a = e.vec_id
+"""
+
+SQL["op10_minhash_forest"] = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS shingles
+    FROM worded
+),
+single AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM single a JOIN single b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+    HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+),
+reached AS (
+    SELECT doc_id AS node, doc_id AS origin FROM documents
+    UNION
+    SELECT l.b, r.origin FROM reached r JOIN links l ON l.a = r.node
+),
+smallest AS (SELECT node, min(origin) AS component_id FROM reached GROUP BY node)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, m.component_id, m.component_id = s.doc_id AS kept
+FROM sets s JOIN smallest m ON m.node = s.doc_id
+"""

@@ -135,7 +135,7 @@ def test_cross_polytope(spark, bucket):
         hits += len({f[0] for f in found} & {w[0] for w in want})
         for i, score in found:
             assert score == pytest.approx(np.sqrt(np.square(x[q] - x[i]).sum()), abs=1e-14)
-    assert hits >= (0.9 if bucket == 4096 else 0.6) * 10 * len(by)
+    assert hits >= 0.9 * 10 * len(by)
 
 
 def test_cross_polytope_few_rows_and_ties(spark):

@@ -20,7 +20,8 @@ def test_names():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, small, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    for table in ("documents", "pages", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
     got = QUERIES[name](spark, small).toArrow()
     want = con.sql(SQL[name]).to_arrow_table()
     assert sorted(got.column_names) == sorted(want.column_names)
