@@ -33,7 +33,8 @@ from shelfline.plans.lookup import lookup_join
 
 WORDS = 5
 TREES, DEPTH = 24, 8
-#: Prefixes of this many values make a region; then deeper ones where regions are large.
+#: Prefixes of this many values make a region; then deeper ones where regions are large. Above 2^24
+#: documents the first is longer, so that chance does not fill regions.
 DEPTHS = (4, 6, 8)
 #: Documents of a region, or of one block of it, compared within one task.
 REGION = 512
@@ -138,13 +139,20 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(build, "key bigint, shingles array<bigint>")
 
 
-def _neighbours(trees: DataFrame) -> DataFrame:
+def _depths(documents: int) -> tuple[int, ...]:
+    """The prefixes for so many documents: values have 8 bits, and one more than it takes to number
+    the documents keeps strangers apart."""
+    first = min(DEPTH, max(DEPTHS[0], -(-max(documents - 1, 1).bit_length() // 8) + 1))
+    return (first, *[d for d in DEPTHS if d > first])
+
+
+def _neighbours(trees: DataFrame, depth: int) -> DataFrame:
     """``a, b``: neighbours in the sorted order of each tree that share the shortest prefix.
 
     The order is cut into even ranges, however many signatures are alike; the last row of a range and
     the first of the next are put side by side afterwards.
     """
-    mask = np.uint64(0xFFFFFFFFFFFFFFFF) << np.uint64(8 * (DEPTH - DEPTHS[0]))
+    mask = np.uint64(0xFFFFFFFFFFFFFFFF) << np.uint64(8 * (DEPTH - depth))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, first = None, None
@@ -175,7 +183,7 @@ def _neighbours(trees: DataFrame) -> DataFrame:
     line = Window.orderBy("tree", _unsigned("bits"), "a", "b")
     before = [F.lag(c).over(line).alias(f"_{c}") for c in ("a", "tree", "bits")]
     edges = found.where("edge").select("a", "tree", "bits", *before)
-    same = (F.col("tree") == F.col("_tree")) & (_prefix("bits", DEPTHS[0]) == _prefix("_bits", DEPTHS[0])) & (F.col("a") != F.col("_a"))
+    same = (F.col("tree") == F.col("_tree")) & (_prefix("bits", depth) == _prefix("_bits", depth)) & (F.col("a") != F.col("_a"))
     return found.where(~F.col("edge")).select("a", "b").unionByName(edges.where(same).select("a", F.col("_a").alias("b")))
 
 
@@ -234,12 +242,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return measured.where(100 * F.col("_i") >= percent * (F.col("_n") - F.col("_i"))).select("a", "b")
 
 
-def _cells(trees: DataFrame, region: int) -> DataFrame:
+def _cells(trees: DataFrame, depths: tuple[int, ...], region: int) -> DataFrame:
     """``cell, side, key, component, sig``: the documents to be compared with each other, no more
     than ``region`` (two blocks of it) a cell. A region is looked at only while it holds several
     components; ``side`` tells two different blocks apart and is -1 where all are compared."""
     made, rows = [], trees
-    for depth in DEPTHS:
+    for depth in depths:
         rows = rows.withColumn("prefix", F.struct("tree", _prefix("bits", depth).alias("p")))
         held = rows.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         held = held.where("lo <> hi").select("prefix", "n")
@@ -371,7 +379,8 @@ def near_duplicates(
 
     trees = classes.select(F.col("rep").alias("key"), F.posexplode("sig").alias("tree", "bits"))
     # Everything that has a partner at all has one next to it.
-    pairs = materialized(_ordered(_neighbours(trees)), "pairs")
+    depths = _depths(classes.count())
+    pairs = materialized(_ordered(_neighbours(trees, depths[0])), "pairs")
     some = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     some = materialized(some, "candidates")
     near = materialized(_near(pairs, classes, threshold), "near")
@@ -382,7 +391,7 @@ def near_duplicates(
     grown = lookup_join(classes.select(F.col("rep").alias("key"), "sig"), some, "key", "left_semi")
     grown = lookup_join(grown, joined.toDF("key", "component"), "key")
     grown = grown.select("key", F.coalesce("component", "key").alias("component"), F.posexplode("sig").alias("tree", "bits"))
-    families = materialized(components(_across(_cells(materialized(grown, "forest"), region), classes, threshold)), "members")
+    families = materialized(components(_across(_cells(materialized(grown, "forest"), depths, region), classes, threshold)), "members")
     more = materialized(_within_families(families, sets, percent), "more")
     joined = materialized(components(links.unionByName(more)), "components")
 

@@ -47,6 +47,12 @@ def test_forest_null_keys_repeats_and_nothing(spark):
     assert minhash_forest.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_prefixes_grow_with_the_table():
+    assert minhash_forest._depths(0) == minhash_forest._depths(1) == minhash_forest._depths(1 << 24) == (4, 6, 8)
+    assert minhash_forest._depths((1 << 24) + 1) == (5, 6, 8) and minhash_forest._depths(10**10) == (6, 8)
+    assert minhash_forest._depths(10**15) == (8,)
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 900, (700, 2))]
