@@ -39,15 +39,13 @@ def inactive_synced(site_device: DataFrame, device: DataFrame) -> DataFrame:
     )
 
 
-def _catalogue(modification: DataFrame, device: DataFrame) -> DataFrame:
-    """Current modifications linked to an item, on devices with a shop id."""
+def catalogue(modification: DataFrame, device: DataFrame, site_device: DataFrame) -> DataFrame:
+    """Current modifications linked to an item, on devices with a shop id that are not switched off:
+    what :func:`compare_delivery` and :func:`compare_price` compare. A job that needs several reports
+    makes it once and passes it to them."""
     on_shop = current(device).where(F.col("ie_xml_id").isNotNull()).select("dev_id", "dev_name", "timedelivery", "ie_xml_id")
-    return (
-        current(modification)
-        .where(F.col("ks").isNotNull())
-        .join(on_shop, "dev_id")
-        .withColumn("mod_name", full_mod_name())
-    )
+    listed = current(modification).where(F.col("ks").isNotNull()).join(on_shop, "dev_id")
+    return exclude_inactive(listed, site_device, device).withColumn("mod_name", full_mod_name())
 
 
 def _term(undated: bool, labels: C.Labels) -> Column:
@@ -68,14 +66,17 @@ def compare_delivery(
     content: DataFrame | None = None,
     by: str = "name",
     labels: C.Labels = C.Labels(),
+    listed: DataFrame | None = None,
 ) -> DataFrame:
     """Items whose term on the shop is neither the dated nor the undated one expected.
 
     ``by='name'`` takes the status computed from ``totals`` and finds the shop row by the
     modification's full name. ``by='key'`` takes the status stored in ``content`` and finds it by
-    modification number, section and shop id.
+    modification number, section and shop id. ``listed`` is the :func:`catalogue` where it is there
+    already.
     """
-    mods = _catalogue(modification, device).select(
+    listed = catalogue(modification, device, site_device) if listed is None else listed
+    mods = listed.select(
         "ks", "mod_id", "dev_id", "mod_name", "mod_delivery_time", "timedelivery", "ie_xml_id"
     )
     if by == "name":
@@ -101,7 +102,7 @@ def compare_delivery(
     site_term = F.col("ip_prop110")
     dated, undated = _term(False, labels), _term(True, labels)
     differing = rows.where(~((site_term == dated) | (site_term == undated)))
-    return exclude_inactive(differing, site_device, device).select(*shown, dated.alias("in_base"), site_term.alias("on_site"))
+    return differing.select(*shown, dated.alias("in_base"), site_term.alias("on_site"))
 
 
 def compare_price(
@@ -111,18 +112,20 @@ def compare_price(
     device: DataFrame,
     site_price: DataFrame,
     site_device: DataFrame,
+    listed: DataFrame | None = None,
 ) -> DataFrame:
-    """Items whose prices in the item list, price list, catalogue and shop are not all equal."""
+    """Items whose prices in the item list, price list, catalogue and shop are not all equal.
+    ``listed`` is the :func:`catalogue` where it is there already."""
+    listed = catalogue(modification, device, site_device) if listed is None else listed
     rows = (
-        _catalogue(modification, device)
-        .select("ks", "dev_id", "mod_name", F.col("mod_price").alias("price_catalogue"))
+        listed.select("ks", "dev_id", "mod_name", F.col("mod_price").alias("price_catalogue"))
         .join(content.select("ks", F.col("price").alias("price_item")), "ks")
         .join(price_view.select("ks", F.col("sell_price").alias("price_list")), "ks")
         .join(site_price.select(F.col("ie_name").alias("mod_name"), F.col("cv_price").alias("price_site")), "mod_name", "left")
     )
     item = F.col("price_item")
     equal = (item == F.col("price_list")) & (item == F.col("price_catalogue")) & (item == F.col("price_site"))
-    return exclude_inactive(rows.where(~equal), site_device, device).select(
+    return rows.where(~equal).select(
         "ks", "mod_name", "price_item", "price_list", "price_catalogue", "price_site"
     )
 

@@ -30,6 +30,19 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "l_extendedprice" not in plan
 
 
+def scans(plan: str) -> int:
+    return plan.count("FileScan parquet")
+
+
+def test_one_pass_where_one_is_enough(spark):
+    plans = {n: initial_plan(QUERIES[n](spark, SMALL)) for n in ("to_wide", "check_constraints", "route_notifications", "sync_report")}
+    assert "SortAggregate" not in plans["to_wide"]
+    # Three tables with one pass for rules on rows, one for uniqueness, one for each foreign key.
+    assert scans(plans["check_constraints"]) <= 9
+    assert scans(plans["route_notifications"]) == 1
+    assert scans(plans["sync_report"]) <= 16
+
+
 def test_ranking_and_totals_combine_before_the_shuffle(spark):
     status = initial_plan(QUERIES["stock_status"](spark, SMALL))
     assert "partial_sum" in status and status.count("Exchange hashpartitioning(ks") <= 2

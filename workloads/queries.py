@@ -561,7 +561,12 @@ def log_with_changes(d):
 
 @query
 def sync_report(d):
-    return reports.sync_report(inactive_synced(d), compare_delivery_by_name(d), compare_price(d), d.stock_change)
+    """The catalogue is made once and feeds both comparisons."""
+    listed = folders.materialized(reports.catalogue(d.modification, d.device, d.site_device), "catalogue")
+    prices = folders.materialized(d.site_price, "site-price")
+    delivery_part = reports.compare_delivery(d.modification, d.device, prices, d.site_device, _totals(d), by="name", labels=LABELS, listed=listed)
+    price_part = reports.compare_price(d.content, d.price_view, d.modification, d.device, prices, d.site_device, listed=listed)
+    return reports.sync_report(inactive_synced(d), delivery_part, price_part, d.stock_change)
 
 
 # --- constraints ---------------------------------------------------------------------------
