@@ -80,6 +80,24 @@ def arc_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         yield begin, dict(zip(fields, line, strict=True)), content
 
 
+def gzipped(record: bytes, level: int) -> bytes:
+    """A record as a gzip member of its own, as archives of both kinds hold them."""
+    packer = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return packer.compress(record) + packer.flush()
+
+
+def unzipped(data: bytes) -> bytes:
+    """The records of an archive, whether it is compressed or not."""
+    parts = []
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        parts.append(member.decompress(data) + member.flush())
+        if not member.eof:
+            raise ValueError("the last record is cut off")
+        data = member.unused_data
+    return b"".join([*parts, data])
+
+
 def iso_date(date: str) -> str:
     """A 14-digit ARC date (8 or 12 digits in old files) as WARC writes it."""
     return datetime.strptime(date.ljust(14, "0"), "%Y%m%d%H%M%S").replace(tzinfo=UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
@@ -108,8 +126,7 @@ def warc_record(kind: str, headers: list[tuple[str, str]], block: bytes) -> byte
     """One WARC record, a gzip member of its own."""
     lines = [("WARC-Type", kind), *headers, ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"), ("Content-Length", str(len(block)))]
     head = "WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines) + "\r\n"
-    packer = zlib.compressobj(4, zlib.DEFLATED, 31)
-    return packer.compress(head.encode() + block + b"\r\n\r\n") + packer.flush()
+    return gzipped(head.encode() + block + b"\r\n\r\n", 4)
 
 
 def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -132,15 +149,15 @@ def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def write_arc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html", size: int = ARCHIVE_BYTES) -> DataFrame:
-    """Pages as ARC files of both versions by turns: ``name, records``. Null pages have an empty
+    """Pages as compressed ARC files of both versions by turns: ``name, records``. Null pages have an empty
     payload, a null address becomes ``about:blank``; the key travels in an HTTP header."""
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.col(html).cast("binary").alias("html"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, data, records = TaskContext.get().partitionId(), 0, None, 0
+        part, number, data, records, length = TaskContext.get().partitionId(), 0, None, 0, 0
 
         def named() -> tuple[int, str]:
-            return 1 + number % 2, f"{part:08d}-{number:06d}.arc"
+            return 1 + number % 2, f"{part:08d}-{number:06d}.arc.gz"
 
         def flush() -> pa.RecordBatch:
             put(f"{folder}/{named()[1]}", bytes(data))
@@ -149,16 +166,17 @@ def write_arc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "u
         for batch in batches:
             for page, address, payload in zip(*(batch.column(c).to_pylist() for c in ("key", "url", "html")), strict=True):
                 version, name = named()
-                data = bytearray(arc_version_block(version, name)) if data is None else data
+                data = bytearray(gzipped(arc_version_block(version, name), 1)) if data is None else data
                 payload = payload or b""
                 who = "" if page is None else f"{PAGE_HEADER}: {page}\r\n"
                 head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n{who}Content-Length: {len(payload)}\r\n\r\n".encode()
                 address = quote(address or "about:blank", safe=":/?#[]@!$&'()*+,;=%~")
-                data += arc_record(version, name, len(data), address, head + payload)
-                records += 1
-                if len(data) >= size:
+                record = arc_record(version, name, len(data), address, head + payload)
+                data += gzipped(record, 1)
+                records, length = records + 1, length + len(record)
+                if length >= size:
                     yield flush()
-                    number, data, records = number + 1, None, 0
+                    number, data, records, length = number + 1, None, 0, 0
         if records:
             yield flush()
 
@@ -177,7 +195,7 @@ def parsed_arc(spark, folder: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column("name"), batch.column("content"), strict=True):
                 rows = []
-                for offset, f, block in arc_records(content.as_py()):
+                for offset, f, block in arc_records(unzipped(content.as_py())):
                     head, payload = _split_http(block)
                     page = _header_value(head, PAGE_HEADER)
                     digest = hashlib.sha256(payload).hexdigest()

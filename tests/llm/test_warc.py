@@ -64,5 +64,13 @@ def test_damaged_archives():
         list(warc.warc_records(record[:-3]))
 
 
+def test_compressed_or_not():
+    data = [warc.arc_version_block(1, "a.arc"), warc.arc_record(1, "a.arc", 0, "http://e", b"12345")]
+    packed = b"".join(warc.gzipped(d, 1) for d in data)
+    assert warc.unzipped(packed) == warc.unzipped(b"".join(data)) == b"".join(data)
+    with pytest.raises(ValueError, match="cut off"):
+        warc.unzipped(packed[:-3])
+
+
 def test_identifiers_repeat():
     assert warc.record_id("a.arc", 7) == warc.record_id("a.arc", 7) != warc.record_id("a.arc", 8)
