@@ -20,9 +20,9 @@ import pyarrow.compute as pc
 from shelfline.llm.common import worker_cache
 
 #: Pieces remembered by a worker; then it starts anew. Bounds memory, changes no result.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 #: Bytes of text in a batch.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 3 << 20
 
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{180e}\pZ]"
 #: Texts in which a single space or line break need not be a boundary. U+180E was white space once.
@@ -140,8 +140,9 @@ class Encoder:
             return np.array([i for ids in each for i in ids], np.uint32), np.cumsum([len(ids) for ids in each], dtype=np.int64)
         begin, lens, first = self._looked_up(texts)
         upto = np.concatenate([[0], np.cumsum(lens)])
-        places = np.repeat(begin - upto[:-1], lens)
-        places += np.arange(len(places))
+        # Both count ids of one batch or of the remembered pieces: four bytes are enough.
+        places = np.repeat((begin - upto[:-1]).astype(np.int32), lens)
+        places += np.arange(len(places), dtype=np.int32)
         return np.frombuffer(self.codes.ids, np.uint32)[places], upto[first[1:]]
 
     def count(self, texts: pa.Array) -> np.ndarray:
