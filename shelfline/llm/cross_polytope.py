@@ -25,9 +25,9 @@ TABLES = 8
 PROBES = 10
 #: Vectors in a bucket, about: with more vectors, a bucket takes further rotations to tell apart. Each
 #: makes buckets finer by the number of axes and a hit less likely; combined probes and so many
-#: times the tables make up for it.
+#: times the tables make up for it (three times lose recall: 0.87 instead of 0.93 on sf0.1).
 BUCKET = 4096
-MORE_TABLES = 3
+MORE_TABLES = 5
 SLICE = 4096
 QUERIES = 512
 _SEED = 61

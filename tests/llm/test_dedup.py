@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from shelfline.llm import cross_polytope, graph, line_dedup, minhash_forest, vector_dedup
+from shelfline.llm.vectors import units
 from tests.llm.helpers import ODD_TEXTS, changed, components, prose, shingle_set
 
 
@@ -144,6 +145,21 @@ def test_cross_polytope(spark, bucket):
     assert hits >= 0.9 * 10 * len(by)
 
 
+def test_cross_polytope_recall_with_two_rotations():
+    import pyarrow.parquet as pq
+
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet").to_pydict()
+    ids, x = np.array(rows["vec_id"]), np.array(rows["embedding"], np.float64)
+    u, queries = units(x), np.flatnonzero(ids % 40 == 0)
+    found = np.zeros((len(queries), len(x)), bool)
+    for table in range(cross_polytope.TABLES * cross_polytope.MORE_TABLES):
+        home = cross_polytope._buckets(u, table, 2, 1)[:, 0]
+        asked = cross_polytope._buckets(u[queries], table, 2, cross_polytope.PROBES)
+        found |= np.array([np.isin(home, a) for a in asked])
+    hits = [found[r, np.flatnonzero(ids == i)[0]] for r, q in enumerate(queries) for i, _ in exact_neighbours(ids, x, q, 10)]
+    assert np.mean(hits) >= 0.9
+
+
 def test_cross_polytope_few_rows_and_ties(spark):
     from pyspark.sql import functions as F
 
