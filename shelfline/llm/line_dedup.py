@@ -28,7 +28,7 @@ def _lines(text: Column) -> Column:
 def boilerplate(pages: DataFrame, site: str, text: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``site, lines``: hashes of each site's boilerplate lines. A line counts once a page, without
     the spaces around it; blank lines and rows without site or text do not take part."""
-    rows = pages.select(F.col(site).alias("site"), F.col(text).alias("text")).where("site is not null")
+    rows = pages.select(F.col(site).alias("site"), F.col(text).alias("text")).where("site is not null and text is not null")
     totals = rows.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
     full = F.filter(_lines(F.col("text")), lambda line: F.trim(line) != "")
     seen = rows.select("site", F.explode(F.array_distinct(F.transform(full, _hash))).alias("line"))

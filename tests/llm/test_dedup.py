@@ -84,6 +84,14 @@ def test_site_lines(spark):
     assert line_dedup.drop_site_lines(docs.limit(0)).count() == 0
 
 
+def test_site_lines_null_texts_are_no_pages(spark):
+    # On 5 of 40 pages, an eighth; with the 40 rows without text it would be a sixteenth.
+    rows = [(i, "a", f"menu\nown {i}" if i < 5 else f"own {i}") for i in range(40)] + [(100 + i, "a", None) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    got = {r.doc_id: (r.text, r["_dropped"]) for r in line_dedup.drop_site_lines(docs, ratio=0.1, least_pages=5).collect()}
+    assert got == {i: (None, 0) if text is None else (f"own {i}", int(i < 5)) for i, _, text in rows}
+
+
 def unit_rows(n, width, seed, copies=0):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, width))
