@@ -12,11 +12,13 @@ that share a longer prefix stand closer together. Candidates are found in two ro
    and only a spanning forest of the links leaves a task: no list of pairs grows with a family.
 
 The number of trees and the depth make a link between two documents at the threshold a candidate
-with a probability of ``1 - (1 - J^depth)^trees``. Documents with equal shingle sets are one node.
+with a probability of ``1 - (1 - J^depth)^trees``. Below 0.85, documents of large regions get further
+trees, so that cutting those misses no more links. Documents with equal shingle sets are one node.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,8 @@ TREES, DEPTH = 24, 8
 #: Prefixes of this many values make a region; then deeper ones where regions are large. Above 2^24
 #: documents the first is longer, so that chance does not fill regions.
 DEPTHS = (4, 6, 8)
+#: A link at this many percent is missed under whole signatures of all trees as rarely as is allowed.
+SURE = 85
 #: Documents of a region, or of one block of it, compared within one task.
 REGION = 512
 #: Documents and shingles of a block of a family, about.
@@ -96,11 +100,11 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.nd
     return (np.concatenate(found) if found else np.zeros(0, np.uint64)), np.cumsum(sizes)
 
 
-def signatures(shingles: np.ndarray, ends: np.ndarray, count: int = TREES * DEPTH) -> np.ndarray:
+def signatures(shingles: np.ndarray, ends: np.ndarray, count: int = TREES * DEPTH, seed: int = 20) -> np.ndarray:
     """``count`` MinHash values of 8 bits for every non-empty set."""
     begins = np.concatenate([[0], ends[:-1]])
     starts = begins[ends > begins]
-    rng = np.random.default_rng(20)
+    rng = np.random.default_rng(seed)
     flips, factors = rng.integers(0, 1 << 32, count, np.uint32), rng.integers(0, 1 << 32, count, np.uint32) | np.uint32(1)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     buffer, out = np.empty_like(x), np.empty((len(starts), count), np.uint8)
@@ -146,6 +150,34 @@ def _depths(documents: int) -> tuple[int, ...]:
     return (first, *[d for d in DEPTHS if d > first])
 
 
+def _further(percent: int) -> int:
+    """How many trees more than ``TREES`` it takes until a link at ``percent`` is missed under whole
+    signatures no more often than one at ``SURE`` in ``TREES``."""
+    if percent >= SURE:
+        return 0
+    return math.ceil(TREES * math.log1p(-((SURE / 100) ** DEPTH)) / math.log1p(-((percent / 100) ** DEPTH))) - TREES
+
+
+def _further_trees(members: DataFrame, sets: DataFrame, count: int) -> DataFrame:
+    """``key, component, tree, bits``: ``count`` more trees of the documents ``key, component``."""
+    rows = lookup_join(members, sets.where(F.size("shingles") > 0).select("key", "shingles"), "key", "inner")
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column("shingles")
+            shingles = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            sigs = signatures(shingles, ends, count * DEPTH, seed=21).view(">i8").astype(np.int64)
+            columns = [batch.column("key"), batch.column("component"), pa.array(list(sigs), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "component", "sig"])
+
+    marked = rows.select("key", "component", "shingles").mapInArrow(mark, "key bigint, component bigint, sig array<bigint>")
+    marked = marked.select("key", "component", F.posexplode("sig").alias("tree", "bits"))
+    return marked.select("key", "component", (F.col("tree") + TREES).alias("tree"), "bits")
+
+
 def _neighbours(trees: DataFrame, depth: int) -> DataFrame:
     """``a, b``: neighbours in the sorted order of each tree that share the shortest prefix.
 
@@ -242,10 +274,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return measured.where(100 * F.col("_i") >= percent * (F.col("_n") - F.col("_i"))).select("a", "b")
 
 
-def _cells(trees: DataFrame, depths: tuple[int, ...], region: int) -> DataFrame:
+def _cells(trees: DataFrame, depths: tuple[int, ...], region: int, sets: DataFrame, further: int) -> DataFrame:
     """``cell, side, key, component, sig``: the documents to be compared with each other, no more
     than ``region`` (two blocks of it) a cell. A region is looked at only while it holds several
-    components; ``side`` tells two different blocks apart and is -1 where all are compared."""
+    components; ``side`` tells two different blocks apart and is -1 where all are compared. What is
+    in large regions goes into ``further`` trees before it is cut."""
     made, rows = [], trees
     for depth in depths:
         rows = rows.withColumn("prefix", F.struct("tree", _prefix("bits", depth).alias("p")))
@@ -256,6 +289,9 @@ def _cells(trees: DataFrame, depths: tuple[int, ...], region: int) -> DataFrame:
         made.append(rows.where(F.col("n") <= region).select(cell.alias("cell"), F.lit(-1).alias("side"), "key", "component", "tree"))
         large = rows.where(F.col("n") > region)
         rows = large.drop("n", "prefix")
+        if further and depth == depths[0]:
+            members = rows.select("key", "component").distinct()
+            rows = rows.unionByName(materialized(_further_trees(members, sets, further), "further"))
     blocks = F.ceil(F.col("n") / region).cast("int")
     cut = large.withColumn("own", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     cell = F.struct(F.lit(DEPTH + 1).alias("depth"), "prefix", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
@@ -391,7 +427,8 @@ def near_duplicates(
     grown = lookup_join(classes.select(F.col("rep").alias("key"), "sig"), some, "key", "left_semi")
     grown = lookup_join(grown, joined.toDF("key", "component"), "key")
     grown = grown.select("key", F.coalesce("component", "key").alias("component"), F.posexplode("sig").alias("tree", "bits"))
-    families = materialized(components(_across(_cells(materialized(grown, "forest"), depths, region), classes, threshold)), "members")
+    cells = _cells(materialized(grown, "forest"), depths, region, sets, _further(percent))
+    families = materialized(components(_across(cells, classes, threshold)), "members")
     more = materialized(_within_families(families, sets, percent), "more")
     joined = materialized(components(links.unionByName(more)), "components")
 

@@ -40,6 +40,39 @@ def test_forest_large_group(spark, region):
     check_forest(spark, texts, region)
 
 
+def test_forest_small_regions_at_80(spark):
+    base = prose(7, 139)
+    first = [changed(base, s, 3) for s in range(60)]
+    check_forest(spark, first + [changed(t, 1000 + s, 3) for s, t in enumerate(first)], region=8, percent=80)
+
+
+def test_whole_signatures_hold_links_at_80(spark):
+    # Pairs of sets that share 80 of 100: regions of one document compare whole signatures only.
+    n, rng = 300, np.random.default_rng(3)
+    sets = []
+    for _ in range(n):
+        x = rng.integers(-(1 << 63), (1 << 63) - 1, 100)
+        sets += [np.sort(x[:90].view(np.uint64)), np.sort(np.concatenate([x[:80], x[90:]]).view(np.uint64))]
+    sigs = minhash_forest.signatures(np.concatenate(sets), np.cumsum([90] * len(sets))).view(">i8").astype(np.int64)
+    trees = [(k, k, t, int(b)) for k, sig in enumerate(sigs) for t, b in enumerate(sig)]
+    trees = spark.createDataFrame(trees, "key bigint, component bigint, tree int, bits bigint")
+    full = spark.createDataFrame([(k, s.view(np.int64).tolist()) for k, s in enumerate(sets)], "key bigint, shingles array<bigint>")
+    missed = {}
+    for further in (0, minhash_forest._further(80)):
+        cells = minhash_forest._cells(trees, minhash_forest.DEPTHS, 1, full, further)
+        both = cells.groupBy("cell").agg({"key": "collect_set"}).toDF("cell", "keys").collect()
+        met = {k // 2 for r in both for k in r["keys"] if k ^ 1 in r["keys"]}
+        missed[further] = n - len(met)
+    assert missed[0] > 0 and missed[minhash_forest._further(80)] == 0, missed
+
+
+def test_further_trees_miss_no_more():
+    missed = lambda percent, trees: (1 - (percent / 100) ** minhash_forest.DEPTH) ** trees
+    assert all(minhash_forest._further(p) == 0 for p in range(85, 101)) and minhash_forest._further(80) == 18
+    for p in range(73, 101):
+        assert missed(p, minhash_forest.TREES + minhash_forest._further(p)) <= missed(85, minhash_forest.TREES)
+
+
 def test_forest_null_keys_repeats_and_nothing(spark):
     rows = [(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (2, "a b c d e f"), (7, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
