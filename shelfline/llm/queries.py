@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import configure
-from shelfline.llm import cross_polytope, line_dedup, minhash_forest, mixing, packing, quality, token_counts, vector_dedup, warc, wavelet
-from shelfline.llm.common import table
+from shelfline.llm import (
+    conversation_trie, cross_polytope, line_dedup, minhash_forest, mixing, packing, quality, sharding, token_counts, vector_dedup, warc, wavelet, whitening,
+)
+from shelfline.llm.common import shared_folder, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -107,3 +109,20 @@ def op4_vector_near_duplicates(spark, sf_dir):
 @query
 def op8_cross_polytope(spark, sf_dir):
     return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query
+def op11_lanczos_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=8)
+
+
+@query
+def op12_rendezvous_shards(spark, sf_dir):
+    shards = sharding.write_shards(table(spark, sf_dir, "documents"), shared_folder(spark, "shards"), weights=[1.0] * 24, added=1.0)
+    rows = sharding.manifest(shards)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", F.col("grown").alias("grown_shard"))
+
+
+@query
+def op13_conversation_trie(spark, sf_dir):
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))

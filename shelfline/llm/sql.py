@@ -88,3 +88,93 @@ smallest AS (SELECT node, min(origin) AS component_id FROM reached GROUP BY node
 SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, m.component_id, m.component_id = s.doc_id AS kept
 FROM sets s JOIN smallest m ON m.node = s.doc_id
 """
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's bytes, four bits at a time."""
+    steps = list(range(16))
+    for _ in range(4):
+        steps = [c >> 1 ^ 0xEDB88320 if c & 1 else c >> 1 for c in steps]
+    each = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda h: ('0x' || h)::BIGINT)"
+    half = lambda x: f"xor(({x}) >> 4, {steps}[(({x}) & 15) + 1])"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {each}), lambda a, b: {half(half('xor(a, b)'))}), 4294967295)"
+
+
+SQL["op13_conversation_trie"] = f"""
+WITH original AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (
+               PARTITION BY conv_id
+               ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+           ) AS pos
+    FROM conversations
+    WHERE conv_id IS NOT NULL
+),
+shared AS (
+    SELECT c, c - c % 100 AS base, ({_crc32("CAST(c AS VARCHAR)")}) % 6 AS h FROM (SELECT DISTINCT c FROM original)
+),
+heads AS (
+    SELECT s.c, o.pos, o.role, o.text FROM shared s JOIN original o ON o.c = s.base AND o.pos <= s.h
+),
+given AS (SELECT c, count(*) AS k FROM heads GROUP BY c),
+turns AS (
+    SELECT * FROM heads
+    UNION ALL
+    SELECT s.c, o.pos - s.h + coalesce(g.k, 0), o.role, o.text
+    FROM shared s JOIN original o ON o.c = s.c AND o.pos > s.h LEFT JOIN given g ON g.c = s.c
+),
+paths AS (
+    SELECT c, pos AS depth, length(text) AS chars,
+           md5(string_agg(md5(strlen(role) || ':' || role || text), ',') OVER (PARTITION BY c ORDER BY pos)) AS node
+    FROM turns
+    UNION ALL
+    SELECT c, 0, 0, 'root' FROM shared
+),
+nodes AS (SELECT node, depth, min(c) AS conv, count(*) AS n_convs, any_value(chars) AS chars FROM paths GROUP BY node, depth),
+parents AS (
+    SELECT n.node, p.conv AS parent_conv
+    FROM nodes n JOIN paths up ON up.c = n.conv AND up.depth = n.depth - 1 JOIN nodes p ON p.node = up.node AND p.depth = up.depth
+),
+kids AS (
+    SELECT up.node, count(*) AS n_children
+    FROM nodes n JOIN paths up ON up.c = n.conv AND up.depth = n.depth - 1
+    GROUP BY up.node
+),
+subtrees AS (
+    SELECT up.node, count(*) FILTER (k.node IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved
+    FROM nodes n JOIN paths up ON up.c = n.conv AND up.depth <= n.depth LEFT JOIN kids k ON k.node = n.node
+    GROUP BY up.node
+),
+ends AS (
+    SELECT node, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends_sha256
+    FROM (SELECT c, arg_max(node, depth) AS node FROM paths GROUP BY c)
+    GROUP BY node
+)
+SELECT n.conv AS conv_id, CAST(n.depth AS BIGINT) AS depth, p.parent_conv AS parent_conv_id, n.n_convs,
+       coalesce(k.n_children, 0) AS n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+       coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n
+LEFT JOIN parents p ON p.node = n.node
+LEFT JOIN kids k ON k.node = n.node
+LEFT JOIN subtrees s ON s.node = n.node
+LEFT JOIN ends e ON e.node = n.node
+"""
+
+SQL["op12_rendezvous_shards"] = f"""
+WITH sized AS (
+    SELECT d.doc_id, CAST(coalesce(strlen(d.text), 0) + 8 AS BIGINT) AS size, {_crc32("coalesce(d.text, '')")} AS text_crc32,
+           coalesce(CAST(d.doc_id AS VARCHAR), 'content:' || md5(coalesce(d.text, ''))) AS named
+    FROM documents d
+),
+scored AS (
+    SELECT named, s.shard, -ln((CAST('0x' || substr(md5(named || ':' || s.shard), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) AS score
+    FROM (SELECT DISTINCT named FROM sized), range(25) s(shard)
+),
+placed AS (
+    SELECT named, arg_min(shard, score) FILTER (shard < 24) AS shard, arg_min(shard, score) AS grown_shard FROM scored GROUP BY named
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+       CAST(grown_shard AS INTEGER) AS grown_shard
+FROM sized JOIN placed USING (named)
+"""

@@ -11,7 +11,7 @@ from tests.llm.helpers import components, shingle_set
 
 def test_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(SQL) <= set(QUERIES)
     import __spark_entry__ as contract
 
     assert {*QUERIES, "pipeline"} <= contract.queries().keys()
@@ -20,7 +20,7 @@ def test_names():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, small, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
     got = QUERIES[name](spark, small).toArrow()
     want = con.sql(SQL[name]).to_arrow_table()
