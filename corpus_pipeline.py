@@ -1,7 +1,9 @@
 """From raw documents to packed sequences: five stages, each written and read again.
 
 Quality classifier, line dedup, near-duplicate removal, source mixing, best-fit packing. Every stage
-takes ``(spark, docs, sf_dir)`` and, but for the last, returns the columns of ``documents``.
+takes ``(spark, docs, sf_dir)`` and, but for the last, returns the columns of ``documents``, further
+ones too, whatever they are called. An empty table passes every stage. Repeated rows are documents of
+their own; those that share an id share what is decided about it.
 """
 
 from __future__ import annotations
@@ -12,43 +14,50 @@ from pyspark.sql import functions as F
 from shelfline.llm import line_dedup, minhash_forest, mixing, packing, quality
 from shelfline.llm.common import materialized, table
 from shelfline.llm.queries import BYTE_BPE, session, tokenizer
-from shelfline.plans.lookup import lookup_join
+from shelfline.plans.lookup import fresh_name, lookup_join
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model passes; it learns from the labels of the raw table."""
+    """Documents that the quality model passes; it learns from the labels of the raw table. Null and
+    empty texts are scored as empty, null ids like others; a score of exactly 0.5 passes."""
     session(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source; no document goes."""
+    """Documents without the boilerplate lines of their source; no document goes. Null texts stay null,
+    documents without source stay as they are; ``n_chars`` follows where lines went."""
     session(spark)
-    cleaned = line_dedup.drop_site_lines(docs, site="source")
-    return cleaned.withColumn("n_chars", F.when(F.col("_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
+    counted = fresh_name("dropped", docs)
+    cleaned = line_dedup.drop_site_lines(docs, site="source", counted=counted)
+    return cleaned.withColumn("n_chars", F.when(F.col(counted) > 0, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near duplicates, the one with the smallest id."""
+    """One document of every group of near duplicates, the one with the smallest id. Texts without
+    words are nobody's duplicates; rows without id have none to be compared by, and stay."""
     session(spark)
     gone = minhash_forest.near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id").distinct()
     return lookup_join(docs, gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it. Rows that share an id share its copies."""
+    """Every document as often as the mix takes it. Rows that share an id share its copies; a row
+    without id stays once, and a null source is one of its own."""
     session(spark)
+    times, copy = fresh_name("copies", docs), fresh_name("copy", docs)
     mixed = mixing.mix(docs)
-    copies = materialized(mixed.groupBy("doc_id").agg(F.max("copies").cast("int").alias("_copies")).where("doc_id is not null and _copies <> 1"), "copies")
-    rows = lookup_join(docs, copies, "doc_id").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
-    return rows.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(docs.columns)
+    copies = mixed.groupBy("doc_id").agg(F.max("copies").cast("int").alias(times)).where(F.col("doc_id").isNotNull() & (F.col(times) != 1))
+    rows = lookup_join(docs, materialized(copies, "copies"), "doc_id").withColumn(times, F.coalesce(times, F.lit(1)))
+    return rows.where(F.col(times) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), times))).select(docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their sequence and place."""
+    """Pieces of the documents with their sequence and place; a null or empty text is one of its end
+    alone. Fewer pieces are remembered than by the query alone: the other stages share the memory."""
     session(spark)
-    return packing.pack_documents(docs, tokenizer(BYTE_BPE), end_id=2)
+    return packing.pack_documents(docs, tokenizer(BYTE_BPE), end_id=2, remembered=300_000)
 
 
 STAGES = [

@@ -23,9 +23,18 @@ def _wrapped(keys: Sequence[str]) -> Column:
     return F.when(known, F.struct(*keys))
 
 
+def fresh_name(wanted: str, *frames: DataFrame) -> str:
+    """``wanted``, or with marks after it, so that no column of the frames has that name."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def lookup_join(rows: DataFrame, per_key: DataFrame, keys: str | Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join of ``rows`` with an aggregate by ``keys``: inner, left, left_semi or left_anti.
     The keys keep their place among the columns of ``rows``."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    looked_up = per_key.withColumn("_lookup", _wrapped(keys)).drop(*keys)
-    return rows.withColumn("_lookup", _wrapped(keys)).join(looked_up, "_lookup", how).drop("_lookup")
+    name = fresh_name("_lookup", rows, per_key)
+    looked_up = per_key.withColumn(name, _wrapped(keys)).drop(*keys)
+    return rows.withColumn(name, _wrapped(keys)).join(looked_up, name, how).drop(name)
