@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import files, materialized, put, shared_folder
+from shelfline.llm.common import files, map_arrow, materialized, put, shared_folder
 from shelfline.plans.lookup import lookup_join
 
 #: The record header fields of both ARC versions, as their version blocks name them.
@@ -32,6 +32,7 @@ ARC_FIELDS = {
 #: Fixed value: the revisit profile of the WARC standard.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 ARCHIVE_BYTES = 8 << 20
+_SLICE = 16 << 10
 LEAST_PAYLOAD = 100
 PAGE_HEADER = "X-Page-Id"
 _DATE = "20200102030405"
@@ -86,16 +87,26 @@ def gzipped(record: bytes, level: int) -> bytes:
     return packer.compress(record) + packer.flush()
 
 
+def gzip_members(data: bytes) -> Iterator[bytes]:
+    """What each gzip member holds, then what follows the last one, if anything. Members are fed in
+    slices: what a member does not use is copied, and must not be the whole rest of the archive."""
+    view, at = memoryview(data), 0
+    while view[at : at + 2] == b"\x1f\x8b":
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof:
+            piece = view[at : at + _SLICE]
+            if not len(piece):
+                raise ValueError("the last record is cut off")
+            parts.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+        yield b"".join(parts)
+    if at < len(view):
+        yield bytes(view[at:])
+
+
 def unzipped(data: bytes) -> bytes:
     """The records of an archive, whether it is compressed or not."""
-    parts = []
-    while data[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(31)
-        parts.append(member.decompress(data) + member.flush())
-        if not member.eof:
-            raise ValueError("the last record is cut off")
-        data = member.unused_data
-    return b"".join([*parts, data])
+    return b"".join(gzip_members(data))
 
 
 def iso_date(date: str) -> str:
@@ -117,9 +128,10 @@ def _header_value(block: bytes, name: str) -> str | None:
     return None
 
 
-def record_id(archive: str, offset: int) -> str:
-    """An identifier that a repeated conversion gives again."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{archive}#{offset}')}>"
+def record_id(archive: str, offset: int, *content: str) -> str:
+    """An identifier that a repeated conversion gives again, and one of another archive does not:
+    it follows from where the record lay and what it holds."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, '#'.join([archive, str(offset), *content]))}>"
 
 
 def warc_record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -131,18 +143,15 @@ def warc_record(kind: str, headers: list[tuple[str, str]], block: bytes) -> byte
 
 def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record of a gzipped WARC file; digests are checked."""
-    while data:
-        member = zlib.decompressobj(31)
-        record = member.decompress(data) + member.flush()
-        if not member.eof:
-            raise ValueError("the last record is cut off")
-        data = member.unused_data
+    for record in gzip_members(data):
         head, _, rest = record.partition(b"\r\n\r\n")
         version, *lines = head.decode("utf-8", "replace").split("\r\n")
         if not version.startswith("WARC/"):
             raise ValueError(f"not a WARC record: {version!r}")
         headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
         block = rest[: int(headers["content-length"])]
+        if len(block) < int(headers["content-length"]):
+            raise ValueError(f"the block of {headers.get('warc-record-id')} is cut off")
         if headers["warc-block-digest"] != f"sha256:{hashlib.sha256(block).hexdigest()}":
             raise ValueError(f"wrong block digest in {headers.get('warc-record-id')}")
         yield headers, block
@@ -157,7 +166,7 @@ def write_arc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "u
         part, number, data, records, length = TaskContext.get().partitionId(), 0, None, 0, 0
 
         def named() -> tuple[int, str]:
-            return 1 + number % 2, f"{part:08d}-{number:06d}.arc.gz"
+            return 1 + (part + number) % 2, f"{part:08d}-{number:06d}.arc.gz"
 
         def flush() -> pa.RecordBatch:
             put(f"{folder}/{named()[1]}", bytes(data))
@@ -180,7 +189,7 @@ def write_arc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "u
         if records:
             yield flush()
 
-    return materialized(rows.mapInArrow(write, "name string, records bigint"), "arc")
+    return materialized(map_arrow(rows, write, "name string, records bigint"), "arc")
 
 
 _PARSED = "id string, page bigint, uri string, ip string, date string, http boolean, head binary, payload binary, digest string, bytes bigint"
@@ -199,11 +208,11 @@ def parsed_arc(spark, folder: str) -> DataFrame:
                     head, payload = _split_http(block)
                     page = _header_value(head, PAGE_HEADER)
                     digest = hashlib.sha256(payload).hexdigest()
-                    rows.append((record_id(name.as_py(), offset), int(page) if page else None, f["URL"], f["IP-address"], iso_date(f["Archive-date"]), bool(head), head, payload, digest, len(payload)))
+                    rows.append((record_id(name.as_py(), offset, digest, f["URL"], f["Archive-date"]), int(page) if page else None, f["URL"], f["IP-address"], iso_date(f["Archive-date"]), bool(head), head, payload, digest, len(payload)))
                 columns = zip(*rows, strict=True) if rows else [[] for _ in names]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), kinds.get(n, pa.string())) for n, c in zip(names, columns, strict=True)], names)
 
-    return files(spark, folder).mapInArrow(parse, _PARSED)
+    return map_arrow(files(spark, folder), parse, _PARSED)
 
 
 def convert(spark, arc_folder: str, warc_folder: str, least: int = LEAST_PAYLOAD, size: int = ARCHIVE_BYTES) -> DataFrame:
@@ -234,7 +243,7 @@ def convert(spark, arc_folder: str, warc_folder: str, least: int = LEAST_PAYLOAD
             for r in batch.to_pylist():
                 if data is None:
                     about = f"software: shelfline\r\nformat: WARC File Format 1.0\r\npart: {part} {number}\r\n".encode()
-                    own = record_id(f"warcinfo-{part}-{number}", 0)
+                    own = record_id(f"warcinfo-{part}-{number}", 0, r["id"])
                     data = bytearray(warc_record("warcinfo", [("WARC-Record-ID", own), ("WARC-Date", iso_date(_DATE)), ("Content-Type", "application/warc-fields")], about))
                 headers = [("WARC-Record-ID", r["id"]), ("WARC-Date", r["date"]), ("WARC-Target-URI", r["uri"]), ("WARC-IP-Address", r["ip"]), ("WARC-Payload-Digest", f"sha256:{r['digest']}")]
                 headers.append(("Content-Type", "application/http; msgtype=response" if r["http"] else "application/octet-stream"))
@@ -250,7 +259,7 @@ def convert(spark, arc_folder: str, warc_folder: str, least: int = LEAST_PAYLOAD
         if records:
             yield flush()
 
-    return materialized(decided.mapInArrow(write, "name string, records bigint"), "warc")
+    return materialized(map_arrow(decided, write, "name string, records bigint"), "warc")
 
 
 def read_warc(spark, folder: str) -> DataFrame:
@@ -278,7 +287,7 @@ def read_warc(spark, folder: str) -> DataFrame:
                 kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return files(spark, folder).mapInArrow(read, "id string, page bigint, payload_bytes bigint, payload_digest string, record_type string, to_id string")
+    return map_arrow(files(spark, folder), read, "id string, page bigint, payload_bytes bigint, payload_digest string, record_type string, to_id string")
 
 
 def archived_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST_PAYLOAD) -> DataFrame:
