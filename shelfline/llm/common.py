@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfline.sources.folders import materialized, shared_folder
 
-__all__ = ["by_bytes", "files", "materialized", "put", "shared_folder", "table", "worker_cache"]
+__all__ = ["at_end", "by_bytes", "files", "map_arrow", "materialized", "put", "shared_folder", "table", "worker_cache"]
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,35 @@ def worker_cache() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("values", {})
 
 
+def at_end(do: Callable[[], None]) -> None:
+    """Have ``do`` called when the running task's :func:`map_arrow` function ends."""
+    worker_cache().setdefault("at end", []).append(do)
+
+
+def map_arrow(rows: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``rows.mapInArrow(fn, schema)`` whose workers, which Spark keeps for later tasks, hand back to the
+    system what they held when a task ends: an executor's other stages need that memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            for do in worker_cache().pop("at end", []):
+                do()
+            _release()
+
+    return rows.mapInArrow(run, schema)
+
+
+def _release() -> None:
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def by_bytes(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` holds about ``most`` bytes, one row at least."""
     for batch in batches:

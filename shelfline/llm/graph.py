@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import materialized
+from shelfline.llm.common import map_arrow, materialized
 from shelfline.plans.lookup import lookup_join
 
 CHUNK = 1 << 20
@@ -63,7 +63,7 @@ def contracted(links: DataFrame) -> DataFrame:
         if rows:
             yield flush()
 
-    return links.mapInArrow(contract, "a bigint, b bigint")
+    return map_arrow(links, contract, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:

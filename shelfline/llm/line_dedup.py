@@ -14,7 +14,7 @@ from shelfline.llm.common import materialized
 from shelfline.plans.lookup import lookup_join
 
 RATIO = 0.1
-LEAST_PAGES = 5
+LEAST_PAGES = 3
 
 
 def _hash(line: Column) -> Column:
@@ -38,14 +38,14 @@ def boilerplate(pages: DataFrame, site: str, text: str, ratio: float = RATIO, le
 
 
 def drop_site_lines(
-    pages: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    pages: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES, counted: str = "_dropped"
 ) -> DataFrame:
-    """``pages`` with the boilerplate lines taken out of ``text``, and ``_dropped``, how many.
+    """``pages`` with the boilerplate lines taken out of ``text``, and ``counted``, how many.
 
     A line goes when it is on more than ``ratio`` of its site's pages and on ``least_pages`` at
-    least, so that a site of two pages loses nothing. Rows stay, with an empty text if need be;
+    least, so that a page and its copy lose nothing. Rows stay, with an empty text if need be;
     null texts stay null, rows without a site stay as they are, repeated rows count as pages of
-    their own, and other columns are kept whatever they are called.
+    their own, and other columns are kept whatever they are called (``counted`` is to be a new name).
     """
     # Written first: a table of known size, so that Catalyst need not shuffle the pages to learn it.
     found = materialized(boilerplate(pages, site, text, ratio, least_pages), "boilerplate")
@@ -56,4 +56,4 @@ def drop_site_lines(
     cleaned = F.when(F.col("lines").isNull(), whole).otherwise(F.array_join(kept, "\n"))
     dropped = F.when(F.col("lines").isNull() | whole.isNull(), 0).otherwise(F.size(_lines(whole)) - F.size(kept))
     columns = [(cleaned if c == text else F.col(f"row.`{c}`")).alias(c) for c in pages.columns]
-    return found.select(*columns, dropped.cast("int").alias("_dropped"))
+    return found.select(*columns, dropped.cast("int").alias(counted))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import by_bytes, materialized
+from shelfline.llm.common import by_bytes, map_arrow, materialized
 from shelfline.llm.graph import components, stars
 from shelfline.plans.lookup import lookup_join
 
@@ -128,7 +128,7 @@ def _marks(rows: DataFrame, words: int) -> DataFrame:
             columns = [batch.column("key"), pa.array(sizes), pa.array(prints, pa.binary()), pa.array([None if e else next(sigs) for e in empty], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["key", "n_shingles", "print", "sig"])
 
-    return rows.mapInArrow(mark, "key bigint, n_shingles bigint, print binary, sig array<bigint>")
+    return map_arrow(rows, mark, "key bigint, n_shingles bigint, print binary, sig array<bigint>")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
@@ -140,7 +140,7 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(shingles.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("key"), lists], ["key", "shingles"])
 
-    return rows.mapInArrow(build, "key bigint, shingles array<bigint>")
+    return map_arrow(rows, build, "key bigint, shingles array<bigint>")
 
 
 def _depths(documents: int) -> tuple[int, ...]:
@@ -173,7 +173,7 @@ def _further_trees(members: DataFrame, sets: DataFrame, count: int) -> DataFrame
             columns = [batch.column("key"), batch.column("component"), pa.array(list(sigs), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["key", "component", "sig"])
 
-    marked = rows.select("key", "component", "shingles").mapInArrow(mark, "key bigint, component bigint, sig array<bigint>")
+    marked = map_arrow(rows.select("key", "component", "shingles"), mark, "key bigint, component bigint, sig array<bigint>")
     marked = marked.select("key", "component", F.posexplode("sig").alias("tree", "bits"))
     return marked.select("key", "component", (F.col("tree") + TREES).alias("tree"), "bits")
 
@@ -210,7 +210,7 @@ def _neighbours(trees: DataFrame, depth: int) -> DataFrame:
             yield made([e[0] for e in ends], [0, 1], [e[1] for e in ends], [e[2] for e in ends], [True, True])
 
     found = trees.repartitionByRange("tree", _unsigned("bits"), "key").sortWithinPartitions("tree", _unsigned("bits"), "key")
-    found = materialized(found.mapInArrow(scan, "a bigint, b bigint, tree int, bits bigint, edge boolean"), "neighbours")
+    found = materialized(map_arrow(found, scan, "a bigint, b bigint, tree int, bits bigint, edge boolean"), "neighbours")
     # Two rows for every range: few, whatever the number of documents.
     line = Window.orderBy("tree", _unsigned("bits"), "a", "b")
     before = [F.lag(c).over(line).alias(f"_{c}") for c in ("a", "tree", "bits")]
@@ -258,7 +258,7 @@ def _near(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
             mask = pa.array(_similar(sig, np.arange(n), np.arange(n, 2 * n), least))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], ["a", "b"])
 
-    return both.select("a", "b", "asig", "bsig").mapInArrow(keep, "a bigint, b bigint")
+    return map_arrow(both.select("a", "b", "asig", "bsig"), keep, "a bigint, b bigint")
 
 
 def _bytes(sigs: pa.Array) -> np.ndarray:
@@ -347,7 +347,7 @@ def _across(cells: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
             yield found(*rest)
 
     wanted = rows.select("cell", "side", "key", "component", "tree", "n_shingles", "sig")
-    return wanted.mapInArrow(compare, "a bigint, b bigint")
+    return map_arrow(wanted, compare, "a bigint, b bigint")
 
 
 def _linked(keys: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:

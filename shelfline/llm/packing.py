@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import by_bytes, materialized
+from shelfline.llm.common import by_bytes, map_arrow, materialized
 from shelfline.llm.tokens import BATCH_BYTES, encoder
 
 SEQUENCE = 1024
@@ -27,13 +27,14 @@ SEQUENCE = 1024
 PACK = 16_384
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", most: int = SEQUENCE) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", most: int = SEQUENCE, remembered: int | None = None) -> DataFrame:
     """``key, piece, start, length, ids_crc32``: every row's ids and then ``end_id``, cut into
-    pieces of ``most`` ids of which only the first may be shorter. A null text is an empty one."""
+    pieces of ``most`` ids of which only the first may be shorter. A null text is an empty one. ``remembered``
+    bounds the pieces a worker keeps encoded."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer)
+        coder = encoder(tokenizer, remembered)
         end = np.array([end_id], "<u4")
         for batch in by_bytes(batches, "text", BATCH_BYTES):
             ids, ends = coder.encode(batch.column("text"))
@@ -57,7 +58,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_i
             yield pa.RecordBatch.from_arrays(columns, ["key", "piece", "start", "length", "ids_crc32"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(cut, f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return map_arrow(rows, cut, f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def best_fit(
@@ -128,10 +129,10 @@ def pack(
     return dealt.groupBy("_pack").applyInPandas(fill, f"{ddl}, sequence_id bigint, offset bigint")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", most: int = SEQUENCE) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", most: int = SEQUENCE, remembered: int | None = None) -> DataFrame:
     """``key, piece, start, length, ids_crc32, sequence_id, offset`` of every document of ``docs``.
 
     Null and empty texts are a piece of one token, the end. Null keys and repeated rows are packed
     like others, an empty table gives an empty result, other columns are not read.
     """
-    return pack(token_pieces(docs, tokenizer, end_id, key, text, most), most).withColumnRenamed("key", key)
+    return pack(token_pieces(docs, tokenizer, end_id, key, text, most, remembered), most).withColumnRenamed("key", key)

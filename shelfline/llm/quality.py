@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import by_bytes
+from shelfline.llm.common import by_bytes, map_arrow
 
 #: Labelled documents the model is fitted on at most, taken by a hash of their key.
 MOST_LABELLED = 20_000
@@ -175,7 +175,7 @@ def train(
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))], ["key", "label", "x"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    got = rows.mapInArrow(measure, f"key {kind}, label int, x array<double>").orderBy("key", "label", "x").limit(4 * most).toArrow()
+    got = map_arrow(rows, measure, f"key {kind}, label int, x array<double>").orderBy("key", "label", "x").limit(4 * most).toArrow()
     x = np.array(got["x"].to_pylist(), np.float64).reshape(-1, FEATURES)
     return fit(x, got["label"].to_numpy() == 1)
 
@@ -192,7 +192,7 @@ def scores(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
             yield pa.RecordBatch.from_arrays(columns, ["key", "score", "predicted"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(judge, f"key {kind}, score double, predicted int").withColumnRenamed("key", key)
+    return map_arrow(rows, judge, f"key {kind}, score double, predicted int").withColumnRenamed("key", key)
 
 
 def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -203,4 +203,4 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in by_bytes(batches, text, BATCH_BYTES):
             yield batch.filter(pa.array(model.score(features(batch.column(text))) >= 0.5))
 
-    return docs.mapInArrow(keep, schema)
+    return map_arrow(docs, keep, schema)

@@ -68,7 +68,7 @@ def op1_best_fit_packing(spark, sf_dir):
 
 @query
 def op2_line_dedup(spark, sf_dir):
-    docs = line_dedup.drop_site_lines(table(spark, sf_dir, "documents"), site="source", ratio=0.1, least_pages=5)
+    docs = line_dedup.drop_site_lines(table(spark, sf_dir, "documents"), site="source", ratio=0.1, least_pages=3)
     return docs.select("doc_id", "source", "text", F.col("_dropped").alias("n_dropped"))
 
 

@@ -13,7 +13,7 @@ often AS (
     FROM lines l
     WHERE trim(l.line) <> ''
     GROUP BY l.source, trim(l.line)
-    HAVING count(DISTINCT l.doc_id) >= 5
+    HAVING count(DISTINCT l.doc_id) >= 3
        AND count(DISTINCT l.doc_id) > 0.1 * (SELECT any_value(p.pages) FROM pages p WHERE p.source = l.source)
 ),
 judged AS (

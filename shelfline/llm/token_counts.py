@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import by_bytes
+from shelfline.llm.common import by_bytes, map_arrow
 from shelfline.llm.tokens import BATCH_BYTES, encoder
 
 
@@ -38,4 +38,4 @@ def token_counts(
             yield pa.RecordBatch.from_arrays([batch.column("key"), n_bytes, n_tokens, over], ["key", "n_bytes", "n_tokens", "over_limit"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(count, f"key {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean").withColumnRenamed("key", key)
+    return map_arrow(rows, count, f"key {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean").withColumnRenamed("key", key)

@@ -17,12 +17,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from shelfline.llm.common import worker_cache
+from shelfline.llm.common import at_end, worker_cache
 
-#: Pieces remembered by a worker; then it starts anew. Bounds memory, changes no result.
-REMEMBERED = 300_000
+#: Pieces remembered within a task; then it starts anew. Bounds memory, changes no result.
+REMEMBERED = 800_000
 #: Bytes of text in a batch.
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 8 << 20
 
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{180e}\pZ]"
 #: Texts in which a single space or line break need not be a boundary. U+180E was white space once.
@@ -59,9 +59,11 @@ class _Codes(dict):
 class Encoder:
     """Ids of a ``tokenizers`` file, without added special tokens, truncation or padding."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
         from tokenizers import Tokenizer
 
+        self.remembered = remembered or REMEMBERED
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -90,7 +92,11 @@ class Encoder:
     def _merge(self, word: str) -> list[int]:
         """Ids of one pre-token: straight to the merges."""
         word = word.lower() if self.lower else word
-        return [t.id for t in self.model.tokenize(word.encode().decode("latin1").translate(self.chars))]
+        if not word.isascii():
+            word = word.encode().decode("latin1").translate(self.chars)
+        elif word[0] == " ":  # ASCII letters stand for themselves
+            word = self.chars[32] + word[1:]
+        return [t.id for t in self.model.tokenize(word)]
 
     def _encode_piece(self, piece: str) -> list[int]:
         if _PLAIN.fullmatch(piece):
@@ -119,7 +125,7 @@ class Encoder:
 
     def _looked_up(self, texts: pa.Array):
         """For every piece where its ids begin and how many they are; for every text its first piece."""
-        if len(self.codes) > REMEMBERED:
+        if len(self.codes) > self.remembered:
             self._forget()
         pieces = self._split(texts)
         coded = pieces.values.dictionary_encode()
@@ -154,9 +160,11 @@ class Encoder:
         return np.diff(np.concatenate([[0], np.cumsum(lens)])[first])
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of a file."""
+def encoder(path: str, remembered: int | None = None) -> Encoder:
+    """The worker's encoder of a file. What it remembers goes when the task ends."""
     held = worker_cache()
     if ("encoder", path) not in held:
         held["encoder", path] = Encoder(path)
+    held["encoder", path].remembered = remembered or REMEMBERED
+    at_end(held["encoder", path]._forget)
     return held["encoder", path]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import materialized
+from shelfline.llm.common import map_arrow, materialized
 from shelfline.llm.graph import components, stars
 from shelfline.llm.vectors import matrix, packed, units
 from shelfline.plans.lookup import lookup_join
@@ -77,7 +77,7 @@ def _placed(classes: DataFrame, pivots: dict[int, np.ndarray], reach: float) ->
             yield pa.RecordBatch.from_arrays(columns, ["label", "rep", "weight", "vector", "cell", "home"])
 
     chosen = classes.select("label", "rep", "weight", "vector")
-    return chosen.mapInArrow(place, "label bigint, rep bigint, weight bigint, vector binary, cell bigint, home boolean")
+    return map_arrow(chosen, place, "label bigint, rep bigint, weight bigint, vector binary, cell bigint, home boolean")
 
 
 def _grid(placed: DataFrame, block: int) -> DataFrame:

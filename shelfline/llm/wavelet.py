@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import by_bytes, files, materialized, put, shared_folder
+from shelfline.llm.common import by_bytes, files, map_arrow, materialized, put, shared_folder
 from shelfline.llm.tokens import BATCH_BYTES, encoder
 from shelfline.plans.lookup import lookup_join
 
@@ -51,7 +51,7 @@ class WaveletMatrix:
             raise ValueError(f"a value does not fit {levels} bits")
         now, planes = values.astype(np.uint16 if levels <= 16 else np.uint32), []
         for level in range(levels - 1, -1, -1):
-            bit = (now >> now.dtype.type(level)) & now.dtype.type(1) == 1
+            bit = now & now.dtype.type(1 << level) != 0
             planes.append(np.packbits(bit, bitorder="little"))
             now = np.concatenate([now[~bit], now[bit]])
         return cls(planes, len(values))
@@ -111,14 +111,15 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """The whole sequence."""
-        now = np.zeros(self.size, np.uint32)
+        kind = np.uint16 if self.levels <= 16 else np.uint32
+        now = np.zeros(self.size, kind)
         for level in range(self.levels - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.size, bitorder="little").astype(bool)
             up = np.empty_like(now)
             up[~bit] = now[: self.zeros[level]]
-            up[bit] = now[self.zeros[level] :] | np.uint32(1 << (self.levels - 1 - level))
+            up[bit] = now[self.zeros[level] :] | kind(1 << (self.levels - 1 - level))
             now = up
-        return now
+        return now.astype(np.uint32)
 
 
 def to_file(values: np.ndarray, levels: int, keys: list, lengths: list[int]) -> bytes:
@@ -189,12 +190,12 @@ def write_shards(
             yield flush()
 
     ranged = rows.repartitionByRange("key").sortWithinPartitions("key")
-    return materialized(ranged.mapInArrow(write, "part bigint, number bigint, name string, documents bigint, size bigint"), "shards")
+    return materialized(map_arrow(ranged, write, "part bigint, number bigint, name string, documents bigint, size bigint"), "shards")
 
 
-def read_shards(spark, folder: str, listed: DataFrame) -> DataFrame:
-    """``key, start, n_tokens, ids_crc32`` of every document in the listed files of ``folder``:
-    ``start`` counts the ids of all documents before it."""
+def read_shards(spark, folder: str) -> DataFrame:
+    """``key, start, n_tokens, ids_crc32`` of every document in the files of ``folder``: ``start``
+    counts the ids of all documents before it, in this file and those whose names come before."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +207,9 @@ def read_shards(spark, folder: str, listed: DataFrame) -> DataFrame:
                 columns = [pa.array([name.as_py()] * len(keys), pa.string()), pa.array(keys, pa.int64()), pa.array(begins), pa.array(ends - begins), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["name", "key", "begin", "n_tokens", "ids_crc32"])
 
-    decoded = files(spark, folder).mapInArrow(read, "name string, key bigint, begin bigint, n_tokens bigint, ids_crc32 bigint")
+    decoded = materialized(map_arrow(files(spark, folder), read, "name string, key bigint, begin bigint, n_tokens bigint, ids_crc32 bigint"), "decoded")
+    part, number = (F.split("name", "[-.]").getItem(i).cast("long") for i in (0, 1))
+    listed = decoded.groupBy("name").agg(F.sum("n_tokens").alias("size")).withColumns({"part": part, "number": number})
     # Ids before a part: one row a task; before a file of it: one row a file.
     parts = listed.groupBy("part").agg(F.sum("size").alias("_size"))
     earlier = F.sum("_size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
@@ -224,4 +227,4 @@ def token_shards(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_i
     listed = write_shards(docs, folder, tokenizer, end_id, key, text, shard)
     if listed.isEmpty():
         return spark.createDataFrame([], "key bigint, start bigint, n_tokens bigint, ids_crc32 bigint").withColumnRenamed("key", key)
-    return read_shards(spark, folder, listed).withColumnRenamed("key", key)
+    return read_shards(spark, folder).withColumnRenamed("key", key)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import materialized
+from shelfline.llm.common import map_arrow, materialized
 
 SCALE, SHIFT = 1024, 100_000
 #: Components whose deviation is below this share of the largest are rounding, not data.
@@ -53,7 +53,7 @@ def fixed_point(rows: DataFrame, vector: str, key: str) -> DataFrame:
 
     kind = dict(rows.dtypes)[key]
     rows = rows.select(F.col(f"`{key}`").alias("key"), F.col(f"`{vector}`").alias("vector"))
-    packed = materialized(rows.mapInArrow(pack, f"key {kind}, x binary, d bigint"), "fixed-point")
+    packed = materialized(map_arrow(rows, pack, f"key {kind}, x binary, d bigint"), "fixed-point")
     widths = packed.groupBy("d").count()
     most = widths.orderBy(F.desc("count"), F.desc("d")).first()
     return packed.where(F.col("d") == (most["d"] if most else 0)).select("key", "x")
@@ -78,7 +78,7 @@ def _summed(packed: DataFrame, dims: int, part: Callable[[np.ndarray], np.ndarra
             yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), values], ["place", "value"])
 
     value = F.col("value").cast("decimal(38,0)") if kind == "string" else F.col("value")
-    sums = packed.mapInArrow(add, f"place int, value {kind}").groupBy("place").agg(F.sum(value).alias("value"))
+    sums = map_arrow(packed, add, f"place int, value {kind}").groupBy("place").agg(F.sum(value).alias("value"))
     return [r["value"] for r in sorted(sums.collect(), key=lambda r: r["place"])]
 
 
@@ -207,7 +207,7 @@ def whitened(rows: DataFrame, components: int = 8, key: str = "vec_id", vector:
             ]
             yield pa.RecordBatch.from_arrays(columns, [key, "component", "n", "deviation", "whitened", "explained", "identity_error"])
 
-    return packed.mapInArrow(project, schema)
+    return map_arrow(packed, project, schema)
 
 
 def _deviations(x: np.ndarray, n: int, sums: list[int]) -> pa.Array:

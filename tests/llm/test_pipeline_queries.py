@@ -56,13 +56,16 @@ def test_stages(spark, small):
 
 
 def test_odd_tables_pass_every_stage(spark, small, tmp_path):
+    more = (1, 2, 3, 4, "x", "y", 7)
     docs = spark.createDataFrame(
-        [(1, None, None, None, None), (1, None, None, None, None), (None, "a b c d e f", "en", "s", 3), (2, "", "en", "s", 0), (3, "x" * 90_000, "en", None, 9)],
-        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+        [(1, None, None, None, None, *more), (1, None, None, None, None, *more), (None, "a b c d e f", "en", "s", 3, *more), (2, "", "en", "s", 0, *more), (3, "x" * 90_000, "en", None, 9, *more)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+        "_lookup int, _copies int, dropped int, _dropped int, copy string, component_id string, label int",
     )
     for table in (docs, docs.limit(0)):
         at = table
-        for _, stage in corpus_pipeline.STAGES:
+        for name, stage in corpus_pipeline.STAGES:
             rows = stage(spark, at, small)
+            assert name == "packing" or rows.columns == docs.columns
             at = spark.createDataFrame(rows.collect(), rows.schema)
         assert (at.count() > 0) == (not table.isEmpty())
