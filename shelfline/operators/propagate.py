@@ -10,20 +10,33 @@ from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.functions import constants as C
 from shelfline.operators import stock
+from shelfline.plans.buckets import BUCKETS, look_up
 from shelfline.plans.lookup import lookup_join
 
 
 def affected_by_payments(changes: DataFrame, invoice_line: DataFrame) -> DataFrame:
     """Items on the invoice a payment now has (or had, when deleted), and on the one it was
     moved away from."""
+    return lookup_join(invoice_line, _payment_invoices(changes), "invoice_no", "left_semi").select("ks").distinct()
+
+
+def affected_by_payments_indexed(changes: DataFrame, folder: str, buckets: int = BUCKETS) -> DataFrame:
+    """:func:`affected_by_payments` from the invoice lines that :func:`shelfline.plans.buckets.write_index`
+    wrote to ``folder`` by ``invoice_no``: only the buckets of the changes' invoices are read."""
+    lines = T.StructType.fromDDL("invoice_no LONG, ks LONG")
+    return look_up(changes.sparkSession, folder, lines, _payment_invoices(changes), "invoice_no", buckets).select("ks").distinct()
+
+
+def _payment_invoices(changes: DataFrame) -> DataFrame:
     now = F.when(F.col("op") == "D", F.col("before.invoice_no")).otherwise(F.col("after.invoice_no"))
     moved = (F.col("op") == "U") & (F.col("after.invoice_no") != F.col("before.invoice_no"))
     left_behind = F.when(moved, F.col("before.invoice_no"))
     invoices = changes.select(F.explode(F.array(now, left_behind)).alias("invoice_no")).where("invoice_no IS NOT NULL")
-    return lookup_join(invoice_line, invoices.distinct(), "invoice_no", "left_semi").select("ks").distinct()
+    return invoices.distinct()
 
 
 def affected_by_reserves(changes: DataFrame, touched: Column | None = None) -> DataFrame:

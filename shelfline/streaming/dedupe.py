@@ -2,40 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.operators.changes import suppress_repeats
 from shelfline.plans.lookup import lookup_join
+from shelfline.plans.buckets import BUCKETS
 from shelfline.streaming.sinks import start, write_batch
+from shelfline.streaming.state import KeyedState
 
-STATE = "mod_id STRING, id LONG, time_delivery STRING, qnt STRING, dbl_cnt LONG, batch LONG"
+STATE = "mod_id STRING, id LONG, time_delivery STRING, qnt STRING, dbl_cnt LONG"
 
 
-def _state(spark, path: str, batch_id: int, keys: DataFrame) -> DataFrame:
-    """The last change of each of ``keys`` that an earlier batch has seen."""
-    try:
-        seen = spark.read.schema(T.StructType.fromDDL(STATE)).parquet(path)
-    except AnalysisException as missing:  # the first batch finds no state
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        seen = spark.createDataFrame([], STATE)
-    seen = lookup_join(seen.where(F.col("batch") < batch_id), keys, "mod_id", "left_semi")
-    last = F.max_by(F.struct("id", "time_delivery", "qnt", "dbl_cnt"), F.struct("id", "batch"))
-    return seen.groupBy("mod_id").agg(last.alias("_last")).select("mod_id", "_last.*")
-
-
-def stream_dedupe(changes: DataFrame, folder: str, checkpoint: str, catch_up: bool = False) -> StreamingQuery:
+def stream_dedupe(changes: DataFrame, folder: str, checkpoint: str, catch_up: bool = False, buckets: int = BUCKETS) -> StreamingQuery:
     """Stream form of :func:`shelfline.operators.changes.suppress_repeats`.
 
     Every micro-batch runs the sliced batch form over its rows and the last row of each of its
     modifications, so no task holds all rows of one. Writes ``folder/out`` (the judged rows),
     ``folder/late`` (rows whose id is not above the last one seen for their modification: they come
-    too late to be judged) and ``folder/state`` (one row for each modification of a batch). A
-    repeated batch reads the state of those before it and replaces what it wrote.
+    too late to be judged) and ``folder/state``, one row for each modification: a batch reads and
+    rewrites the buckets its modifications are in. A repeated batch finds the state of those before it
+    and replaces what it wrote.
     """
     quantity = changes.schema["qnt"].dataType
     rows = changes.select("id", "mod_id", "time_delivery", F.col("qnt").cast("string").alias("qnt"))
@@ -43,7 +31,10 @@ def stream_dedupe(changes: DataFrame, folder: str, checkpoint: str, catch_up: bo
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
-        known = _state(spark, f"{folder}/state", batch_id, batch.select("mod_id").distinct()).persist()
+        state = KeyedState(spark, f"{folder}/state", STATE, "mod_id", buckets=buckets)
+        touched = state.buckets_of(batch)
+        held = state.before(batch_id, touched)
+        known = lookup_join(held, batch.select("mod_id").distinct(), "mod_id", "left_semi").persist()
         judged = lookup_join(batch, known.select("mod_id", F.col("id").alias("_last")), "mod_id")
         late = F.coalesce(F.col("id") <= F.col("_last"), F.lit(False))
         write_batch(judged.where(late).drop("_last"), f"{folder}/late", batch_id)
@@ -59,7 +50,7 @@ def stream_dedupe(changes: DataFrame, folder: str, checkpoint: str, catch_up: bo
         out = own.select("id", "mod_id", "time_delivery", "qnt", "sent", counted.alias("dbl_cnt")).persist()
         write_batch(out.withColumn("qnt", F.col("qnt").cast(quantity)), f"{folder}/out", batch_id)
         last = out.groupBy("mod_id").agg(F.max_by(F.struct("id", "time_delivery", "qnt", "dbl_cnt"), "id").alias("_last"))
-        write_batch(last.select("mod_id", "_last.*"), f"{folder}/state", batch_id)
+        state.fold(batch_id, held, touched, last.where("mod_id IS NOT NULL").select("mod_id", "_last.*"))
         for frame in (out, known, batch):
             frame.unpersist()
 

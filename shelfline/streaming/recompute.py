@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +13,9 @@ from shelfline.functions import constants as C
 from shelfline.operators import propagate
 from shelfline.operators.delivery import stock_change_records
 from shelfline.plans.lookup import lookup_join
+from shelfline.plans.buckets import BUCKETS
 from shelfline.streaming.sinks import start, write_batch
+from shelfline.streaming.state import KeyedState
 
 # The columns of any changed row that decide which items it affects.
 ROW = (
@@ -56,8 +57,8 @@ def affected_items(
 
 
 def with_written_status(content: DataFrame, written: DataFrame) -> DataFrame:
-    """``content`` with the newest status that a batch wrote for each item, ``written(ks, clc, batch)``."""
-    newest = written.groupBy("ks").agg(F.max_by("clc", "batch").alias("_clc"))
+    """``content`` with the status that the stream last wrote for an item, ``written(ks, clc)``."""
+    newest = written.select("ks", F.col("clc").alias("_clc"))
     kept = [c if c != "stock_status" else F.coalesce(F.col("_clc").cast(content.schema[c].dataType), c).alias(c) for c in content.columns]
     return lookup_join(content, newest, "ks").select(*kept)
 
@@ -70,6 +71,7 @@ def stream_recompute(
     catch_up: bool = False,
     triggering_exclusions: Collection[int] = C.UNTRIGGERED_SUPPLIERS,
     labels: C.Labels = C.Labels(),
+    buckets: int = BUCKETS,
     **rules,
 ) -> StreamingQuery:
     """Recompute the affected items of every micro-batch of tagged ``changes``.
@@ -78,27 +80,23 @@ def stream_recompute(
     :func:`shelfline.operators.propagate.recompute_status`, ``invoice_line``, and, for change rows,
     ``modification``, ``device`` and ``availability``. Writes ``folder/status`` (``ks, cur, clc``;
     the stored status ``cur`` counts what earlier batches wrote), ``folder/changes`` (a change row for
-    every item whose status moved) and ``folder/rejects``. A repeated batch replaces its results. The
-    affected keys go to one of two folders by turns, so none are left over.
+    every item whose status moved) and ``folder/rejects``. What was last written for an item is state
+    (``folder/state``): a batch reads and rewrites the buckets of its items, not the history. A
+    repeated batch replaces its results. The affected keys go to one of two folders by turns.
     """
     spark = changes.sparkSession
-
-    def written(batch_id: int) -> DataFrame:
-        try:
-            seen = spark.read.schema(T.StructType.fromDDL("ks LONG, cur INT, clc INT, batch LONG")).parquet(f"{folder}/status")
-        except AnalysisException as missing:  # the first batch finds nothing
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return spark.createDataFrame([], "ks LONG, clc INT, batch LONG")
-        return seen.where(F.col("batch") < batch_id).select("ks", "clc", "batch")
+    state = KeyedState(spark, f"{folder}/state", "ks LONG, clc INT", "ks", buckets=buckets)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = dict(tables())
-        now["content"] = with_written_status(now["content"], written(batch_id))
         affected = affected_items(batch, now, triggering_exclusions)
         place = f"{folder}/affected/{batch_id % 2}"
         affected.write.mode("overwrite").parquet(place)
         keys = spark.read.schema(affected.schema).parquet(place)
+        keys = keys.select(F.col("ks").cast("long").alias("ks"))
+        touched = state.buckets_of(keys)
+        held = state.before(batch_id, touched)
+        now["content"] = with_written_status(now["content"], held)
         dated = propagate.recompute_dated_status(keys, now, **rules).persist()
         if "modification" in now:
             moved = propagate.status_changes(dated)
@@ -106,6 +104,7 @@ def stream_recompute(
             write_batch(made.records, f"{folder}/changes", batch_id)
             write_batch(made.rejected, f"{folder}/rejects", batch_id)
         write_batch(dated.select("ks", "cur", "clc"), f"{folder}/status", batch_id)
+        state.fold(batch_id, held, touched, dated.select("ks", "clc"))
         dated.unpersist()
 
     return start(changes, checkpoint, handler=handle, catch_up=catch_up)

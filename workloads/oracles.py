@@ -47,6 +47,17 @@ judged AS (SELECT a.ks, a.old_status AS stock_status_old, a.new_status AS stock_
                   CASE WHEN a.new_status = 2 THEN v.available_qty ELSE CAST(0 AS DECIMAL(18,2)) END AS qnt
            FROM asked a LEFT JOIN known k ON k.ks = a.ks LEFT JOIN availability v ON v.ks = a.ks)"""
 
+# The movements after the changes, and the status that follows from those.
+MOVED = """
+stock_qty_now AS (SELECT * FROM stock_qty WHERE ks % 5 <> 1),
+reserve_now AS (SELECT ks, CASE WHEN invoice_no % 7 = 2 THEN invoice_no + 1 ELSE invoice_no END AS invoice_no, reserved_qty, reserve_status, released_at FROM reserve),
+incoming_reserve_now AS (SELECT * FROM incoming_reserve WHERE invoice_no % 7 <> 3),
+payment_now AS (SELECT * FROM payment WHERE invoice_no % 6 <> 4),
+purchase_order_now AS (SELECT order_no, supplier_code, cancelled, CASE WHEN order_no % 6 = 5 THEN done IS NOT TRUE ELSE done END AS done FROM purchase_order),
+purchase_order_line_now AS (SELECT order_no, ks, qty, cancelled, done, invoice_no, received_at,
+                                   CASE WHEN ks % 9 = 4 THEN expected_date + INTERVAL 30 DAY ELSE expected_date END AS expected_date FROM purchase_order_line)"""
+MOVED_STATUS = re.sub(r"FROM (stock_qty|reserve|incoming_reserve|payment|purchase_order_line|purchase_order)\b", r"FROM \1_now", STATUS)
+
 AFFECTED = """
 hit AS (
   SELECT l.ks FROM invoice_line l WHERE l.invoice_no IN (
@@ -307,9 +318,12 @@ FROM timed""",
     "stream_change_feed": "SELECT op, COALESCE(new_invoice_no, old_invoice_no) AS seq, old_invoice_no, new_invoice_no FROM payment_change",
     "stream_route_notifications": f"WITH {ROUTED}",
     "affected_by_payments": """SELECT DISTINCT l.ks FROM invoice_line l JOIN payment_change c
+  ON l.invoice_no = CASE WHEN c.op = 'D' THEN c.old_invoice_no ELSE c.new_invoice_no END OR (c.op = 'U' AND c.new_invoice_no <> c.old_invoice_no AND l.invoice_no = c.old_invoice_no)""",
+    "affected_by_payments_indexed": """SELECT DISTINCT l.ks FROM invoice_line l JOIN payment_change c
   ON l.invoice_no = CASE WHEN c.op = 'D' THEN c.old_invoice_no ELSE c.new_invoice_no END OR (c.op = 'U' AND c.new_invoice_no <> c.old_invoice_no AND l.invoice_no = c.old_invoice_no)""",
     "affected_by_reserves": """SELECT DISTINCT CASE WHEN op = 'D' THEN old_ks ELSE new_ks END AS ks FROM reserve_change WHERE op <> 'U' OR touched""",
     "affected_by_orders": """SELECT DISTINCT c.ks FROM order_line_change c JOIN purchase_order o ON o.order_no = c.order_no WHERE o.supplier_code NOT IN (3, 7)""",
+    "maintained_totals": f"WITH {MOVED}, {MOVED_STATUS} SELECT ks, cur, clc, CAST(expected_date AS TIMESTAMP) AS expected_date FROM status",
     "recompute_status": f"WITH {STATUS}, {AFFECTED} SELECT h.ks, s.cur, s.clc FROM hit h LEFT JOIN status s ON s.ks = h.ks",
     "stream_recompute": f"WITH {STATUS}, {AFFECTED} SELECT h.ks, s.cur, s.clc FROM hit h LEFT JOIN status s ON s.ks = h.ks",
     "stream_recompute_changes": f"""WITH {CHANGE_RECORDS}, {AFFECTED}

@@ -13,7 +13,9 @@ from shelfline.functions.text import format_payload
 from shelfline.operators import changes, delivery, export, lookups, migrate, outcomes, propagate, quality, reports, stock
 from shelfline.sources import caret_csv, change_feed, folders, logs, notifications
 from shelfline.sources.tables import SOURCE_NAMES, from_source, load_domain
+from shelfline.plans import buckets
 from shelfline.streaming import dedupe, notify, recompute, sinks, stateful
+from shelfline.streaming.totals import COLUMNS, StockTotals
 from workloads.views import Domain, domain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -603,6 +605,42 @@ def cascade_delete(d):
     return quality.cascade_delete(d.export_field, deleted)
 
 
+def _moved(d: Domain) -> dict[str, DataFrame]:
+    """Changes of the movements: each table's rows with an odd number move or go, others stay."""
+    row = lambda ddl, **new: F.struct(*[new.get(c.split(" ")[0], F.col(c.split(" ")[0])).alias(c.split(" ")[0]) for c in ddl.split(", ")])
+
+    def changed(table: str, op: Column, **new: Column) -> DataFrame:
+        before = row(COLUMNS[table])
+        return getattr(d, table).select(op.alias("op"), before.alias("before"), F.when(op != "D", row(COLUMNS[table], **new)).alias("after")).where("op IS NOT NULL")
+
+    every = lambda key, n, r, op: F.when(F.col(key) % n == r, F.lit(op))
+    return {
+        "stock_qty": changed("stock_qty", every("ks", 5, 1, "D")),
+        "reserve": changed("reserve", every("invoice_no", 7, 2, "U"), invoice_no=F.col("invoice_no") + 1),
+        "incoming_reserve": changed("incoming_reserve", every("invoice_no", 7, 3, "D")),
+        "payment": changed("payment", every("invoice_no", 6, 4, "D")),
+        "purchase_order": changed("purchase_order", every("order_no", 6, 5, "U"), done=~F.coalesce("done", F.lit(False))),
+        "purchase_order_line": changed("purchase_order_line", every("ks", 9, 4, "U"), expected_date=F.col("expected_date") + F.expr("INTERVAL 30 DAYS")),
+    }
+
+
+@query
+def maintained_totals(d):
+    """Totals filled from the tables and kept up by changes of all of them."""
+    totals = StockTotals(d.spark, folders.shared_folder(d.spark, "totals"), buckets=16, excluded_suppliers=SUPPLIERS)
+    totals.fill({t: getattr(d, t) for t in COLUMNS})
+    totals.apply(0, _moved(d))
+    return stock.status_from_totals(stock.current_status(d.content), totals.current(1))
+
+
+@query
+def affected_by_payments_indexed(d):
+    """Invoice lines by bucket; the batch's invoices read theirs."""
+    folder = folders.shared_folder(d.spark, "invoice-items")
+    buckets.write_index(d.invoice_line, folder, "invoice_no", 64)
+    return propagate.affected_by_payments_indexed(_payment_changes(d.payment_change), folder, 64)
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 
