@@ -19,6 +19,7 @@ from workloads.queries import QUERIES  # noqa: E402
 HEADLINES = [
     "stock_status",
     "to_wide",
+    "match_versions",
     "match_groups",
     "equals_last_sent",
     "compare_delivery_by_name",
@@ -33,6 +34,7 @@ HEADLINES = [
     "log_with_changes",
     "check_constraints",
     "stream_recompute",
+    "maintained_totals",
 ]
 
 

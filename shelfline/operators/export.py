@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,10 +100,27 @@ def chunk_records(export_field: DataFrame, mode: int | None = None, slice_bits:
     return numbered.withColumn("rec", F.expr("ordinal div field_count")).drop("_slice", "ordinal", "field_count")
 
 
+REJECTS = "_rejects"
+
+
 def to_wide(chunked: DataFrame, dictionary: list[Field]) -> DataFrame:
     """One row per record with a typed column per dictionary entry, in its order. A field that
     the record lacks is NULL, a field without a value is empty; text that does not fit the type
-    is NULL. Of several values of a field the greatest counts.
+    is NULL here and told by :func:`to_wide_rejects`. Of several values of a field the greatest counts.
+    """
+    return judged_wide(chunked, dictionary).drop(REJECTS)
+
+
+def to_wide_rejects(judged: DataFrame) -> DataFrame:
+    """The values of :func:`judged_wide` that do not fit their column's type: ``exp_id, mod_csv, rec,
+    field, value``. Empty text is no value and no reject."""
+    return judged.where(F.size(REJECTS) > 0).select(*EXPORT_KEYS, "rec", F.inline(REJECTS))
+
+
+def judged_wide(chunked: DataFrame, dictionary: list[Field], observed: str | Observation | None = None) -> DataFrame:
+    """:func:`to_wide` with what it could not type, ``_rejects``: an array of ``field, value``, empty for a
+    record in order. One pass gives both: write it once, or cache it, and take either part. With
+    ``observed``, a name or an Observation, it counts ``records`` and ``rejects`` on the way.
 
     A record's fields are gathered, as many as the record has (a record is as long as its export
     has fields), and looked up by name: one comparison a row, not one for every column.
@@ -114,13 +131,25 @@ def to_wide(chunked: DataFrame, dictionary: list[Field]) -> DataFrame:
     wide = chunked.groupBy(*EXPORT_KEYS, "rec").agg(pairs.alias("_pairs"))
     wide = wide.select(*EXPORT_KEYS, "rec", F.col("_pairs.k").alias("_names"), F.col("_pairs.v").alias("_values"))
 
+    def text(f: Field) -> Column:
+        return F.get("_values", (F.array_position("_names", f.name) - 1).cast("int"))
+
     def typed(f: Field) -> Column:
-        text = F.get("_values", (F.array_position("_names", f.name) - 1).cast("int"))
         if f.number:
-            return F.when(text.rlike(NUMBER), F.trim(text)).alias(f.column)
-        return text.try_cast(f.data_type).alias(f.column)
-
-    return wide.select(*EXPORT_KEYS, "rec", *[typed(f) for f in dictionary])
+            return F.when(text(f).rlike(NUMBER), F.trim(text(f)))
+        return text(f).try_cast(f.data_type)
+
+    def reject(f: Field) -> Column:
+        bad = (F.trim(text(f)) != "") & typed(f).isNull()
+        return F.when(bad, F.struct(F.lit(f.name).alias("field"), text(f).alias("value")))
+
+    checked = [f for f in dictionary if f.number or not isinstance(f.data_type, T.StringType)]
+    none = F.array().cast("array<struct<field:string,value:string>>")
+    rejects = F.array_compact(F.array(*[reject(f) for f in checked])) if checked else none
+    judged = wide.select(*EXPORT_KEYS, "rec", *[typed(f).alias(f.column) for f in dictionary], rejects.alias(REJECTS))
+    if observed is None:
+        return judged
+    return judged.observe(observed, F.count(F.lit(1)).alias("records"), F.sum(F.size(REJECTS)).alias("rejects"))
 
 
 def export_headers(export_log: DataFrame, device: DataFrame) -> DataFrame:

@@ -71,11 +71,13 @@ def _sides(mod_param: DataFrame, v_from: int, v_to: int) -> tuple[DataFrame, Dat
 
 def match_groups(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame:
     """The modifications of both versions by what they agree on: ``dev_id, group_key, version_num,
-    mod_id, matched``. Members of a device with one ``group_key`` agree on all shared attributes;
+    mod_id, matched``. Members of a device with one ``group_key`` agree on all shared attributes (a backslash stands
+    before ``;``, ``=`` and backslashes of a value);
     ``matched`` says that the group has members of both versions. As many rows as modifications,
     however large a group is; a modification that lacks a shared attribute has no key."""
     vectors = attribute_vectors(mod_param, v_from, v_to)
-    text = F.transform("vector", lambda v: F.concat(v["dev_param_id"].cast("string"), F.lit("="), v["value"]))
+    # Marks inside a value are escaped, so that different vectors have different keys.
+    text = F.transform("vector", lambda v: F.concat(v["dev_param_id"].cast("string"), F.lit("="), F.regexp_replace(v["value"], r"([\\;=])", r"\\$1")))
     rows = vectors.withColumn("group_key", F.when(F.col("vector").isNotNull(), F.array_join(text, ";")))
     sides = rows.where(F.col("group_key").isNotNull()).groupBy("dev_id", "group_key").agg(
         (F.min("version_num") != F.max("version_num")).alias("matched")

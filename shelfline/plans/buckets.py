@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from shelfline.plans.lookup import lookup_join
 
 BUCKET = "bucket"
-BUCKETS = 256
+#: Default; about as many as the table has files of a good size.
+BUCKETS = 64
 
 
 def bucket_of(key: str | Column, buckets: int = BUCKETS) -> Column:

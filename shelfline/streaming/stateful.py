@@ -95,6 +95,11 @@ class Retry(StatefulProcessor):
         pass
 
 
+def unnamed_attempts(attempts: DataFrame) -> DataFrame:
+    """The attempts that name no change, for a sink of their own."""
+    return attempts.where("id IS NULL")
+
+
 def stream_retry(attempts: DataFrame, retry_limit: int = RETRY_LIMIT, pause_ms: int = 0) -> DataFrame:
     """Stream form of :func:`shelfline.operators.delivery.delivery_outcome` that remembers counts.
 
@@ -102,8 +107,10 @@ def stream_retry(attempts: DataFrame, retry_limit: int = RETRY_LIMIT, pause_ms:
     and for the first one after a final outcome, which clears the state. Every attempt gives an
     ``outcome`` row, every resend a ``resend`` row, after ``pause_ms`` when that is set and no final
     outcome came first. The session has to keep state in RocksDB, see :func:`use_rocksdb`. Texts are
-    judged before the state is touched.
+    judged before the state is touched. Attempts without id belong to no change: they are left out
+    here and are what :func:`unnamed_attempts` returns.
     """
+    attempts = attempts.where("id IS NOT NULL")
     error = F.coalesce("error", F.lit(""))
     judged = attempts.select(
         F.col("id").cast("long").alias("id"),

@@ -335,6 +335,10 @@ WHERE COALESCE(j.stock_status_old, -1) <> j.stock_status_new AND j.mod_id IS NOT
     "field_counts": "SELECT exp_id, mod_csv, COUNT(DISTINCT bx_fld_name) AS field_count FROM export_field GROUP BY exp_id, mod_csv",
     "chunk_records": f"WITH {RECORDS} SELECT exp_id, mod_csv, csv_id, bx_fld_name, bx_fld_value, rec FROM numbered",
     "to_wide": f"WITH {RECORDS} SELECT exp_id, mod_csv, rec, ip_prop109, cv_price, ip_prop110, ic_code0, ic_group0, ie_sort FROM wide",
+    "to_wide_rejects": f"""WITH {RECORDS},
+given AS (SELECT exp_id, mod_csv, rec, MAX(bx_fld_value) AS value FROM numbered WHERE bx_fld_name = 'cv_price' GROUP BY exp_id, mod_csv, rec)
+SELECT exp_id, mod_csv, rec, 'cv_price' AS field, value FROM given
+WHERE TRIM(value) <> '' AND NOT regexp_full_match(value, '-?[0-9]+[.]?[0-9]*')""",
     "export_wide_device": _wide(1, "ic_group0, TRY_CAST(ip_prop109 AS BIGINT) AS ip_prop109, TRY_CAST(cv_price AS DECIMAL(18,2)) AS cv_price"),
     "export_wide_modificators": _wide(2, "ic_code0, ie_sort, ip_prop110"),
     "export_wide_prices": _wide(4, "ip_prop109, cv_price, ip_prop110, ic_code0, ic_group0, ie_sort"),

@@ -354,6 +354,11 @@ def to_wide(d):
     return export.to_wide(export.chunk_records(d.export_field), export.read_dictionary(d.export_dict))
 
 
+@query
+def to_wide_rejects(d):
+    return export.to_wide_rejects(export.judged_wide(export.chunk_records(d.export_field), export.read_dictionary(d.export_dict)))
+
+
 def _export_wide(d, preset):
     """Every kind of export has a dictionary of its own."""
     dictionary = {"device": d.export_dict_device, "modificators": d.export_dict_modificators, "prices": d.export_dict}[preset]
@@ -665,7 +670,7 @@ def _recompute_stream(d: Domain) -> str:
 
     _caught_up(
         recompute.stream_recompute(
-            feed, tables, f"{folder}/out", f"{folder}/checkpoint", catch_up=True, excluded_suppliers=SUPPLIERS,
+            feed, tables, f"{folder}/out", f"{folder}/checkpoint", catch_up=True, buckets=8, excluded_suppliers=SUPPLIERS,
             triggering_exclusions=SUPPLIERS, labels=LABELS,
         )
     )
@@ -716,7 +721,7 @@ def stream_change_feed(d):
 def stream_dedupe(d):
     feed = d.view("stock_change", events=d.stream("events"))
     folder = folders.shared_folder(d.spark, "stream-dedupe")
-    _caught_up(dedupe.stream_dedupe(feed, folder, f"{folder}/checkpoint", catch_up=True))
+    _caught_up(dedupe.stream_dedupe(feed, folder, f"{folder}/checkpoint", catch_up=True, buckets=8))
     return d.spark.read.parquet(f"{folder}/out").select("id", "mod_id", "time_delivery", "qnt", "sent", "dbl_cnt")
 
 
