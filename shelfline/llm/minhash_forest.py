@@ -10,10 +10,12 @@ that share a longer prefix stand closer together. Candidates are found in two ro
    cut by a deeper prefix, as often as needed; what shares a whole signature and is still too large
    is compared block by block. Families are then compared in full within tasks, again by blocks,
    and only a spanning forest of the links leaves a task: no list of pairs grows with a family.
+   Blocks of a family's largest component meet those of its other components only.
 
 The number of trees and the depth make a link between two documents at the threshold a candidate
 with a probability of ``1 - (1 - J^depth)^trees``. Below 0.85, documents of large regions get further
-trees, so that cutting those misses no more links. Documents with equal shingle sets are one node.
+trees, so that cutting those misses no more links. A node is a shingle set, whichever rows hold
+it; keys come in last.
 """
 
 from __future__ import annotations
@@ -123,7 +125,7 @@ def _marks(rows: DataFrame, words: int) -> DataFrame:
         for batch in by_bytes(batches, "text", BATCH_BYTES):
             shingles, ends = shingle_sets(batch.column("text"), words)
             sizes = np.diff(np.concatenate([[0], ends]))
-            prints = [xxhash.xxh3_128_digest(s) if len(s) else None for s in np.split(shingles, ends[:-1])] if len(ends) else []
+            prints = _prints(shingles, ends)
             sigs, empty = iter(signatures(shingles, ends).view(">i8").astype(np.int64)) if len(shingles) else iter(()), sizes == 0
             columns = [batch.column("key"), pa.array(sizes), pa.array(prints, pa.binary()), pa.array([None if e else next(sigs) for e in empty], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["key", "n_shingles", "print", "sig"])
@@ -131,16 +133,21 @@ def _marks(rows: DataFrame, words: int) -> DataFrame:
     return map_arrow(rows, mark, "key bigint, n_shingles bigint, print binary, sig array<bigint>")
 
 
+def _prints(shingles: np.ndarray, ends: np.ndarray) -> list[bytes | None]:
+    """A fingerprint of every set; none of an empty one."""
+    return [xxhash.xxh3_128_digest(s) if len(s) else None for s in np.split(shingles, ends[:-1])] if len(ends) else []
+
+
 def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """``key, shingles``: the full set of every row."""
+    """``print, shingles``: the full set of every row."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text", BATCH_BYTES):
             shingles, ends = shingle_sets(batch.column("text"), words)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(shingles.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), lists], ["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(_prints(shingles, ends), pa.binary()), lists], ["print", "shingles"])
 
-    return map_arrow(rows, build, "key bigint, shingles array<bigint>")
+    return map_arrow(rows, build, "print binary, shingles array<bigint>")
 
 
 def _depths(documents: int) -> tuple[int, ...]:
@@ -290,7 +297,8 @@ def _cells(trees: DataFrame, depths: tuple[int, ...], region: int, sets: DataFra
         large = rows.where(F.col("n") > region)
         rows = large.drop("n", "prefix")
         if further and depth == depths[0]:
-            members = rows.select("key", "component").distinct()
+            # Written first: where few regions are large, the sets need not move for them.
+            members = materialized(rows.select("key", "component").distinct(), "large")
             rows = rows.unionByName(materialized(_further_trees(members, sets, further), "further"))
     blocks = F.ceil(F.col("n") / region).cast("int")
     cut = large.withColumn("own", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -370,23 +378,46 @@ def _linked(keys: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.
     return stars(keys[i], keys[j])
 
 
-def _within_families(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: links among the documents of each family (``node, component``), as stars per task.
-    Small families share tasks; large ones are dealt into blocks, every two of which meet."""
-    rows = lookup_join(families.toDF("key", "family"), sets.select("key", "shingles"), "key", "inner")
-    sizes = rows.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("shingles")).alias("s"))
-    blocks = F.ceil(F.greatest(F.col("n") / FAMILY, F.col("s") / FAMILY_SHINGLES)).cast("int")
-    sizes = materialized(sizes.withColumn("blocks", blocks), "families")
+def _blocks(n: Column, shingles: Column) -> Column:
+    """How many blocks so many documents, with so many shingles, make."""
+    return F.ceil(F.greatest(n / FAMILY, shingles / FAMILY_SHINGLES)).cast("int")
+
+
+def _meetings(families: DataFrame) -> DataFrame:
+    """``key, task``: where each document of ``key, family, component, n_shingles`` is compared, as a
+    struct of ``family, i, j``. A family of one block shares a task with others. Of a larger one, the
+    blocks of its largest component are one thing already: they meet the blocks of the rest, and those
+    also each other. So a family whose rest is one block moves twice its rows, however large it is."""
+    parts = families.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    sizes = parts.groupBy("family").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.max(F.struct("n", "s", "component")).alias("main"))
+    rest = _blocks(F.col("n") - F.col("main.n"), F.col("s") - F.col("main.s"))
+    sizes = sizes.select("family", "n", "s", "main.component", _blocks(F.col("n"), F.col("s")).alias("blocks"), _blocks(F.col("main.n"), F.col("main.s")).alias("mains"), rest.alias("rests"))
+    sizes = materialized(sizes.withColumnRenamed("component", "main"), "families")
     small = sizes.where("blocks = 1").agg(F.sum("n"), F.sum("s")).first()
     bins = max(1, -(-(small[0] or 0) // FAMILY), -(-(small[1] or 0) // FAMILY_SHINGLES))
-    rows = lookup_join(rows, sizes.select("family", "blocks"), "family", "inner")
-    own = F.pmod(F.xxhash64("key"), "blocks").cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
-    # Two blocks meet in their pair; a block alone would only repeat that.
-    pairs = F.filter(pairs, lambda p: p["i"] < p["j"])
-    alone = F.array(F.struct(F.lit(-1).alias("i"), F.pmod(F.xxhash64("family"), F.lit(bins)).cast("int").alias("j")))
-    rows = rows.withColumn("task", F.explode(F.when(F.col("blocks") == 1, alone).otherwise(pairs)))
-    rows = rows.select(F.when(F.col("blocks") == 1, -1).otherwise(F.col("family")).alias("family"), "task.i", "task.j", "key", "shingles")
+    rows = lookup_join(families, sizes.select("family", "main", "blocks", "mains", "rests"), "family", "inner")
+
+    def tasks(first: Column, count: Column, meet) -> Column:
+        return F.when(count > 0, F.transform(F.sequence(first, first + count - 1), meet)).otherwise(F.array().cast("array<struct<family:bigint,i:int,j:int>>"))
+
+    def task(i: Column, j: Column) -> Column:
+        return F.struct(F.col("family").alias("family"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+
+    zero, hashed = F.lit(0), F.xxhash64("key")
+    alone = F.array(F.struct(F.lit(-1).cast("long").alias("family"), F.lit(-1).alias("i"), F.pmod(F.xxhash64("family"), F.lit(bins)).cast("int").alias("j")))
+    in_main, in_rest = F.pmod(hashed, "mains").cast("int"), F.pmod(hashed, F.greatest("rests", F.lit(1))).cast("int")
+    of_main = tasks(zero, F.col("rests"), lambda k: task(k, F.col("rests") + in_main))
+    with_rest = F.filter(tasks(zero, F.col("rests"), lambda k: task(F.least(k, in_rest), F.greatest(k, in_rest))), lambda t: t["i"] < t["j"])
+    with_main = tasks(F.col("rests"), F.col("mains"), lambda k: task(in_rest, k))
+    meets = F.when(F.col("blocks") == 1, alone).when(F.col("component") == F.col("main"), of_main).otherwise(F.concat(with_rest, with_main))
+    return rows.select("key", meets.alias("tasks"))
+
+
+def _within_families(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: links among the documents of each family (``key, family, component, n_shingles``)
+    between different components, as stars per task."""
+    rows = lookup_join(materialized(_meetings(families), "meetings"), sets.select("key", "shingles"), "key", "inner")
+    rows = rows.select("key", F.explode("tasks").alias("task"), "shingles").select("task.family", "task.i", "task.j", "key", "shingles")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         a, b = _linked(frame["key"].to_numpy(), [np.asarray(s) for s in frame["shingles"]], percent)
@@ -402,39 +433,55 @@ def near_duplicates(
 
     Two documents are linked when their shingle sets have ``100 * intersection >= percent * union``;
     ``component_id`` is the smallest key reachable by links, ``kept`` whether that is the row's own.
-    Documents without words, and null texts, have no shingles and are linked with nothing. Keys are
-    whole numbers; a row without key has no component and is kept. Rows that share a key are one
-    document of several texts. Other columns are not read.
+    Rows without words, and null texts, have no shingles and are linked with nothing, their component
+    is their key. Keys are whole numbers; a row without key has no component and is kept. Rows that
+    share a key are one document of several texts: links of any of them are links of the document.
+    Other columns are not read.
     """
     threshold = percent / 100
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     marks = materialized(_marks(rows, words), "marks")
     known = marks.where("key is not null and print is not null")
-    classes = known.groupBy("print").agg(F.min(F.struct("key", "n_shingles", "sig")).alias("m"))
-    classes = materialized(classes.select("print", F.col("m.key").alias("rep"), "m.n_shingles", "m.sig"), "classes")
+    classes = known.groupBy("print").agg(F.min("key").alias("least"), F.min(F.struct("n_shingles", "sig")).alias("m"))
+    # Numbers name the sets: no two share one, as keys or shorter fingerprints might.
+    classes = materialized(classes.select("print", F.monotonically_increasing_id().alias("rep"), "least", "m.n_shingles", "m.sig"), "classes")
+    placed = lookup_join(marks.select("key", "n_shingles", "print"), classes.select("print", "rep", "least"), "print")
+    placed = materialized(placed.select("key", "n_shingles", "rep", "least"), "placed")
 
     trees = classes.select(F.col("rep").alias("key"), F.posexplode("sig").alias("tree", "bits"))
     # Everything that has a partner at all has one next to it.
     depths = _depths(classes.count())
     pairs = materialized(_ordered(_neighbours(trees, depths[0])), "pairs")
-    some = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    some = materialized(some, "candidates")
+    some = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    some = materialized(lookup_join(classes, some, "rep", "left_semi"), "candidates")
     near = materialized(_near(pairs, classes, threshold), "near")
-    sets = materialized(_sets(lookup_join(rows, some, "key", "left_semi"), words).dropDuplicates(["key"]), "sets")
-    links = materialized(_confirmed(near, sets, percent), "links")
+    sets = _sets(lookup_join(rows, some.select(F.col("least").alias("key")).distinct(), "key", "left_semi"), words)
+    # One row a set on both sides: no key of this join is hot.
+    sets = sets.where("print is not null").dropDuplicates(["print"]).join(some.select("print", F.col("rep").alias("key")), "print")
+    sets = materialized(sets.select("key", "shingles"), "sets")
+    links = materialized(_confirmed(near, sets, percent).unionByName(_same_key(placed)), "links")
     joined = components(links)
 
-    grown = lookup_join(classes.select(F.col("rep").alias("key"), "sig"), some, "key", "left_semi")
-    grown = lookup_join(grown, joined.toDF("key", "component"), "key")
-    grown = grown.select("key", F.coalesce("component", "key").alias("component"), F.posexplode("sig").alias("tree", "bits"))
-    cells = _cells(materialized(grown, "forest"), depths, region, sets, _further(percent))
-    families = materialized(components(_across(cells, classes, threshold)), "members")
+    grown = lookup_join(some.select(F.col("rep").alias("key"), "n_shingles", "sig"), joined.toDF("key", "component"), "key")
+    grown = materialized(grown.withColumn("component", F.coalesce("component", "key")), "grown")
+    forest = grown.select("key", "component", F.posexplode("sig").alias("tree", "bits"))
+    cells = _cells(materialized(forest, "forest"), depths, region, sets, _further(percent))
+    families = materialized(components(_across(cells, classes, threshold)).toDF("key", "family"), "members")
+    families = lookup_join(grown.select("key", "component", "n_shingles"), families, "key", "inner")
     more = materialized(_within_families(families, sets, percent), "more")
-    joined = materialized(components(links.unionByName(more)), "components")
+    joined = materialized(components(links.unionByName(more)).toDF("rep", "component"), "components")
 
-    of_class = lookup_join(classes.select("print", "rep"), joined.toDF("rep", "component"), "rep")
-    of_class = of_class.select("print", F.coalesce("component", "rep").alias("component"))
-    found = lookup_join(marks.select("key", "n_shingles", "print"), of_class, "print")
-    component = F.when(F.col("key").isNotNull(), F.coalesce("component", "key"))
+    least = lookup_join(joined, classes.select("rep", "least"), "rep", "inner").groupBy("component").agg(F.min("least").alias("smallest"))
+    named = materialized(lookup_join(joined, least, "component", "inner").select("rep", "smallest"), "named")
+    found = lookup_join(placed, named, "rep")
+    component = F.when(F.col("key").isNotNull(), F.coalesce("smallest", "least", "key"))
     kept = F.coalesce(F.col("key") == component, F.lit(True))
     return found.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def _same_key(placed: DataFrame) -> DataFrame:
+    """``a, b``: the sets of a key that has several, as a star."""
+    held = placed.where("key is not null and rep is not null")
+    several = held.groupBy("key").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b <> last").select("key", "b")
+    several = materialized(several, "several")
+    return lookup_join(held.select("key", F.col("rep").alias("a")), several, "key", "inner").where("a <> b").select("a", "b").distinct()

@@ -81,6 +81,33 @@ def test_forest_null_keys_repeats_and_nothing(spark):
     assert minhash_forest.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_forest_texts_that_share_a_key(spark):
+    # One text of 5 is near 1, another near 7, a third like nothing; 9 and 3 share no text but a key's.
+    a, b, c = prose(1, 120), prose(2, 120), prose(3, 120)
+    rows = [(1, a), (5, changed(a, 1, 1)), (5, changed(b, 2, 1)), (5, prose(9, 90)), (7, b), (9, c), (9, prose(4, 80)), (3, prose(4, 80)), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for shuffled in (docs, docs.repartition(5, "text")):
+        got = {(r.doc_id, r.n_shingles): r.component_id for r in minhash_forest.near_duplicates(shuffled).collect()}
+        assert {k: v for k, v in got.items() if k != (5, 0)} == {(1, 116): 1, (5, 116): 1, (5, 86): 1, (7, 116): 1, (9, 116): 3, (9, 76): 3, (3, 76): 3}
+        assert got[5, 0] == 5
+
+
+def test_meetings_cover_all_pairs_of_components_and_grow_with_the_family(spark, monkeypatch):
+    monkeypatch.setattr(minhash_forest, "FAMILY", 8)
+    # Families: a large component and few others; nothing but single documents; one block.
+    rows = [(i, 1, 0 if i < 400 else i, 10) for i in range(406)] + [(1000 + i, 2, 1000 + i, 10) for i in range(40)] + [(2000 + i, 3, 2000 + i % 2, 10) for i in range(6)]
+    families = spark.createDataFrame(rows, "key bigint, family bigint, component bigint, n_shingles bigint")
+    held, moved = {}, {}
+    for r in minhash_forest._meetings(families).collect():
+        for t in r.tasks:
+            held.setdefault(tuple(t), set()).add(r.key)
+        moved[r.key // 1000] = moved.get(r.key // 1000, 0) + len(r.tasks)
+    met = {(a, b) for keys in held.values() for a in keys for b in keys}
+    family, component = {r[0]: r[1] for r in rows}, {r[0]: r[2] for r in rows}
+    assert all((a, b) in met for a in family for b in family if family[a] == family[b] and component[a] != component[b])
+    assert max(map(len, held.values())) < 50 and moved[0] <= 2 * 406 and moved[2] == 6
+
+
 def test_prefixes_grow_with_the_table():
     assert minhash_forest._depths(0) == minhash_forest._depths(1) == minhash_forest._depths(1 << 24) == (4, 6, 8)
     assert minhash_forest._depths((1 << 24) + 1) == (5, 6, 8) and minhash_forest._depths(10**10) == (6, 8)
