@@ -455,7 +455,9 @@ def near_duplicates(
     some = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
     some = materialized(lookup_join(classes, some, "rep", "left_semi"), "candidates")
     near = materialized(_near(pairs, classes, threshold), "near")
-    sets = _sets(lookup_join(rows, some.select(F.col("least").alias("key")).distinct(), "key", "left_semi"), words)
+    # Keys alone, written first: while they are few, the texts need not move for them.
+    wanted = materialized(some.select(F.col("least").alias("key")).distinct(), "wanted")
+    sets = _sets(lookup_join(rows, wanted, "key", "left_semi"), words)
     # One row a set on both sides: no key of this join is hot.
     sets = sets.where("print is not null").dropDuplicates(["print"]).join(some.select("print", F.col("rep").alias("key")), "print")
     sets = materialized(sets.select("key", "shingles"), "sets")
