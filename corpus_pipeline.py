@@ -36,10 +36,12 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates, the one with the smallest id. Texts without
-    words are nobody's duplicates; rows without id have none to be compared by, and stay."""
+    words are nobody's duplicates; rows without id have none to be compared by, and stay. Rows that
+    share an id are one document and stay or go together."""
     session(spark)
     gone = minhash_forest.near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id").distinct()
-    return lookup_join(docs, gone, "doc_id", "left_anti").select(docs.columns)
+    # Written first: while they are few, the texts need not move for them.
+    return lookup_join(docs, materialized(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
