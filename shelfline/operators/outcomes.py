@@ -141,6 +141,30 @@ def apply_export_outcome(
     )
 
 
+def unfinished_exports(
+    stage_results: DataFrame, export_log: DataFrame, device: DataFrame, as_of: str, patience: str = "INTERVAL 1 DAY"
+) -> DataFrame:
+    """Exports with planned stages that neither failed nor have an answer for each, those without any
+    answer too: ``exp_id, exp_creator, exp_site, exp_dt, answered, missing, expired``.
+
+    ``answered`` and ``missing`` are stage masks. ``expired`` says that the export began ``patience``
+    ago or earlier; one that began at an unknown time does not expire.
+    """
+    judged = _judged_stages(stage_results, export_log, device).groupBy("exp_id").agg(
+        F.bit_or("stage").alias("_done"), F.bool_or("failed").alias("_failed")
+    )
+    answered = F.coalesce("_done", F.lit(0)).cast("int")
+    until = F.lit(as_of).cast("timestamp_ntz") - F.expr(patience)
+    return (
+        export_log.select("exp_id", "exp_creator", "exp_site", "exp_dt", mask_bits("exp_mod").alias("_mask"))
+        .join(judged, "exp_id", "left")
+        .withColumn("answered", answered)
+        .withColumn("missing", F.col("_mask").bitwiseAND(F.bitwise_not(F.col("answered"))))
+        .where((F.col("missing") != 0) & ~F.coalesce("_failed", F.lit(False)))
+        .select("exp_id", "exp_creator", "exp_site", "exp_dt", "answered", "missing", F.coalesce(F.col("exp_dt") <= until, F.lit(False)).alias("expired"))
+    )
+
+
 def apply_batch_outcome(
     batch_results: DataFrame,
     export_batch: DataFrame,

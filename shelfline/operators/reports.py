@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions import constants as C
@@ -16,7 +16,8 @@ from shelfline.functions.text import full_mod_name, mod_number, trailing_number
 from shelfline.operators.lookups import current
 from shelfline.operators.stock import computed_status, expected_label
 from shelfline.plans.latest import latest_per_key
-from shelfline.plans.lookup import lookup_join
+from shelfline.plans.lookup import fresh_name, lookup_join
+from shelfline.plans.ordinals import SLICE, SLICE_BITS, with_slice
 
 
 def switched_off(site_device: DataFrame, device: DataFrame) -> DataFrame:
@@ -228,18 +229,61 @@ def unbilled_order_items(
     )
 
 
+def _matching_log(audit_log: DataFrame, pattern: str) -> DataFrame:
+    """Log rows whose description matches, by the item they name."""
+    return audit_log.where(F.col("descript").like(pattern)).select(
+        F.col("id").alias("log_id"), "descript", "operation", F.col("dt").alias("log_dt"), F.col("num").try_cast("long").alias("ks")
+    )
+
+
 def log_with_changes(audit_log: DataFrame, stock_change: DataFrame, pattern: str) -> DataFrame:
     """Log rows whose description matches, each with the changes of its item, in no set order: the
-    pairs are the report, and whoever shows a part of it sorts that part.
+    pairs are the report, and whoever shows a part of it sorts that part. :func:`log_groups` says the
+    same without pairs, :func:`log_with_newest_changes` shows the newest of them in order.
 
     The log is filtered before it is joined; rows whose number is not a number match nothing.
     """
-    log = audit_log.where(F.col("descript").like(pattern)).select(
-        F.col("id").alias("log_id"), "descript", "operation", F.col("dt").alias("log_dt"), F.col("num").try_cast("long").alias("ks")
-    )
+    log = _matching_log(audit_log, pattern)
     return stock_change.join(log, "ks").select("log_id", "descript", "operation", "log_dt", *stock_change.columns)
 
 
+def log_groups(audit_log: DataFrame, stock_change: DataFrame, pattern: str, slice_bits: int = SLICE_BITS) -> DataFrame:
+    """The groups of :func:`log_with_changes`: ``ks, kind, id, slice, n_log, n_changes``, a row for
+    each ``log`` row and each ``change`` that has a counterpart.
+
+    Every log row of an item goes with every change of it: ``n_log * n_changes`` pairs, which the
+    members say without being multiplied. ``slice`` cuts long groups by id, so that a reader
+    who wants the pairs of an item can take them slice by slice. A member without item is in no group.
+    """
+    log = _matching_log(audit_log, pattern).select("ks", F.lit("log").alias("kind"), F.col("log_id").cast("long").alias("id"))
+    changes = stock_change.select(F.col("ks").cast("long").alias("ks"), F.lit("change").alias("kind"), F.col("id").cast("long").alias("id"))
+    members = log.unionByName(changes).where("ks IS NOT NULL")
+    sizes = members.groupBy("ks").agg(
+        F.count_if(F.col("kind") == "log").alias("n_log"), F.count_if(F.col("kind") == "change").alias("n_changes")
+    )
+    sliced = with_slice(members, "id", slice_bits).withColumnRenamed(SLICE, "slice")
+    found = lookup_join(sliced, sizes.where("n_log > 0 AND n_changes > 0"), "ks", "inner")
+    return found.select("ks", "kind", "id", "slice", "n_log", "n_changes")
+
+
+def log_with_newest_changes(audit_log: DataFrame, stock_change: DataFrame, pattern: str, newest: int = 10) -> DataFrame:
+    """Matching log rows, each with the ``newest`` changes of its item: ``log_id, descript, operation,
+    log_dt, position`` and the columns of ``stock_change``. ``position`` 1 is the newest; a change
+    without time is older than all others, the higher id wins a tie.
+
+    Every task keeps the first ``newest`` of an item before rows are shuffled, so an item with
+    very many changes sends few; what its log rows meet is one small array.
+    """
+    log = _matching_log(audit_log, pattern)
+    by_age = Window.partitionBy("ks").orderBy(F.desc_nulls_last("dt_change"), F.desc("id"))
+    place = fresh_name("_place", stock_change)
+    ranked = stock_change.where("ks IS NOT NULL").withColumn(place, F.row_number().over(by_age)).where(F.col(place) <= newest)
+    rows = F.array_sort(F.collect_list(F.struct(F.col(place).alias("position"), F.struct(*stock_change.columns).alias("change"))))
+    shown = ranked.groupBy(F.col("ks").cast("long").alias("ks")).agg(rows.alias("_rows"))
+    listed = lookup_join(log, shown, "ks", "inner").select("log_id", "descript", "operation", "log_dt", F.inline("_rows"))
+    return listed.select("log_id", "descript", "operation", "log_dt", "position", "change.*")
+
+
 def sync_report(
     inactive: DataFrame, delivery: DataFrame, price: DataFrame, stock_change: DataFrame
 ) -> DataFrame:

@@ -317,6 +317,22 @@ FROM timed""",
     "route_notifications": f"WITH {ROUTED}",
     "stream_change_feed": "SELECT op, COALESCE(new_invoice_no, old_invoice_no) AS seq, old_invoice_no, new_invoice_no FROM payment_change",
     "stream_route_notifications": f"WITH {ROUTED}",
+    "snapshot_changes": """WITH paired AS (
+    SELECT COALESCE(a.payment_id, b.payment_id) AS payment_id, b.payment_id IS NULL AS came, a.payment_id IS NULL AS went,
+           b.invoice_no AS old_invoice_no, a.invoice_no AS new_invoice_no, b.amount AS old_amount, a.amount AS new_amount
+    FROM payment_before b FULL JOIN payment_after a ON a.payment_id = b.payment_id)
+SELECT CASE WHEN came THEN 'I' WHEN went THEN 'D' ELSE 'U' END AS op, CAST(1 AS BIGINT) AS seq, payment_id, old_invoice_no, new_invoice_no, old_amount, new_amount
+FROM paired WHERE came OR went OR old_invoice_no IS DISTINCT FROM new_invoice_no OR old_amount IS DISTINCT FROM new_amount""",
+    "snapshot_rejects": """WITH b AS (SELECT invoice_no, COUNT(*) AS n FROM payment_before GROUP BY invoice_no),
+a AS (SELECT invoice_no, COUNT(*) AS n FROM payment_after GROUP BY invoice_no)
+SELECT invoice_no, COALESCE(b.n, 0) AS rows_before, COALESCE(a.n, 0) AS rows_after, 'repeated key' AS reason
+FROM b FULL JOIN a USING (invoice_no) WHERE a.n > 1 OR b.n > 1""",
+    "affected_by_snapshots": """WITH differing AS (
+    SELECT payment_id FROM (SELECT * FROM payment_before EXCEPT SELECT * FROM payment_after) UNION
+    SELECT payment_id FROM (SELECT * FROM payment_after EXCEPT SELECT * FROM payment_before)),
+invoices AS (SELECT invoice_no FROM payment_after WHERE payment_id IN (SELECT payment_id FROM differing) UNION
+             SELECT invoice_no FROM payment_before WHERE payment_id IN (SELECT payment_id FROM differing))
+SELECT DISTINCT ks FROM invoice_line WHERE invoice_no IN (SELECT invoice_no FROM invoices)""",
     "affected_by_payments": """SELECT DISTINCT l.ks FROM invoice_line l JOIN payment_change c
   ON l.invoice_no = CASE WHEN c.op = 'D' THEN c.old_invoice_no ELSE c.new_invoice_no END OR (c.op = 'U' AND c.new_invoice_no <> c.old_invoice_no AND l.invoice_no = c.old_invoice_no)""",
     "affected_by_payments_indexed": """SELECT DISTINCT l.ks FROM invoice_line l JOIN payment_change c
@@ -375,6 +391,13 @@ FROM device_change
 WHERE old_version_num > 0 AND (old_ie_xml_id IS NOT NULL OR old_ip_prop674 IS NOT NULL OR old_ip_prop675 IS NOT NULL)
   AND (old_ie_xml_id IS DISTINCT FROM new_ie_xml_id OR old_ip_prop674 IS DISTINCT FROM new_ip_prop674 OR old_ip_prop675 IS DISTINCT FROM new_ip_prop675)""",
     "apply_export_outcome": f"WITH {STAGES} SELECT exp_id, exp_creator, ok, exp_csv_status, exp_result, exp_finish_dt FROM export_outcome",
+    "unfinished_exports": f"""WITH {STAGES},
+reply AS (SELECT exp_id, CAST(SUM(DISTINCT stage) AS INTEGER) AS answered, COUNT(complaint) > 0 AS failed FROM verdict GROUP BY exp_id)
+SELECT l.exp_id, l.exp_creator, l.exp_site, l.exp_dt, COALESCE(r.answered, 0) AS answered,
+       CAST((l.exp_mod & 7) - COALESCE(r.answered, 0) AS INTEGER) AS missing,
+       COALESCE(l.exp_dt <= TIMESTAMP '1997-12-31 00:00:00', FALSE) AS expired
+FROM export_log l LEFT JOIN reply r ON r.exp_id = l.exp_id
+WHERE NOT COALESCE(r.failed, FALSE) AND (l.exp_mod & 7) <> COALESCE(r.answered, 0)""",
     "apply_export_outcome_devices": f"""WITH {STAGES},
 written AS (SELECT v.* FROM verdict v WHERE v.exp_id IN (SELECT exp_id FROM export_outcome WHERE ok)),
 changed AS (
@@ -452,6 +475,15 @@ items AS (SELECT i.order_no, i.dt_insert, split_part(i.item_name, ':', 1) AS mod
 SELECT i.order_no, i.dt_insert, i.model, i.site_mod_id, s.mod_id FROM items i LEFT JOIN synced s ON s.mod_id = i.site_mod_id ORDER BY i.order_no""",
     "log_with_changes": """SELECT l.id AS log_id, l.descript, l.operation, l.dt AS log_dt, s.id, s.ks, s.dt_change, s.change_status, s.time_delivery, s.qnt
 FROM log_entry l JOIN stock_change s ON TRY_CAST(l.num AS BIGINT) = s.ks WHERE l.descript LIKE '%TX-40%'""",
+    "log_groups": """WITH log AS (SELECT TRY_CAST(num AS BIGINT) AS ks, id FROM log_entry WHERE descript LIKE '%TX-40%'),
+both_sides AS (SELECT l.ks, l.n AS n_log, s.n AS n_changes FROM (SELECT ks, COUNT(*) AS n FROM log GROUP BY ks) l
+               JOIN (SELECT ks, COUNT(*) AS n FROM stock_change GROUP BY ks) s ON s.ks = l.ks)
+SELECT g.ks, 'log' AS kind, l.id, CAST(FLOOR(l.id / 64) AS BIGINT) AS slice, n_log, n_changes FROM both_sides g JOIN log l ON l.ks = g.ks
+UNION ALL SELECT g.ks, 'change', s.id, CAST(FLOOR(s.id / 64) AS BIGINT), n_log, n_changes FROM both_sides g JOIN stock_change s ON s.ks = g.ks""",
+    "log_with_newest_changes": """SELECT l.id AS log_id, l.descript, l.operation, l.dt AS log_dt, CAST(s.position AS INTEGER) AS position,
+       s.id, s.ks, s.dt_change, s.change_status, s.time_delivery, s.qnt
+FROM log_entry l JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY ks ORDER BY dt_change DESC NULLS LAST, id DESC) AS position FROM stock_change) s
+  ON TRY_CAST(l.num AS BIGINT) = s.ks AND s.position <= 3 WHERE l.descript LIKE '%TX-40%'""",
     "sync_report": f"""WITH {DELIVERY}, {PRICES}
 SELECT 'inactive' AS kind, CAST(ie_xml_id AS VARCHAR) AS key, 'active' AS expected, 'switched off' AS actual FROM off
 UNION ALL SELECT 'delivery', CAST(ks AS VARCHAR), in_base, on_site FROM delivery

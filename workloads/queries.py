@@ -11,7 +11,7 @@ from shelfline import configure
 from shelfline.functions import constants as C
 from shelfline.functions.text import format_payload
 from shelfline.operators import changes, delivery, export, lookups, migrate, outcomes, propagate, quality, reports, stock
-from shelfline.sources import caret_csv, change_feed, folders, logs, notifications
+from shelfline.sources import caret_csv, change_feed, folders, logs, notifications, snapshots
 from shelfline.sources.tables import SOURCE_NAMES, from_source, load_domain
 from shelfline.plans import buckets
 from shelfline.streaming import dedupe, notify, recompute, sinks, stateful
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Parameters used with the views in place of the production defaults.
 SUPPLIERS = (3, 7)
 AS_OF = "2024-02-01 00:00:00"
+UNFINISHED_AS_OF = "1998-01-01 00:00:00"
 ORDERS_AS_OF = "2001-07-02 00:00:00"
 LABELS = C.Labels(in_stock="In stock", in_stock_report="In stock", expected="Expected ", undated="to stock")
 FIRMS = C.FirmRules(special="FIRM_S", dealer="FIRM_D", flagged="FIRM_V", default="FIRM_E", renamed="FIRM_OLD", special_customer=5)
@@ -307,6 +308,32 @@ def affected_by_payments(d):
     return propagate.affected_by_payments(_payment_changes(d.payment_change), d.invoice_line)
 
 
+def _snapshot_changes(d):
+    return snapshots.row_changes(d.payment_before, d.payment_after, "payment_id", seq=1)
+
+
+@query
+def snapshot_changes(d):
+    """Changes of payments between two snapshots."""
+    return _snapshot_changes(d).select(
+        "op", "seq", F.coalesce("after.payment_id", "before.payment_id").alias("payment_id"),
+        F.col("before.invoice_no").alias("old_invoice_no"), F.col("after.invoice_no").alias("new_invoice_no"),
+        F.col("before.amount").alias("old_amount"), F.col("after.amount").alias("new_amount"),
+    )
+
+
+@query
+def snapshot_rejects(d):
+    """Invoices do not name a payment: after some moved, one invoice has two."""
+    return snapshots.snapshot_rejects(d.payment_before, d.payment_after, "invoice_no")
+
+
+@query
+def affected_by_snapshots(d):
+    """Items of the payments that differ between two snapshots."""
+    return propagate.affected_by_payments(_snapshot_changes(d), d.invoice_line)
+
+
 @query
 def affected_by_reserves(d):
     return propagate.affected_by_reserves(_reserve_changes(d.reserve_change))
@@ -429,6 +456,11 @@ def _export_outcome(d):
     return outcomes.apply_export_outcome(d.stage_result, d.export_log, d.device, AS_OF)
 
 
+@query
+def unfinished_exports(d):
+    return outcomes.unfinished_exports(d.stage_result, d.export_log, d.device, UNFINISHED_AS_OF)
+
+
 @query
 def apply_export_outcome(d):
     return _export_outcome(d).exports
@@ -566,6 +598,17 @@ def log_with_changes(d):
     return reports.log_with_changes(d.log_entry, shown, LOG_PATTERN)
 
 
+@query
+def log_groups(d):
+    return reports.log_groups(d.log_entry, d.stock_change, LOG_PATTERN, slice_bits=6)
+
+
+@query
+def log_with_newest_changes(d):
+    shown = d.stock_change.select("id", "ks", "dt_change", "change_status", "time_delivery", "qnt")
+    return reports.log_with_newest_changes(d.log_entry, shown, LOG_PATTERN, newest=3)
+
+
 @query
 def sync_report(d):
     """The catalogue is made once and feeds both comparisons."""

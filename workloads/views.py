@@ -162,6 +162,13 @@ SELECT p_partkey AS ks, CASE p_partkey % 4 WHEN 3 THEN NULL ELSE p_partkey % 4 E
 SELECT o_orderkey AS seq, CASE o_orderkey % 3 WHEN 0 THEN 'I' WHEN 1 THEN 'D' ELSE 'U' END AS op, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey END AS old_invoice_no,
        CASE WHEN o_orderkey % 3 = 1 THEN NULL WHEN o_orderkey % 3 = 2 AND o_orderkey % 4 = 0 THEN o_orderkey + 1 ELSE o_orderkey END AS new_invoice_no
 FROM {orders}""",
+    "payment_before": """
+SELECT o_orderkey AS payment_id, o_orderkey AS invoice_no, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS amount
+FROM {orders} WHERE o_orderpriority <> '1-URGENT'""",
+    "payment_after": """
+SELECT o_orderkey AS payment_id, CASE WHEN o_orderpriority = '2-HIGH' AND o_orderkey % 4 = 0 THEN o_orderkey + 1 ELSE o_orderkey END AS invoice_no,
+       CASE WHEN o_orderstatus = 'P' AND o_orderpriority <> '4-NOT SPECIFIED' THEN NULL ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS amount
+FROM {orders} WHERE o_orderpriority <> '5-LOW'""",
     "reserve_change": """
 SELECT l_orderkey * 10 + l_linenumber AS seq, CASE l_linenumber % 3 WHEN 0 THEN 'I' WHEN 1 THEN 'D' ELSE 'U' END AS op, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_partkey END AS old_ks,
        CASE WHEN l_linenumber % 3 = 1 THEN NULL ELSE l_partkey END AS new_ks, l_linenumber <> 5 AS touched
