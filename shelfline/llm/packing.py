@@ -27,16 +27,16 @@ SEQUENCE = 1024
 PACK = 16_384
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", most: int = SEQUENCE, remembered: int | None = None) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", most: int = SEQUENCE, remembered: int | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``key, piece, start, length, ids_crc32``: every row's ids and then ``end_id``, cut into
     pieces of ``most`` ids of which only the first may be shorter. A null text is an empty one. ``remembered``
-    bounds the pieces a worker keeps encoded."""
+    bounds the pieces a worker keeps encoded, ``batch_bytes`` the text it encodes at a time."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer, remembered)
         end = np.array([end_id], "<u4")
-        for batch in by_bytes(batches, "text", BATCH_BYTES):
+        for batch in by_bytes(batches, "text", batch_bytes):
             ids, ends = coder.encode(batch.column("text"))
             ids, begin = ids.astype("<u4", copy=False), 0
             of, piece, start, length, crc = [], [], [], [], []
@@ -129,10 +129,10 @@ def pack(
     return dealt.groupBy("_pack").applyInPandas(fill, f"{ddl}, sequence_id bigint, offset bigint")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", most: int = SEQUENCE, remembered: int | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", most: int = SEQUENCE, remembered: int | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``key, piece, start, length, ids_crc32, sequence_id, offset`` of every document of ``docs``.
 
     Null and empty texts are a piece of one token, the end. Null keys and repeated rows are packed
     like others, an empty table gives an empty result, other columns are not read.
     """
-    return pack(token_pieces(docs, tokenizer, end_id, key, text, most, remembered), most).withColumnRenamed("key", key)
+    return pack(token_pieces(docs, tokenizer, end_id, key, text, most, remembered, batch_bytes), most).withColumnRenamed("key", key)
