@@ -16,6 +16,9 @@ from shelfline.llm.common import materialized, table
 from shelfline.llm.queries import BYTE_BPE, session, tokenizer
 from shelfline.plans.lookup import fresh_name, lookup_join
 
+#: Bytes of text that a task of the last stage hands over and encodes at a time.
+PACKED_BYTES = 2 << 20
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model passes; it learns from the labels of the raw table. Null and
@@ -57,9 +60,10 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequence and place; a null or empty text is one of its end
-    alone. Fewer pieces are remembered than by the query alone: the other stages share the memory."""
-    session(spark)
-    return packing.pack_documents(docs, tokenizer(BYTE_BPE), end_id=2, remembered=300_000)
+    alone. Fewer pieces are remembered than by the query alone, and less text is handled at a time: the
+    other stages share the memory."""
+    session(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(PACKED_BYTES))
+    return packing.pack_documents(docs, tokenizer(BYTE_BPE), end_id=2, remembered=300_000, batch_bytes=PACKED_BYTES)
 
 
 STAGES = [
