@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.constants import CARRIED_COLUMNS as CARRIED
-from shelfline.plans.lookup import lookup_join
+from shelfline.plans.lookup import growing, lookup_join
 
 
 def shared_parameters(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame:
@@ -52,7 +52,7 @@ def attribute_vectors(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame
     shared = shared_parameters(mod_param, v_from, v_to).select("dev_id", "shared")
     vector = F.array_sort(F.filter("values", lambda v: F.array_contains("shared", v["dev_param_id"])))
     return (
-        lookup_join(gathered, shared, "dev_id", "inner")
+        lookup_join(gathered, shared, "dev_id", "inner", many=True)
         .withColumn("vector", vector)
         .select(
             "dev_id", "version_num", "mod_id", F.when(F.size("vector") == F.size("shared"), F.col("vector")).alias("vector")
@@ -82,7 +82,7 @@ def match_groups(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame:
     sides = rows.where(F.col("group_key").isNotNull()).groupBy("dev_id", "group_key").agg(
         (F.min("version_num") != F.max("version_num")).alias("matched")
     )
-    found = lookup_join(rows, sides, ["dev_id", "group_key"])
+    found = lookup_join(rows, sides, ["dev_id", "group_key"], many=True)
     return found.select("dev_id", "group_key", "version_num", "mod_id", F.coalesce("matched", F.lit(False)).alias("matched"))
 
 

@@ -169,3 +169,12 @@ def test_equal_modifications_are_not_paired_out(spark):
     winners = migrate.winning_matches(df, 1, 2)
     assert winners.count() == n
     assert {r.mod_id_from for r in winners.select("mod_id_from").distinct().collect()} == {f"1-{n - 1:05d}"}
+
+
+#: Queries whose joins have two sides that grow: small files tell nothing about them.
+GROWING = ("match_groups",)
+
+
+@pytest.mark.parametrize("name", GROWING)
+def test_growing_sides_are_not_broadcast_by_a_guess(spark, name):
+    assert "Broadcast" not in initial_plan(QUERIES[name](spark, SMALL))
