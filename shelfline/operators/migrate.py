@@ -103,7 +103,7 @@ def winning_matches(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame:
     so groups of equal modifications are never paired out."""
     old, new = _sides(mod_param, v_from, v_to)
     winners = old.where(F.col("vector").isNotNull()).groupBy("dev_id", "vector").agg(F.max("mod_id_from").alias("mod_id_from"))
-    return lookup_join(new, winners, ["dev_id", "vector"], "inner").select("mod_id_from", "mod_id_to")
+    return lookup_join(new, winners, ["dev_id", "vector"], "inner", many=True).select("mod_id_from", "mod_id_to")
 
 
 def carry_prices(modification: DataFrame, matches: DataFrame, v_from: int, v_to: int) -> DataFrame:
