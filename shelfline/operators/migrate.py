@@ -94,7 +94,7 @@ def match_versions(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame:
     says the same without them; to carry values over use :func:`winning_matches`.
     """
     old, new = _sides(mod_param, v_from, v_to)
-    return old.join(new, ["dev_id", "vector"], "left").select("dev_id", "mod_id_from", "mod_id_to")
+    return old.join(growing(new), ["dev_id", "vector"], "left").select("dev_id", "mod_id_from", "mod_id_to")
 
 
 def winning_matches(mod_param: DataFrame, v_from: int, v_to: int) -> DataFrame:
