@@ -115,11 +115,11 @@ def carry_prices(modification: DataFrame, matches: DataFrame, v_from: int, v_to:
     old = modification.where(F.col("version_num") == v_from).select(
         F.col("mod_id").alias("mod_id_from"), *[F.col(c).alias(f"_{c}") for c in CARRIED]
     )
-    carried = winners.join(old, "mod_id_from").withColumnRenamed("mod_id_to", "mod_id")
+    carried = winners.join(growing(old), "mod_id_from").withColumnRenamed("mod_id_to", "mod_id")
     updated = {c: F.col(f"_{c}") for c in CARRIED} | {"mod_id_prev": F.col("mod_id_from")}
     return (
         modification.where(F.col("version_num") == v_to)
-        .join(carried, "mod_id")
+        .join(growing(carried), "mod_id")
         .withColumns(updated)
         .select(*modification.columns)
     )
