@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import constants as C
 from shelfline.functions.text import quoted
 from shelfline.operators.export import has_stage, is_new_for, mask_bits
+from shelfline.plans.lookup import growing
 
 
 class ExportOutcome(NamedTuple):
@@ -30,7 +31,8 @@ def _judged_stages(stage_results: DataFrame, export_log: DataFrame, device: Data
     """Results of planned stages with the id each returned and whether the stage failed.
 
     A stage fails with an error of copying or importing. It also has to return a number when its section or the device is new, the device stage
-    always, and the price stage also when no device stage follows.
+    always, and the price stage also when no device stage follows. Results, several an export, move
+    once: they come by export, and what groups them by it finds them in place.
     """
     exports = export_log.select(
         "exp_id", "dev_id", "exp_version_num", "exp_csv_status", "exp_creator", "exp_site", mask_bits("exp_mod").alias("mask")
@@ -47,9 +49,8 @@ def _judged_stages(stage_results: DataFrame, export_log: DataFrame, device: Data
     last_is_prices = (F.col("stage") == C.STAGE_PRICES) & ~has_stage(F.col("mask"), C.STAGE_DEVICE)
     needs_id = F.col("is_new") | (F.col("stage") == C.STAGE_DEVICE) | last_is_prices
     return (
-        stage_results.join(exports, "exp_id")
+        stage_results.join(growing(exports.join(growing(versions), ["dev_id", "exp_version_num"])), "exp_id")
         .where(has_stage(F.col("mask"), F.col("stage")))
-        .join(versions, ["dev_id", "exp_version_num"])
         .withColumn("is_new", is_new_for("stage"))
         .withColumn("returned_id", returned)
         .withColumn("faulty", F.coalesce(F.col("error"), F.lit("")) != "")
@@ -129,7 +130,7 @@ def apply_export_outcome(
         )
     )
     ids, dates = ("ie_xml_id", "ip_prop674", "ip_prop675"), ("ie_xml_id_dt", "ip_prop674_dt", "ip_prop675_dt")
-    devices = updates.join(device.select("dev_id", "version_num", *ids, *dates), ["dev_id", "version_num"])
+    devices = updates.join(growing(device.select("dev_id", "version_num", *ids, *dates)), ["dev_id", "version_num"])
     return ExportOutcome(
         exports,
         devices.select(
@@ -157,7 +158,7 @@ def unfinished_exports(
     until = F.lit(as_of).cast("timestamp_ntz") - F.expr(patience)
     return (
         export_log.select("exp_id", "exp_creator", "exp_site", "exp_dt", mask_bits("exp_mod").alias("_mask"))
-        .join(judged, "exp_id", "left")
+        .join(growing(judged), "exp_id", "left")
         .withColumn("answered", answered)
         .withColumn("missing", F.col("_mask").bitwiseAND(F.bitwise_not(F.col("answered"))))
         .where((F.col("missing") != 0) & ~F.coalesce("_failed", F.lit(False)))

@@ -172,7 +172,7 @@ def test_equal_modifications_are_not_paired_out(spark):
 
 
 #: Queries whose joins have two sides that grow: small files tell nothing about them.
-GROWING = ("match_groups", "winning_matches", "match_versions", "carry_prices")
+GROWING = ("match_groups", "winning_matches", "match_versions", "carry_prices", "unfinished_exports", "apply_export_outcome_devices")
 
 
 @pytest.mark.parametrize("name", GROWING)
