@@ -4,6 +4,7 @@ import random
 import time
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,3 +225,69 @@ def test_affected_keys_cover_what_changed(spark):
     keys = recompute.affected_items(recompute.tagged(feed_rows, "payment"), tables)
     assert moved.count() > 0
     assert moved.join(keys, "ks", "left_anti").count() == 0
+
+
+class Lists:
+    """State lists and timers of one bucket, with the calls made of them."""
+
+    def __init__(self):
+        self.calls, self.lists, self.timers = 0, {}, set()
+
+    def getListState(self, name, _):
+        handle = self
+
+        class Kept:
+            def get(self):
+                handle.calls += 1
+                return iter(handle.lists.get(name, []))
+
+            def put(self, rows):
+                handle.calls += 1
+                handle.lists[name] = rows
+
+            def clear(self):
+                handle.lists.pop(name, None)
+                handle.calls += 1
+
+        return Kept()
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+class At:
+    def __init__(self, at):
+        self.getCurrentProcessingTimeInMs = self.getExpiryTimeInMs = lambda: at
+
+
+def attempted(*attempts):
+    return iter([pd.DataFrame(attempts, columns=["id", "seq", "retry_cnt", "ok", "transient"])])
+
+
+def told(found):
+    return [r for part in found for r in part.itertuples(index=False, name=None)]
+
+
+def test_retry_state_is_called_by_bucket_not_by_change():
+    retry, handle = stateful.Retry(3, 0), Lists()
+    retry.init(handle)
+    for seq in (1, 2):
+        found = told(retry.handleInputRows((0,), attempted(*[(i, seq, 0, i % 2 == 0, True) for i in range(1000)]), At(0)))
+        assert len(found) == 1500 and {r[3] for r in found if r[0] % 2} == {seq} and handle.calls <= 2 * seq
+    assert handle.lists["open"] == [(i, 2) for i in range(1, 1000, 2)]
+
+
+def test_retry_timers_of_a_bucket_stand_for_all_of_its_changes():
+    retry, handle = stateful.Retry(3, 50), Lists()
+    retry.init(handle)
+    told(retry.handleInputRows((0,), attempted((7, 1, 0, False, True), (7, 2, 0, False, True), (8, 1, 0, False, True)), At(100)))
+    told(retry.handleInputRows((0,), attempted((9, 1, 0, False, True)), At(200)))
+    assert handle.timers == {150, 250}
+    told(retry.handleInputRows((0,), attempted((9, 2, 0, True, False), (8, 2, 0, False, False)), At(210)))
+    assert handle.timers == {150}
+    assert told(retry.handleExpiredTimer((0,), None, At(150))) == [(7, "resend", 7, 2, True)] * 2
+    assert told(retry.handleExpiredTimer((0,), None, At(250))) == []
+    assert handle.lists == {"open": [(7, 2)]}
