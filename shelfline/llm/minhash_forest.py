@@ -285,23 +285,33 @@ def _cells(trees: DataFrame, depths: tuple[int, ...], region: int, sets: DataFra
     """``cell, side, key, component, sig``: the documents to be compared with each other, no more
     than ``region`` (two blocks of it) a cell. A region is looked at only while it holds several
     components; ``side`` tells two different blocks apart and is -1 where all are compared. What is
-    in large regions goes into ``further`` trees before it is cut."""
+    in large regions goes into ``further`` trees before it is cut. Of what is cut into blocks, the
+    largest component is one thing already: a document of it is there once for each block of the rest."""
     made, rows = [], trees
     for depth in depths:
         rows = rows.withColumn("prefix", F.struct("tree", _prefix("bits", depth).alias("p")))
-        held = rows.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        held = held.where("lo <> hi").select("prefix", "n")
-        rows = lookup_join(rows, held, "prefix", "inner")
+        if depth < depths[-1]:
+            held = rows.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+            held = held.where("lo <> hi").select("prefix", "n")
+        else:
+            parts = rows.groupBy("prefix", "component").agg(F.count(F.lit(1)).alias("n"))
+            held = parts.groupBy("prefix").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main")).where("n > main.n")
+        # Written: what is near here and what is cut deeper both come from it.
+        rows = materialized(lookup_join(rows, held, "prefix", "inner"), "regions")
         cell = F.struct(F.lit(depth).alias("depth"), "prefix", F.lit(0).alias("i"), F.lit(0).alias("j"))
         made.append(rows.where(F.col("n") <= region).select(cell.alias("cell"), F.lit(-1).alias("side"), "key", "component", "tree"))
         large = rows.where(F.col("n") > region)
-        rows = large.drop("n", "prefix")
+        rows = large.drop("n", "main", "prefix")
         if further and depth == depths[0]:
             # Written first: where few regions are large, the sets need not move for them.
             members = materialized(rows.select("key", "component").distinct(), "large")
             rows = rows.unionByName(materialized(_further_trees(members, sets, further), "further"))
-    blocks = F.ceil(F.col("n") / region).cast("int")
-    cut = large.withColumn("own", F.pmod(F.xxhash64("key"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    # Blocks of the largest component come after those of the rest and meet these alone.
+    rests, mains = (F.ceil(n / region).cast("int") for n in (F.col("n") - F.col("main.n"), F.col("main.n")))
+    large, in_main, hashed = large.withColumns({"rests": rests, "mains": mains}), F.col("component") == F.col("main.component"), F.xxhash64("key")
+    own = F.when(in_main, F.col("rests") + F.pmod(hashed, "mains")).otherwise(F.pmod(hashed, "rests")).cast("int")
+    meets = F.sequence(F.lit(0), F.when(in_main, F.col("rests")).otherwise(F.col("rests") + F.col("mains")) - 1)
+    cut = large.withColumn("own", own).withColumn("other", F.explode(meets))
     cell = F.struct(F.lit(DEPTH + 1).alias("depth"), "prefix", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     side = F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int"))
     made.append(cut.select(cell.alias("cell"), side.alias("side"), "key", "component", "tree"))

@@ -236,3 +236,18 @@ def test_cross_polytope_few_rows_and_ties(spark):
     got = [(r.query_id, r["rank"], r.vec_id) for r in cross_polytope.nearest(frame, F.col("vec_id") % 100 == 0).orderBy("rank").collect()]
     assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 3)]
     assert cross_polytope.nearest(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_a_cut_region_grows_with_its_strays_not_with_its_square(spark):
+    n, strays, region = 2000, 30, 100
+    ddl = "key BIGINT, component BIGINT, tree INT, bits BIGINT"
+    trees = spark.createDataFrame([(i, i if i < strays else strays, 0, 7) for i in range(n)], ddl)
+    cells = minhash_forest._cells(trees, (4, 6, 8), region, None, 0).collect()
+    assert len(cells) <= n + strays * (n // region + 2)
+    by_cell = {}
+    for c in cells:
+        by_cell.setdefault(c.cell, []).append(c)
+    assert max(map(len, by_cell.values())) <= 4 * region
+    pairs = ((a, b) for held in by_cell.values() for a in held for b in held if a.key < b.key and a.key < strays)
+    met = {(a.key, b.key) for a, b in pairs if a.side < 0 or a.side != b.side}
+    assert met == {(a, b) for a in range(strays) for b in range(a + 1, n)}
