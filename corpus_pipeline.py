@@ -51,11 +51,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Every document as often as the mix takes it. Rows that share an id share its copies; a row
     without id stays once, and a null source is one of its own."""
     session(spark)
-    times, copy = fresh_name("copies", docs), fresh_name("copy", docs)
-    mixed = mixing.mix(docs)
-    copies = mixed.groupBy("doc_id").agg(F.max("copies").cast("int").alias(times)).where(F.col("doc_id").isNotNull() & (F.col(times) != 1))
-    rows = lookup_join(docs, materialized(copies, "copies"), "doc_id").withColumn(times, F.coalesce(times, F.lit(1)))
-    return rows.where(F.col(times) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), times))).select(docs.columns)
+    return mixing.take(docs).select(docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

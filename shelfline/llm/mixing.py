@@ -69,42 +69,68 @@ def balance(goals: DataFrame, tolerance: float = TOLERANCE, steps: int = STEPS)
     return current
 
 
-def _evened(rows: DataFrame, goals: DataFrame) -> DataFrame:
-    """``key, group, size, copies`` from ``key, group, size, least, more, may, draw``.
+def _bucket() -> Column:
+    return F.shiftrightunsigned("draw", 56)
 
-    ``more`` says who got one more copy by the draw. Where that leaves a source short (or over), its
-    shortest documents without (with) one are switched as long as their sum fits: whole sizes from
-    counts by size, the last size from counts by hash. Only counts cross the network.
+
+def _switchable() -> Column:
+    """Documents whose further copy, or its absence, may be switched for what their source is short of."""
+    fit = (F.col("size") > 0) & (F.col("size") <= F.abs("short")) & (F.col("more") == (F.col("short") < 0))
+    return fit & ((F.col("short") < 0) | F.col("may"))
+
+
+def _drawn(rows: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
+    """``rows`` (``key, group, size`` and any others) with the columns of ``sources``, ``least`` copies,
+    ``more`` (one more by the draw), ``may`` (it is allowed one more) and ``draw``."""
+    rated = lookup_join(rows.withColumn("gk", F.struct(F.col("group").alias("g"))), sources, "gk")
+    rate = F.least(F.exp("dual"), F.lit(float(cap)))
+    rate = F.when(F.col("target") > 0, rate).otherwise(0.0)
+    unit = F.shiftrightunsigned("draw", 11) / F.lit(float(1 << 53))
+    rated = rated.withColumn("rate", rate).withColumn("draw", F.xxhash64("key", "size")).withColumn("least", F.floor("rate"))
+    return rated.withColumn("more", unit < F.col("rate") - F.col("least")).withColumn("may", F.col("least") + 1 <= cap)
+
+
+def planned(
+    rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP
+) -> DataFrame:
+    """What decides about copies, one row per source of ``rows`` (``key, group, size``): ``gk,
+    source_size, target, dual, short, last_size, edge``.
+
+    Where the draw leaves a source ``short`` (or over), its shortest documents without (with) one more
+    copy are switched as long as their sum fits: whole sizes from counts by size, the last size from
+    counts by hash, up to ``edge``. Only counts cross the network.
     """
+    sizes = rows.groupBy("group").agg(F.sum("size").alias("source_size"))
+    goals = balance(targets(sizes, weights, share, cap))
+    sources = goals.select(F.struct(F.col("group").alias("g")).alias("gk"), "source_size", "target", "dual")
     got = F.sum(F.col("size") * (F.col("least") + F.col("more").cast("long")))
-    short = rows.groupBy("group").agg(got.alias("_got"))
-    short = short.join(goals, short["group"].eqNullSafe(goals["group"])).select(
-        F.struct(short["group"].alias("g")).alias("gk"), (F.col("target") - F.col("_got")).alias("short")
-    )
-    short = materialized(short, "shortfall")
-    keyed = rows.withColumn("gk", F.struct(F.col("group").alias("g")))
-    told = lookup_join(keyed, short, "gk")
-    fit = (F.col("size") > 0) & (F.col("size") <= F.abs("short")) & (F.col("more") == (F.col("short") < 0))
-    switchable = fit & ((F.col("short") < 0) | F.col("may"))
-    counted = told.where(switchable).groupBy("gk", "size").agg(F.count(F.lit(1)).alias("n"), F.first("short").alias("short"))
+    short = _drawn(rows, sources, cap).groupBy("gk").agg((F.first("target") - got).alias("short"))
+    sources = materialized(lookup_join(sources, short, "gk"), "shortfall")
+    told = _drawn(rows, sources, cap)
+    counted = told.where(_switchable()).groupBy("gk", "size").agg(F.count(F.lit(1)).alias("n"), F.first("short").alias("short"))
     upto = Window.partitionBy("gk").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     at = counted.withColumn("_before", F.coalesce(F.sum(F.col("size") * F.col("n")).over(upto), F.lit(0)))
     over = at.where(F.col("_before") + F.col("size") * F.col("n") > F.abs("short"))
     last = over.groupBy("gk").agg(F.min(F.struct("size", "_before", "short")).alias("l"))
     last = last.select("gk", F.col("l.size").alias("last_size"), F.floor((F.abs("l.short") - F.col("l._before")) / F.col("l.size")).alias("room"))
-    last = materialized(last, "last-size")
-    bucket = F.shiftrightunsigned("draw", 56)
-    told = lookup_join(told, last, "gk")
-    counted = told.where(switchable & (F.col("size") == F.col("last_size"))).groupBy("gk", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.first("room").alias("room"))
+    sources = materialized(lookup_join(sources, last, "gk"), "last-size")
+    told = _drawn(rows, sources, cap)
+    counted = told.where(_switchable() & (F.col("size") == F.col("last_size"))).groupBy("gk", _bucket().alias("b")).agg(F.count(F.lit(1)).alias("n"), F.first("room").alias("room"))
     upto = Window.partitionBy("gk").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = counted.withColumn("_sum", F.sum("n").over(upto)).where(F.col("_sum") <= F.col("room"))
     edge = edge.groupBy("gk").agg(F.max("b").alias("edge"))
-    told = lookup_join(told, edge, "gk")
+    return materialized(lookup_join(sources, edge, "gk").drop("room"), "sources")
+
+
+def copied(rows: DataFrame, sources: DataFrame, cap: float = CAP) -> DataFrame:
+    """``rows`` (``key, group, size`` and any others) with ``source_size``, ``target`` and ``copies``, as
+    the :func:`planned` ``sources`` decide: each row on its own, none moves where there are few sources."""
+    told = _drawn(rows, sources, cap)
     small = F.col("last_size").isNull() | (F.col("size") < F.col("last_size"))
-    some = (F.col("size") == F.col("last_size")) & (bucket <= F.coalesce("edge", F.lit(-1)))
-    switched = switchable & (small | some)
+    some = (F.col("size") == F.col("last_size")) & (_bucket() <= F.coalesce("edge", F.lit(-1)))
+    switched = _switchable() & (small | some)
     one = (F.col("more") != F.coalesce(switched, F.lit(False))).cast("long")
-    return told.select("key", "group", "size", (F.col("least") + one).alias("copies"))
+    return told.withColumn("copies", F.col("least") + one).select(*rows.columns, "source_size", "target", "copies")
 
 
 def mix(
@@ -119,24 +145,27 @@ def mix(
     equal results however they are split. An empty table gives an empty result.
     """
     rows = sized(docs, key, text, source)
-    sizes = rows.groupBy("group").agg(F.sum("size").alias("source_size"))
-    goals = balance(targets(sizes, weights, share, cap))
-    gk = F.struct(F.col("group").alias("g"))
-    per_source = goals.select(gk.alias("gk"), "source_size", "target", "dual")
-    rated = lookup_join(rows.withColumn("gk", gk), per_source, "gk")
-    rate = F.least(F.exp("dual"), F.lit(float(cap)))
-    rate = F.when(F.col("target") > 0, rate).otherwise(0.0)
-    draw = F.xxhash64("key", "size")
-    unit = F.shiftrightunsigned(draw, 11) / F.lit(float(1 << 53))
-    rated = rated.withColumn("rate", rate).withColumn("draw", draw).withColumn("least", F.floor("rate"))
-    rated = rated.withColumn("more", unit < F.col("rate") - F.col("least")).withColumn("may", F.col("least") + 1 <= cap)
-    chosen = _evened(rated.select("key", "group", "size", "least", "more", "may", "draw"), goals.select("group", "target"))
-    chosen = lookup_join(chosen.withColumn("gk", gk), per_source, "gk")
+    chosen = copied(rows, planned(rows, weights, share, cap), cap)
     return chosen.select(
         F.col("key").alias(key), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
+def take(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of ``docs`` as often as :func:`mix` takes them. Rows that share a key share its copies,
+    the most any of them has; a row without key stays once. Copies are counted where a row lies, so
+    texts move only for keys that several rows have, and only where these are many."""
+    rows = sized(docs, key, text, source)
+    sources = planned(rows)
+    shared = copied(rows, sources).where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("copies").alias("most"))
+    shared = materialized(shared.where("n > 1").select("key", "most"), "shared")
+    held = docs.select(F.col(key).alias("key"), F.col(source).alias("group"), word_count(F.col(text)).alias("size"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    told = lookup_join(copied(held, sources), shared, "key")
+    times = F.when(F.col("key").isNull(), 1).otherwise(F.coalesce("most", "copies")).cast("int")
+    taken = told.withColumn("times", times).where("times > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
+
+
 def sized(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """Sizes of all rows, written once: ``key, group, size``."""
     rows = docs.select(F.col(key).alias("key"), F.col(source).alias("group"), word_count(F.col(text)).alias("size"))

@@ -7,7 +7,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shelfline.llm import mixing, quality
 from tests.llm.helpers import ODD_TEXTS, prose
 
@@ -62,6 +64,29 @@ def test_mix(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_texts_do_not_move_for_their_copies(spark):
+    n = 20000
+    texts = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.col("id") % 7 + 1), lambda x: F.lit("w")))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), texts.alias("text"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
+    # Two rows of one id share its copies, a row without id stays once.
+    docs = docs.unionByName(docs.where("doc_id = 7").withColumn("text", F.lit("w w w w w w w w w w w"))).unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        taken = corpus_pipeline.mixed_sources(spark, docs, "")
+        plan = taken._jdf.queryExecution().executedPlan().toString()
+        assert taken.columns == docs.columns and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        found = {r.doc_id: r["count"] for r in taken.groupBy("doc_id").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    most, rows_of = {}, {}
+    for r in mixing.mix(docs).collect():
+        most[r.doc_id] = max(most.get(r.doc_id, 0), r.copies)
+        rows_of[r.doc_id] = rows_of.get(r.doc_id, 0) + 1
+    wanted = {k: most[k] * rows_of[k] for k in most if k is not None and most[k]} | {None: 1}
+    assert rows_of[7] == 2 and found == wanted
+
+
 def test_reruns_agree(spark):
     docs = spark.createDataFrame([(i, prose(i, 1 + i % 90), f"s{i % 3}") for i in range(200)], "doc_id bigint, text string, source string")
     assert sorted(map(tuple, mixing.mix(docs).collect())) == sorted(map(tuple, mixing.mix(docs).collect()))
