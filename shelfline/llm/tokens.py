@@ -2,9 +2,11 @@
 
 The ``tokenizers`` library cuts a text into pre-tokens before it merges anything, so a text may be
 split wherever a pre-token surely ends: at a single space or line break between two characters that
-are not white space. The pieces repeat a great deal; each is encoded once by the library and looked
-up afterwards. A text is never cut elsewhere, and a special token, which has no white space, stays
-inside one piece and is treated as the library treats it.
+are not white space. The pieces repeat a great deal; a batch's are taken once each. Those of plain letters
+are parted from the punctuation behind them and, where the file lower-cases, lower-cased all at once;
+every word is then encoded once by the library and looked up afterwards. A text is never cut elsewhere,
+and a special token, which has no white space, stays inside one piece and is treated as the library
+treats it.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +22,7 @@ import pyarrow.compute as pc
 
 from shelfline.llm.common import at_end, worker_cache
 
-#: Pieces remembered within a task; then it starts anew. Bounds memory, changes no result.
+#: Words remembered within a task; then it starts anew. Bounds memory, changes no result.
 REMEMBERED = 800_000
 #: Bytes of text in a batch.
 BATCH_BYTES = 8 << 20
@@ -29,8 +32,10 @@ _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{180e}\pZ]"
 _ODD = rf"{_SPACE}{{2}}|^{_SPACE}|{_SPACE}$|\x{{180e}}|\x00"
 _BOUNDARY = re.compile(r"(?<=[^\s\u180e])(?= [^\s\u180e])|(?<=[^\s\u180e])(?=\n[^\s\u180e])|(?<=[^\s\u180e]\n)(?=[^\s\u180e])")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(rf" ?[{_LETTERS}]+")
-_PLAIN_AND_MARKS = re.compile(rf"( ?[{_LETTERS}]+)([.,;:!?%&*$#()]+)")
+_MARKS = ".,;:!?%&*$#()"
+#: Pieces that are one pre-token, or one and another of marks.
+_PLAIN = rf"^ ?[{_LETTERS}]+[{_MARKS}]*$"
+_SPACE_AND_LETTERS = " " + "".join(re.findall(f"[{_LETTERS}]", "".join(map(chr, range(256)))))
 
 
 def _byte_characters() -> dict[int, str]:
@@ -41,19 +46,13 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
 
-class _Codes(dict):
-    """Piece to code; an unknown piece is encoded when first asked for. The ids of code ``c`` are
-    ``ids[starts[c]:starts[c + 1]]``."""
-
-    def __init__(self, encode):
-        self._encode, self.ids, self.starts = encode, array("I"), array("q", [0])
-
-    def __missing__(self, piece: str) -> int:
-        found = self._encode(piece)
-        self[piece] = code = len(self.starts) - 1
-        self.ids.extend(found)
-        self.starts.append(len(self.ids))
-        return code
+def _joined(ids: np.ndarray, begin: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of ``ids`` one after the other, and where each of them begins, with the end of all."""
+    upto = np.concatenate([[0], np.cumsum(lens)])
+    # Both count ids of one batch or of the remembered words: four bytes are enough.
+    places = np.repeat((begin - upto[:-1]).astype(np.int32), lens)
+    places += np.arange(len(places), dtype=np.int32)
+    return ids[places], upto
 
 
 class Encoder:
@@ -84,30 +83,42 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.codes = _Codes(self._encode_piece)
+        # Word to code. The ids of code ``c`` are ``ids[starts[c]:starts[c + 1]]``; code 0 has none.
+        self.codes, self.ids, self.starts = {"": 0}, array("I"), array("q", [0, 0])
 
     def _library(self, piece: str) -> list[int]:
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
     def _merge(self, word: str) -> list[int]:
-        """Ids of one pre-token: straight to the merges."""
-        word = word.lower() if self.lower else word
+        """Ids of one normalized pre-token: straight to the merges."""
         if not word.isascii():
             word = word.encode().decode("latin1").translate(self.chars)
         elif word[0] == " ":  # ASCII letters stand for themselves
             word = self.chars[32] + word[1:]
         return [t.id for t in self.model.tokenize(word)]
 
-    def _encode_piece(self, piece: str) -> list[int]:
-        if _PLAIN.fullmatch(piece):
-            return self._merge(piece)
-        if both := _PLAIN_AND_MARKS.fullmatch(piece):
-            return [*self._of(both[1]), *self._of(both[2])]
-        return self._library(piece)
-
-    def _of(self, piece: str) -> array:
-        code = self.codes[piece]
-        return self.codes.ids[self.codes.starts[code] : self.codes.starts[code + 1]]
+    def _coded(self, words: pa.Array, encode: Callable[[str], list[int]]) -> np.ndarray:
+        """The code of every word; unknown ones are encoded first."""
+        coded = words.dictionary_encode()
+        each = coded.dictionary.to_numpy(zero_copy_only=False)
+        for word in each:
+            if word not in self.codes:
+                found = encode(word)
+                self.codes[word] = len(self.starts) - 1
+                self.ids.extend(found)
+                self.starts.append(len(self.ids))
+        return np.fromiter(map(self.codes.__getitem__, each), np.int64, len(each))[coded.indices.to_numpy()]
+
+    def _parts(self, pieces: pa.Array) -> np.ndarray:
+        """For every piece the codes of the word and of the marks behind it. Other pieces are words."""
+        codes = np.zeros((len(pieces), 2), np.int64)
+        is_plain = pc.match_substring_regex(pieces, _PLAIN)
+        plain, at = pieces.filter(is_plain), is_plain.to_numpy(zero_copy_only=False)
+        words = pc.utf8_rtrim(plain, _MARKS)
+        codes[at, 0] = self._coded(pc.utf8_lower(words) if self.lower else words, self._merge)
+        codes[at, 1] = self._coded(pc.utf8_ltrim(plain, _SPACE_AND_LETTERS), self._library)
+        codes[~at, 0] = self._coded(pieces.filter(pc.invert(is_plain)), self._library)
+        return codes
 
     def _split(self, texts: pa.Array) -> pa.ListArray:
         """The pieces of every text."""
@@ -124,14 +135,14 @@ class Encoder:
         return pc.split_pattern(marked, "\0")
 
     def _looked_up(self, texts: pa.Array):
-        """For every piece where its ids begin and how many they are; for every text its first piece."""
+        """For every distinct piece where its parts' ids begin and how many they are; the pieces of all
+        texts as places among those; for every text its first piece."""
         if len(self.codes) > self.remembered:
             self._forget()
         pieces = self._split(texts)
         coded = pieces.values.dictionary_encode()
-        codes = np.fromiter(map(self.codes.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
-        starts, places = np.frombuffer(self.codes.starts, np.int64), coded.indices.to_numpy()
-        return starts[codes][places], (starts[codes + 1] - starts[codes])[places], pieces.offsets.to_numpy()
+        codes, starts = self._parts(coded.dictionary), np.frombuffer(self.starts, np.int64)
+        return starts[codes], starts[codes + 1] - starts[codes], coded.indices.to_numpy(), pieces.offsets.to_numpy()
 
     def _whole(self, texts: pa.Array) -> bool:
         """Whether the texts go to the library uncut: they hold the mark used for cutting."""
@@ -144,20 +155,18 @@ class Encoder:
         if self._whole(texts):
             each = [self._library(t) for t in texts.to_pylist()]
             return np.array([i for ids in each for i in ids], np.uint32), np.cumsum([len(ids) for ids in each], dtype=np.int64)
-        begin, lens, first = self._looked_up(texts)
-        upto = np.concatenate([[0], np.cumsum(lens)])
-        # Both count ids of one batch or of the remembered pieces: four bytes are enough.
-        places = np.repeat((begin - upto[:-1]).astype(np.int32), lens)
-        places += np.arange(len(places), dtype=np.int32)
-        return np.frombuffer(self.codes.ids, np.uint32)[places], upto[first[1:]]
+        begin, lens, places, first = self._looked_up(texts)
+        ids, upto = _joined(np.frombuffer(self.ids, np.uint32), begin.ravel(), lens.ravel())
+        ids, upto = _joined(ids, upto[:-1:2][places], lens.sum(axis=1)[places])
+        return ids, upto[first[1:]]
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """How many ids each text has."""
         texts = texts.fill_null("")
         if self._whole(texts):
             return np.array([len(self._library(t)) for t in texts.to_pylist()], np.int64)
-        _, lens, first = self._looked_up(texts)
-        return np.diff(np.concatenate([[0], np.cumsum(lens)])[first])
+        _, lens, places, first = self._looked_up(texts)
+        return np.diff(np.concatenate([[0], np.cumsum(lens.sum(axis=1)[places])])[first])
 
 
 def encoder(path: str, remembered: int | None = None) -> Encoder:

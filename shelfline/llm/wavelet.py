@@ -53,7 +53,7 @@ class WaveletMatrix:
         for level in range(levels - 1, -1, -1):
             bit = now & now.dtype.type(1 << level) != 0
             planes.append(np.packbits(bit, bitorder="little"))
-            now = np.concatenate([now[~bit], now[bit]])
+            now = np.concatenate([now.compress(~bit), now.compress(bit)])
         return cls(planes, len(values))
 
     def directory(self) -> list[np.ndarray]:

@@ -45,6 +45,32 @@ def test_encoder_forgets_without_change(monkeypatch):
         assert coder.encode(pa.array([text]))[0].tolist() == ids_of(path, [text])[0]
 
 
+@pytest.mark.parametrize(("name", "merged"), [(FILES[0], {"Word", "Ġword", "ĠWord", "ĠWORD"}), (FILES[1], {"word", "Ã©tÃ©"})])
+def test_a_word_is_merged_once(name, merged):
+    path, coder = tokenizer_path(name), Encoder(tokenizer_path(name))
+    texts, model, seen = ["Word word, Word. WORD", "Word! word?! word"], coder.model, []
+    if name == FILES[1]:
+        texts += ["été Été. ÉTÉ"]
+
+    class Model:
+        def tokenize(self, word):
+            seen.append(word)
+            return model.tokenize(word)
+
+    coder.model = Model()
+    ids, ends = coder.encode(pa.array(texts))
+    assert [p.tolist() for p in np.split(ids, ends[:-1])] == ids_of(path, texts)
+    assert sorted(seen) == sorted(merged)
+
+
+def test_words_and_marks_equal_the_library():
+    marks = ".,;:!?%&*$#()"
+    texts = [f"{word}{m} {m}{word} {word}{m}{m[::-1]}{word}" for word in ["a", "B's", "Àß", "×", "ÿ÷", "e\u0301", "x1", "<|endoftext|>"] for m in [*marks, marks, marks + "-"]]
+    for name in FILES:
+        ids, ends = Encoder(tokenizer_path(name)).encode(pa.array(texts))
+        assert [p.tolist() for p in np.split(ids, ends[:-1])] == ids_of(tokenizer_path(name), texts)
+
+
 def test_token_counts(docs):
     path = tokenizer_path(FILES[0])
     got = sorted(tuple(r) for r in token_counts.token_counts(docs.where("doc_id is not null"), path, batch_bytes=1000).collect())
