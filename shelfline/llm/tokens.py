@@ -48,9 +48,10 @@ def _byte_characters() -> dict[int, str]:
 
 def _joined(ids: np.ndarray, begin: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Stretches of ``ids`` one after the other, and where each of them begins, with the end of all."""
-    upto = np.concatenate([[0], np.cumsum(lens)])
-    # Both count ids of one batch or of the remembered words: four bytes are enough.
-    places = np.repeat((begin - upto[:-1]).astype(np.int32), lens)
+    # All count ids of one batch or of the remembered words: four bytes are enough.
+    upto = np.zeros(len(lens) + 1, np.int32)
+    np.cumsum(lens, out=upto[1:])
+    places = np.repeat((begin - upto[:-1]).astype(np.int32, copy=False), lens)
     places += np.arange(len(places), dtype=np.int32)
     return ids[places], upto
 
@@ -140,9 +141,10 @@ class Encoder:
         if len(self.codes) > self.remembered:
             self._forget()
         pieces = self._split(texts)
-        coded = pieces.values.dictionary_encode()
+        coded, first = pieces.values.dictionary_encode(), pieces.offsets.to_numpy()
+        del pieces  # not held while words are encoded
         codes, starts = self._parts(coded.dictionary), np.frombuffer(self.starts, np.int64)
-        return starts[codes], starts[codes + 1] - starts[codes], coded.indices.to_numpy(), pieces.offsets.to_numpy()
+        return starts[codes], starts[codes + 1] - starts[codes], coded.indices.to_numpy(), first
 
     def _whole(self, texts: pa.Array) -> bool:
         """Whether the texts go to the library uncut: they hold the mark used for cutting."""
@@ -157,8 +159,8 @@ class Encoder:
             return np.array([i for ids in each for i in ids], np.uint32), np.cumsum([len(ids) for ids in each], dtype=np.int64)
         begin, lens, places, first = self._looked_up(texts)
         ids, upto = _joined(np.frombuffer(self.ids, np.uint32), begin.ravel(), lens.ravel())
-        ids, upto = _joined(ids, upto[:-1:2][places], lens.sum(axis=1)[places])
-        return ids, upto[first[1:]]
+        ids, upto = _joined(ids, upto[:-1:2][places], lens.sum(axis=1, dtype=np.int32)[places])
+        return ids, upto[first[1:]].astype(np.int64)
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """How many ids each text has."""
