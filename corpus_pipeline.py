@@ -16,14 +16,21 @@ from shelfline.llm.common import materialized, table
 from shelfline.llm.queries import BYTE_BPE, session, tokenizer
 from shelfline.plans.lookup import fresh_name, lookup_join
 
-#: Bytes of text that a task of the last stage hands over and encodes at a time.
-PACKED_BYTES = 2 << 20
+#: Bytes of text that a task of any stage hands over, and one of the last stage encodes, at a time.
+HANDED_BYTES = 1 << 20
+
+
+def shared_session(spark: SparkSession) -> SparkSession:
+    """The session of a stage. Less text is handed over at a time than by a query alone: an executor
+    keeps what the stages before have touched, so all stages share its memory."""
+    session(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(HANDED_BYTES))
+    return spark
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model passes; it learns from the labels of the raw table. Null and
     empty texts are scored as empty, null ids like others; a score of exactly 0.5 passes."""
-    session(spark)
+    shared_session(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model)
 
@@ -31,7 +38,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the boilerplate lines of their source; no document goes. Null texts stay null,
     documents without source stay as they are; ``n_chars`` follows where lines went."""
-    session(spark)
+    shared_session(spark)
     counted = fresh_name("dropped", docs)
     cleaned = line_dedup.drop_site_lines(docs, site="source", counted=counted)
     return cleaned.withColumn("n_chars", F.when(F.col(counted) > 0, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
@@ -41,7 +48,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates, the one with the smallest id. Texts without
     words are nobody's duplicates; rows without id have none to be compared by, and stay. Rows that
     share an id are one document and stay or go together."""
-    session(spark)
+    shared_session(spark)
     gone = minhash_forest.near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id").distinct()
     # Written first: while they are few, the texts need not move for them.
     return lookup_join(docs, materialized(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
@@ -50,16 +57,16 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it. Rows that share an id share its copies; a row
     without id stays once, and a null source is one of its own."""
-    session(spark)
+    shared_session(spark)
     return mixing.take(docs).select(docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequence and place; a null or empty text is one of its end
-    alone. Fewer pieces are remembered than by the query alone, and less text is handled at a time: the
+    alone. Fewer pieces are remembered than by the query alone, and less text is encoded at a time: the
     other stages share the memory."""
-    session(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(PACKED_BYTES))
-    return packing.pack_documents(docs, tokenizer(BYTE_BPE), end_id=2, remembered=300_000, batch_bytes=PACKED_BYTES)
+    shared_session(spark)
+    return packing.pack_documents(docs, tokenizer(BYTE_BPE), end_id=2, remembered=300_000, batch_bytes=HANDED_BYTES)
 
 
 STAGES = [

@@ -143,3 +143,31 @@ def test_features_do_not_depend_on_the_batch():
     assert np.allclose(whole, each) and whole.shape == (len(texts), quality.FEATURES)
     sliced = quality.features(pa.array(["x", *texts], pa.string()).slice(1))
     assert np.allclose(whole, sliced)
+
+
+def test_features_take_little_memory_at_a_time():
+    import tracemalloc
+
+    class Rows:
+        schema = None
+
+        def mapInArrow(self, fn, schema):
+            return fn
+
+    text = pa.array([prose(i, 700) for i in range(2400)], pa.string())
+    keep = quality.keep_good(Rows(), quality.Model())
+    tracemalloc.start()
+    kept = sum(b.num_rows for b in keep(iter([pa.RecordBatch.from_arrays([text], ["text"])])))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept == len(text) and text.nbytes > 6 << 20 and peak < 32 << 20
+
+
+def test_every_stage_of_the_pipeline_hands_over_little_at_a_time(spark, small):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(20)
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, docs, small)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 2 << 20
